@@ -315,3 +315,218 @@ UNION ALL SELECT 'is_repeated_guest', CAST(sum(is_repeated_guest) AS BIGINT) FRO
 )
 def q_indicator_sums(spark, sf):
     return profile.indicator_sums(bookings_view(spark, sf), ["is_canceled", "is_repeated_guest"])
+
+
+# ============================================================== step 2 cleaning
+_LI_NULLY_SQL = """
+SELECT l_orderkey, l_linenumber, nullif(l_discount, 0) AS disc,
+       CASE WHEN l_linenumber = 1 THEN NULL ELSE l_returnflag END AS flag
+FROM lineitem"""
+
+
+@query(
+    "impute_median_mode",
+    f"""
+WITH t AS ({_LI_NULLY_SQL}),
+m AS (SELECT quantile_cont(disc, 0.5) AS md FROM t),
+mo AS (SELECT flag AS mf FROM t WHERE flag IS NOT NULL GROUP BY flag ORDER BY count(*) DESC, flag LIMIT 1)
+SELECT l_orderkey, l_linenumber, round(coalesce(disc, md), 6) AS disc, coalesce(flag, mf) AS flag
+FROM t CROSS JOIN m CROSS JOIN mo
+""",
+)
+def q_impute_median_mode(spark, sf):
+    li = table(spark, sf, "lineitem")
+    t = li.select(
+        "l_orderkey",
+        "l_linenumber",
+        F.nullif(F.col("l_discount"), F.lit(0.0)).alias("disc"),
+        F.when(F.col("l_linenumber") == 1, F.lit(None)).otherwise(F.col("l_returnflag")).alias("flag"),
+    )
+    out = clean.clean_missing(t, threshold=0.3)
+    return out.select("l_orderkey", "l_linenumber", R("disc").alias("disc"), "flag")
+
+
+@query("dedup_rows", "SELECT DISTINCT l_returnflag, l_linestatus, l_quantity FROM lineitem")
+def q_dedup_rows(spark, sf):
+    return clean.drop_duplicates(table(spark, sf, "lineitem").select("l_returnflag", "l_linestatus", "l_quantity"))
+
+
+@query(
+    "winsorize_iqr",
+    """
+WITH b AS (SELECT quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.75) AS q3 FROM events)
+SELECT event_id,
+       round(CASE WHEN value IS NULL OR q3 - q1 <= 0 THEN value
+                  ELSE least(greatest(value, q1 - 1.5 * (q3 - q1)), q3 + 1.5 * (q3 - q1)) END, 6) AS value
+FROM events CROSS JOIN b
+""",
+)
+def q_winsorize_iqr(spark, sf):
+    w = clean.winsorize_iqr(table(spark, sf, "events").select("event_id", "value"), ["value"])
+    return w.select("event_id", R("value").alias("value"))
+
+
+@query(
+    "winsorize_iqr_int",
+    bview(
+        """
+, b AS (SELECT quantile_cont(lead_time, 0.25) AS q1, quantile_cont(lead_time, 0.75) AS q3 FROM bv)
+SELECT booking_id,
+       CAST(round_even(least(greatest(lead_time, q1 - 1.5 * (q3 - q1)), q3 + 1.5 * (q3 - q1)), 0) AS BIGINT) AS lead_time
+FROM bv CROSS JOIN b
+"""
+    ).replace(")\n, b AS", "), b AS", 1),
+)
+def q_winsorize_iqr_int(spark, sf):
+    w = clean.winsorize_iqr(bookings_view(spark, sf).select("booking_id", "lead_time"), ["lead_time"])
+    return w
+
+
+_REPAIR_OUT = ("booking_id", "lead_time", "is_repeated_guest", "agent", "previous_cancellations", "total_of_special_requests")
+
+
+@query(
+    "repair_errors",
+    bview(
+        """
+SELECT booking_id,
+       CASE WHEN lead_time < 0 THEN 0 ELSE lead_time END AS lead_time,
+       CASE WHEN coalesce(is_repeated_guest IN (0, 1), false) THEN is_repeated_guest ELSE 0 END AS is_repeated_guest,
+       CASE WHEN agent < 0 THEN NULL ELSE agent END AS agent,
+       CASE WHEN previous_cancellations < 0 THEN 0 ELSE previous_cancellations END AS previous_cancellations,
+       CASE WHEN total_of_special_requests < 0 THEN 0 ELSE total_of_special_requests END AS total_of_special_requests,
+       round(adr, 6) AS adr
+FROM bv WHERE adr <= 2000
+"""
+    ),
+)
+def q_repair_errors(spark, sf):
+    r = clean.repair_errors(bookings_view(spark, sf))
+    return r.select(*_REPAIR_OUT, R("adr").alias("adr"))
+
+
+@query(
+    "conditional_repair",
+    bview(
+        """
+, a AS (SELECT count(*) FILTER (WHERE lead_time = 0 AND deposit_type IS DISTINCT FROM 'No Deposit') AS na,
+               count(*) FILTER (WHERE previous_cancellations > 0 AND is_repeated_guest = 0) AS nb,
+               count(*) AS n FROM bv)
+SELECT booking_id,
+       CASE WHEN na > 0 AND na < 0.1 * n AND lead_time = 0 AND deposit_type IS DISTINCT FROM 'No Deposit'
+            THEN 'No Deposit' ELSE deposit_type END AS deposit_type,
+       CASE WHEN nb > 0 AND nb < 0.1 * n AND previous_cancellations > 0 AND is_repeated_guest = 0
+            THEN 1 ELSE is_repeated_guest END AS is_repeated_guest
+FROM bv CROSS JOIN a
+"""
+    ).replace(")\n, a AS", "), a AS", 1),
+)
+def q_conditional_repair(spark, sf):
+    b = bookings_view(spark, sf)
+    b = clean.conditional_repair(b, clean.walk_in_deposit_rule(), "deposit_type", "No Deposit")
+    b = clean.conditional_repair(b, clean.repeat_guest_rule(), "is_repeated_guest", 1)
+    return b.select("booking_id", "deposit_type", "is_repeated_guest")
+
+
+@query(
+    "cap_q99_if",
+    """
+WITH m AS (SELECT max(value) AS mv, quantile_cont(value, 0.99) AS qv, max(user_id) AS mu, quantile_cont(user_id, 0.99) AS qu FROM events)
+SELECT event_id,
+       round(CASE WHEN mv > 300 AND value > qv THEN qv ELSE value END, 6) AS value,
+       CASE WHEN mu > 500 AND user_id > qu THEN CAST(qu AS BIGINT) ELSE user_id END AS user_id
+FROM events CROSS JOIN m
+""",
+)
+def q_cap_q99_if(spark, sf):
+    e = table(spark, sf, "events").select("event_id", "value", "user_id")
+    c = clean.cap_quantile_if(e, {"value": 300, "user_id": 500}, 0.99)
+    return c.select("event_id", R("value").alias("value"), "user_id")
+
+
+@query(
+    "cap_q99_by_segment",
+    """
+WITH q AS (SELECT event_type, quantile_cont(value, 0.99) AS cap FROM events WHERE event_type IN ('click', 'view') GROUP BY event_type)
+SELECT e.event_id, e.event_type, round(CASE WHEN q.cap IS NOT NULL AND e.value > q.cap THEN q.cap ELSE e.value END, 6) AS value
+FROM events e LEFT JOIN q ON e.event_type = q.event_type
+""",
+)
+def q_cap_q99_by_segment(spark, sf):
+    e = table(spark, sf, "events").select("event_id", "event_type", "value")
+    c = clean.cap_quantile_by_segment(e, "event_type", ["click", "view"], "value", 0.99)
+    return c.select("event_id", "event_type", R("value").alias("value"))
+
+
+@query(
+    "group_infrequent",
+    """
+WITH t AS (SELECT event_id, CAST(user_id AS VARCHAR) AS user_grouped FROM events),
+f AS (SELECT user_grouped AS u FROM t WHERE user_grouped IS NOT NULL GROUP BY user_grouped
+      HAVING count(*) >= 0.005 * (SELECT count(*) FROM t))
+SELECT event_id, CASE WHEN user_grouped IN (SELECT u FROM f) THEN user_grouped ELSE 'Other' END AS user_grouped FROM t
+""",
+)
+def q_group_infrequent(spark, sf):
+    t = table(spark, sf, "events").select("event_id", F.col("user_id").cast("string").alias("user_grouped"))
+    return clean.group_infrequent(t, "user_grouped", 0.005, "Other")
+
+
+_RAW_ORDERS_SQL = """
+SELECT o_orderkey,
+       lower(monthname(o_orderdate)) AS month_raw,
+       CASE WHEN o_orderkey % 5 = 0 THEN 'x' ELSE CAST(o_orderkey % 3 AS VARCHAR) END AS flag_raw,
+       CASE WHEN o_orderkey % 7 = 0 THEN 'bad' ELSE CAST(o_custkey * 3 + 0.5 AS VARCHAR) END AS int_raw,
+       o_totalprice / 100 AS agent_raw,
+       CASE WHEN o_orderkey % 4 = 0 THEN NULL ELSE lower(o_orderstatus) END AS status_raw,
+       lower(o_orderpriority) || '-ta/to' AS kind_raw,
+       CASE WHEN o_orderkey % 9 = 0 THEN 'not a date' ELSE CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS date_raw
+FROM orders"""
+
+_RAW_SPEC = {
+    "month_title": ["month_raw"],
+    "datetime": ["date_raw"],
+    "binary": ["flag_raw"],
+    "integer": ["int_raw"],
+    "nullable_integer": ["agent_raw"],
+    "categorical": {"status_raw": clean.UPPER, "kind_raw": clean.TITLE},
+}
+
+
+def _title_sql(x: str) -> str:
+    return (
+        f"array_to_string(list_transform(regexp_extract_all({x}, '([[:alpha:]]+|[^[:alpha:]]+)'), "
+        "lambda w: upper(w[1]) || lower(w[2:])), '')"
+    )
+
+
+@query(
+    "coerce_types",
+    f"""
+WITH t AS ({_RAW_ORDERS_SQL})
+SELECT o_orderkey,
+       {_title_sql("month_raw")} AS month_raw,
+       CAST(coalesce(TRY_CAST(flag_raw AS DOUBLE), 0) AS TINYINT) AS flag_raw,
+       CAST(trunc(coalesce(TRY_CAST(int_raw AS DOUBLE), 0)) AS BIGINT) AS int_raw,
+       CAST(round_even(agent_raw, 0) AS BIGINT) AS agent_raw,
+       upper(coalesce(status_raw, 'nan')) AS status_raw,
+       {_title_sql("kind_raw")} AS kind_raw,
+       CAST(TRY_CAST(date_raw AS TIMESTAMP) AS DATE) AS date_raw
+FROM t
+""",
+)
+def q_coerce_types(spark, sf):
+    o = table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    raw = o.select(
+        "o_orderkey",
+        F.lower(F.date_format("o_orderdate", "MMMM")).alias("month_raw"),
+        F.when(k % 5 == 0, F.lit("x")).otherwise((k % 3).cast("string")).alias("flag_raw"),
+        F.when(k % 7 == 0, F.lit("bad")).otherwise((F.col("o_custkey") * 3 + 0.5).cast("string")).alias("int_raw"),
+        (F.col("o_totalprice") / 100).alias("agent_raw"),
+        F.when(k % 4 == 0, F.lit(None)).otherwise(F.lower("o_orderstatus")).alias("status_raw"),
+        F.concat(F.lower("o_orderpriority"), F.lit("-ta/to")).alias("kind_raw"),
+        F.when(k % 9 == 0, F.lit("not a date")).otherwise(F.to_date("o_orderdate").cast("string")).alias("date_raw"),
+    )
+    c = clean.coerce_types(raw, _RAW_SPEC)
+    return c.withColumn("date_raw", F.to_date("date_raw"))

@@ -41,16 +41,27 @@ def key(t):
     return tuple((x is None, str(type(x)), x if x is not None else 0) for x in t)
 
 
+SPARK_TO_DUCK = {
+    "bigint": "BIGINT", "int": "INTEGER", "smallint": "SMALLINT", "tinyint": "TINYINT", "double": "DOUBLE",
+    "float": "FLOAT", "string": "VARCHAR", "boolean": "BOOLEAN", "date": "DATE", "timestamp_ntz": "TIMESTAMP",
+}
+
+
 def compare(name, sdf, con, sql):
     scols = list(sdf.columns)
+    stypes = dict(sdf.dtypes)
     srows = [tuple(r) for r in sdf.collect()]
     res = con.execute(sql)
     dcols = [d[0] for d in res.description]
+    dtypes = {d[0]: str(d[1]) for d in res.description}
     drows = res.fetchall()
     problems = []
     if sorted(scols) != sorted(dcols):
         problems.append(f"columns spark={scols} duck={dcols}")
         return problems
+    tdiff = {c: (stypes[c], dtypes[c]) for c in scols if SPARK_TO_DUCK.get(stypes[c], stypes[c]) != dtypes[c]}
+    if tdiff:
+        problems.append(f"types {tdiff}")
     if len(srows) != len(drows):
         problems.append(f"rows spark={len(srows)} duck={len(drows)}")
     order = sorted(scols)
