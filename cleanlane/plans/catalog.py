@@ -530,3 +530,222 @@ def q_coerce_types(spark, sf):
     )
     c = clean.coerce_types(raw, _RAW_SPEC)
     return c.withColumn("date_raw", F.to_date("date_raw"))
+
+
+# ========================================================== step 3 dates
+def _date_oracle(level: str) -> str:
+    d = "CAST(o_orderdate AS DATE)"
+    parts = [
+        f"CAST(year({d}) AS INTEGER) AS o_orderdate_year",
+        f"CAST(month({d}) AS INTEGER) AS o_orderdate_month",
+        f"CAST(day({d}) AS INTEGER) AS o_orderdate_day",
+        f"CAST(isodow({d}) - 1 AS INTEGER) AS o_orderdate_dayofweek",
+    ]
+    m_sin = f"round(sin(2 * pi() * month({d}) / 12.0), 6) AS o_orderdate_month_sin"
+    m_cos = f"round(cos(2 * pi() * month({d}) / 12.0), 6) AS o_orderdate_month_cos"
+    d_sin = f"round(sin(2 * pi() * (isodow({d}) - 1) / 7.0), 6) AS o_orderdate_dayofweek_sin"
+    d_cos = f"round(cos(2 * pi() * (isodow({d}) - 1) / 7.0), 6) AS o_orderdate_dayofweek_cos"
+    weekend = f"CAST(isodow({d}) >= 6 AS INTEGER) AS o_orderdate_is_weekend"
+    if level == "basic":
+        cols = parts + [weekend, m_sin, m_cos, d_sin, d_cos]
+    else:
+        cols = parts + [
+            f"CAST(quarter({d}) AS INTEGER) AS o_orderdate_quarter",
+            weekend,
+            f"CAST(day({d}) = 1 AS INTEGER) AS o_orderdate_is_month_start",
+            f"CAST({d} = last_day({d}) AS INTEGER) AS o_orderdate_is_month_end",
+            f"CASE WHEN month({d}) IN (12, 1, 2) THEN 1 WHEN month({d}) IN (3, 4, 5) THEN 2 "
+            f"WHEN month({d}) IN (6, 7, 8) THEN 3 ELSE 4 END AS o_orderdate_season",
+            f"CAST(month({d}) IN (6, 7, 8, 12) AS INTEGER) AS o_orderdate_is_peak_season",
+            f"CAST(month({d}) IN (12, 1, 7, 8) AS INTEGER) AS o_orderdate_is_holiday_season",
+            m_sin,
+            m_cos,
+            d_sin,
+            d_cos,
+            f"CAST(date_diff('day', DATE '2015-01-01', {d}) AS INTEGER) AS o_orderdate_days_since_ref",
+            f"CAST(dayofyear({d}) AS INTEGER) AS o_orderdate_day_of_year",
+            f"CAST(week({d}) AS INTEGER) AS o_orderdate_week_of_year",
+        ]
+    return "SELECT o_orderkey, " + ",\n       ".join(cols) + "\nFROM orders"
+
+
+def _dates_query(level: str):
+    def fn(spark, sf):
+        from ..functions.dates import date_features
+
+        o = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+        out = date_features(o, ["o_orderdate"], level=level)
+        return out.select(*[R(c).alias(c) if c.endswith(("_sin", "_cos")) else F.col(c) for c in out.columns])
+
+    return fn
+
+
+query("date_features_basic", _date_oracle("basic"))(_dates_query("basic"))
+query("date_features_full", _date_oracle("full"))(_dates_query("full"))
+
+
+# ========================================================= step 4 features
+@query(
+    "bucket_flags",
+    bview(
+        """
+SELECT booking_id,
+       CAST(coalesce(lead_time <= 7, false) AS INTEGER) AS is_last_minute_lead_time,
+       CAST(coalesce(lead_time > 7 AND lead_time <= 90, false) AS INTEGER) AS is_normal_lead_time,
+       CAST(coalesce(lead_time > 90, false) AS INTEGER) AS is_advance_lead_time,
+       3 * CAST(coalesce(lead_time <= 7, false) AS INTEGER) + 2 * CAST(coalesce(lead_time > 7 AND lead_time <= 90, false) AS INTEGER)
+         + CAST(coalesce(lead_time > 90, false) AS INTEGER) AS lead_time_risk_score
+FROM bv
+"""
+    ),
+)
+def q_bucket_flags(spark, sf):
+    b = bookings_view(spark, sf).select("booking_id", "lead_time")
+    return features.bucket_flags(b)
+
+
+@query(
+    "level_from_count",
+    bview(
+        """
+SELECT booking_id,
+       CAST(coalesce(total_of_special_requests > 0, false) AS INTEGER) AS has_special_requirements,
+       CASE WHEN total_of_special_requests = 0 THEN 'None' WHEN total_of_special_requests <= 1 THEN 'Low'
+            WHEN total_of_special_requests <= 3 THEN 'Medium' ELSE 'High' END AS special_requests_level
+FROM bv
+"""
+    ),
+)
+def q_level_from_count(spark, sf):
+    return features.level_from_count(bookings_view(spark, sf).select("booking_id", "total_of_special_requests"))
+
+
+_SEG_CAT = (
+    "CASE coalesce(market_segment, 'nan') WHEN 'Online TA' THEN 'online_ta' WHEN 'Offline TA/TO' THEN 'offline_ta_to' "
+    "WHEN 'Groups' THEN 'groups' WHEN 'Direct' THEN 'direct' WHEN 'Corporate' THEN 'corporate' ELSE 'other' END"
+)
+_SEG_RISK = (
+    "CASE coalesce(market_segment, 'nan') WHEN 'Groups' THEN 'High' WHEN 'Offline TA/TO' THEN 'Medium' WHEN 'Online TA' THEN 'Medium' "
+    "WHEN 'Corporate' THEN 'Low' WHEN 'Direct' THEN 'Low' ELSE 'Medium' END"
+)
+_DEP = "coalesce(deposit_type, 'nan')"
+_DEP_RISK = f"CASE {_DEP} WHEN 'No Deposit' THEN 'High' WHEN 'Refundable' THEN 'Medium' WHEN 'Non Refund' THEN 'Low' ELSE 'Medium' END"
+
+
+@query(
+    "map_flags",
+    bview(
+        "SELECT booking_id,\n"
+        + ",\n".join(
+            [f"CAST({_SEG_CAT} = '{c}' AS INTEGER) AS market_segment_{c}" for c in features.SEGMENT_CATEGORIES]
+            + [f"CAST({_SEG_RISK} = '{r}' AS INTEGER) AS {r.lower()}_risk_segment" for r in ("High", "Medium", "Low")]
+            + [
+                f"CAST({_DEP} <> 'No Deposit' AS INTEGER) AS has_deposit",
+                f"CAST({_DEP} = 'Refundable' AS INTEGER) AS has_refundable_deposit",
+                f"CAST({_DEP} = 'Non Refund' AS INTEGER) AS has_non_refund_deposit",
+            ]
+            + [f"CAST({_DEP_RISK} = '{r}' AS INTEGER) AS deposit_risk_{r.lower()}" for r in ("High", "Medium", "Low")]
+        )
+        + "\nFROM bv"
+    ),
+)
+def q_map_flags(spark, sf):
+    b = bookings_view(spark, sf).select("booking_id", "market_segment", "deposit_type")
+    return features.deposit_features(features.market_features(b))
+
+
+@query(
+    "topk_one_hot",
+    """
+WITH t AS (SELECT c_custkey, coalesce(CAST(c_nationkey AS VARCHAR), 'nan') AS v FROM customer),
+top AS (SELECT v FROM t GROUP BY v ORDER BY count(*) DESC, v LIMIT 7)
+SELECT c_custkey, CASE WHEN t.v IN (SELECT v FROM top) THEN 'nation_' || t.v ELSE 'nation_other' END AS flags
+FROM t
+""",
+)
+def q_topk_one_hot(spark, sf):
+    c = table(spark, sf, "customer").select("c_custkey", F.col("c_nationkey").cast("string").alias("nation"))
+    out = features.topk_one_hot(c, "nation", 7)
+    flag_cols = [x for x in out.columns if x.startswith("nation_")]
+    # the raised flags of each row, comma-joined (exactly one for this encoding)
+    raised = F.array_join(F.array_sort(F.filter(F.array(*[F.when(F.col(x) == 1, F.lit(x)) for x in flag_cols]), lambda v: v.isNotNull())), ",")
+    return out.select("c_custkey", raised.alias("flags"))
+
+
+@query(
+    "one_hot_drop_first",
+    """
+WITH lv AS (SELECT DISTINCT p_type FROM part WHERE p_type IS NOT NULL),
+first AS (SELECT min(p_type) AS f FROM lv)
+SELECT p_partkey, CASE WHEN p_type IS NULL OR p_type = (SELECT f FROM first) THEN NULL ELSE 'p_type_' || p_type END AS flag,
+       (SELECT count(*) - 1 FROM lv) AS n_dummies
+FROM part
+""",
+)
+def q_one_hot_drop_first(spark, sf):
+    p = table(spark, sf, "part").select("p_partkey", "p_type")
+    out = features.one_hot(p, "p_type")
+    dummies = [c for c in out.columns if c.startswith("p_type_")]
+    flag = F.lit(None).cast("string")
+    for d in dummies:
+        flag = F.when(F.col(d) == 1, F.lit(d)).otherwise(flag)
+    return out.select("p_partkey", flag.alias("flag"), F.lit(len(dummies)).cast("long").alias("n_dummies"))
+
+
+@query(
+    "label_encode",
+    """
+SELECT l_orderkey, l_linenumber,
+       CAST(dense_rank() OVER (ORDER BY l_linestatus) - 1 AS BIGINT) AS l_linestatus
+FROM lineitem
+""",
+)
+def q_label_encode(spark, sf):
+    li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_linestatus")
+    return features.encode_categoricals(li, ["l_linestatus"])
+
+
+@query(
+    "category_codes",
+    """
+WITH v AS (SELECT DISTINCT o_orderpriority AS v FROM orders WHERE o_orderpriority IS NOT NULL),
+r AS (SELECT v, CAST(dense_rank() OVER (ORDER BY v) - 1 AS INTEGER) AS code FROM v)
+SELECT o_orderkey, coalesce(r.code, -1) AS o_orderpriority
+FROM orders LEFT JOIN r ON orders.o_orderpriority = r.v
+""",
+)
+def q_category_codes(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    return features.category_codes(o, "o_orderpriority")
+
+
+def _scale_oracle(method: str) -> str:
+    cols = ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    if method == "standard":
+        stats_sql = ", ".join(f"avg({c}) AS c_{c}, stddev_pop({c}) AS s_{c}, min({c}) AS mn_{c}, max({c}) AS mx_{c}" for c in cols)
+    elif method == "minmax":
+        stats_sql = ", ".join(f"min({c}) AS c_{c}, max({c}) - min({c}) AS s_{c}, min({c}) AS mn_{c}, max({c}) AS mx_{c}" for c in cols)
+    else:
+        stats_sql = ", ".join(
+            f"quantile_cont({c}, 0.5) AS c_{c}, quantile_cont({c}, 0.75) - quantile_cont({c}, 0.25) AS s_{c}, min({c}) AS mn_{c}, max({c}) AS mx_{c}"
+            for c in cols
+        )
+    sel = ", ".join(
+        f"round(CASE WHEN mx_{c} - mn_{c} > 10 OR mx_{c} > 100 THEN ({c} - c_{c}) / CASE WHEN s_{c} = 0 THEN 1 ELSE s_{c} END ELSE {c} END, 6) AS {c}"
+        for c in cols
+    )
+    return f"WITH s AS (SELECT {stats_sql} FROM lineitem)\nSELECT l_orderkey, l_linenumber, {sel}\nFROM lineitem CROSS JOIN s"
+
+
+def _scale_query(method: str):
+    def fn(spark, sf):
+        li = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+        fitted = features.fit_scale(li, method, exclude=("l_orderkey", "l_linenumber"))
+        out = features.apply_scale(li, fitted)
+        return out.select("l_orderkey", "l_linenumber", *[R(c).alias(c) for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")])
+
+    return fn
+
+
+for _m in ("standard", "minmax", "robust"):
+    query(f"scale_{_m}", _scale_oracle(_m))(_scale_query(_m))
