@@ -133,9 +133,10 @@ def level_correlations(df: DataFrame, cols: Sequence[str], target: str) -> DataF
     )
     # every column's levels partition all rows, so its level sums are the table totals
     w = Window.partitionBy("column")
-    lv = lv.withColumn("N", F.sum("n").over(w)).withColumn("T1", F.sum("s").over(w)).withColumn("T2", F.sum("s2").over(w))
-    num = F.col("N") * F.col("s") - F.col("n") * F.col("T1")
-    den = F.sqrt(F.col("n") * (F.col("N") - F.col("n")) * (F.col("N") * F.col("T2") - F.col("T1") * F.col("T1")))
+    lv = lv.withColumn("tot_n", F.sum("n").over(w)).withColumn("tot_t1", F.sum("s").over(w)).withColumn("tot_t2", F.sum("s2").over(w))
+    big_n, t1, t2 = F.col("tot_n"), F.col("tot_t1"), F.col("tot_t2")
+    num = big_n * F.col("s") - F.col("n") * t1
+    den = F.sqrt(F.col("n") * (big_n - F.col("n")) * (big_n * t2 - t1 * t1))
     return lv.select("column", "level", "is_null_level", "n", "s", F.try_divide(num, F.when(den > 0, den)).alias("r"))
 
 

@@ -749,3 +749,180 @@ def _scale_query(method: str):
 
 for _m in ("standard", "minmax", "robust"):
     query(f"scale_{_m}", _scale_oracle(_m))(_scale_query(_m))
+
+
+# ============================================================ step 5 screening
+@query(
+    "crosstab",
+    """
+SELECT o_orderpriority, CASE WHEN o_orderstatus = 'F' THEN 1 ELSE 0 END AS is_canceled, count(*) AS count
+FROM orders GROUP BY ALL
+""",
+)
+def q_crosstab(spark, sf):
+    o = table(spark, sf, "orders").select("o_orderpriority", F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("is_canceled"))
+    return profile.crosstab(o, "o_orderpriority", "is_canceled")
+
+
+_CV_COLS = ("market_segment", "deposit_type", "assigned_room_type", "country", "parity")
+
+
+@query(
+    "cramers_v",
+    bview(
+        """
+, t AS (SELECT *, CASE WHEN booking_id % 2 = 0 THEN 'even' ELSE 'odd' END AS parity FROM bv),
+long AS (
+  SELECT 'market_segment' AS col, market_segment AS level, is_canceled AS y FROM t
+  UNION ALL SELECT 'deposit_type', deposit_type, is_canceled FROM t
+  UNION ALL SELECT 'assigned_room_type', assigned_room_type, is_canceled FROM t
+  UNION ALL SELECT 'country', country, is_canceled FROM t
+  UNION ALL SELECT 'parity', parity, is_canceled FROM t),
+obs AS (SELECT col, level, CAST(y AS VARCHAR) AS y, count(*) AS o FROM long WHERE level IS NOT NULL AND y IS NOT NULL GROUP BY ALL),
+lv AS (SELECT DISTINCT col, level FROM obs),
+ys AS (SELECT DISTINCT col, y FROM obs),
+grid AS (SELECT lv.col, lv.level, ys.y, coalesce(obs.o, 0) AS o
+         FROM lv JOIN ys ON lv.col = ys.col LEFT JOIN obs ON obs.col = lv.col AND obs.level = lv.level AND obs.y = ys.y),
+e AS (SELECT *, sum(o) OVER (PARTITION BY col, level) * sum(o) OVER (PARTITION BY col, y) / sum(o) OVER (PARTITION BY col) AS ex,
+             sum(o) OVER (PARTITION BY col) AS n FROM grid),
+shape AS (SELECT col, count(DISTINCT level) AS nl, count(DISTINCT y) AS nc FROM grid GROUP BY col),
+cells AS (SELECT e.*, nl, nc,
+                 CASE WHEN nl = 2 AND nc = 2 THEN o + sign(ex - o) * least(0.5, abs(ex - o)) ELSE o END AS oc
+          FROM e JOIN shape USING (col)),
+chi AS (SELECT col, max(n) AS n, max(nl) AS nl, max(nc) AS nc, sum((oc - ex) * (oc - ex) / ex) AS chi2 FROM cells GROUP BY col)
+SELECT col AS "column", CAST(n AS BIGINT) AS n, nl AS n_levels, round(chi2, 6) AS chi2,
+       round(CASE WHEN least(nl, nc) > 1 THEN sqrt(chi2 / (n * (least(nl, nc) - 1))) END, 6) AS cramers_v
+FROM chi
+"""
+    ).replace(")\n, t AS", "), t AS", 1),
+)
+def q_cramers_v(spark, sf):
+    b = bookings_view(spark, sf).withColumn("parity", F.when(F.col("booking_id") % 2 == 0, "even").otherwise("odd"))
+    v = profile.cramers_v(b, _CV_COLS, "is_canceled")
+    return v.select("column", "n", "n_levels", R("chi2").alias("chi2"), R("cramers_v").alias("cramers_v"))
+
+
+_NUM_BV = ("lead_time", "total_of_special_requests", "is_repeated_guest", "previous_cancellations", "agent", "adr")
+
+
+@query(
+    "corr_with_target",
+    bview(
+        "\nUNION ALL\n".join(
+            f"SELECT '{c}' AS \"column\", round(corr({c}, is_canceled), 6) AS correlation, round(abs(corr({c}, is_canceled)), 6) AS abs_correlation FROM bv"
+            for c in _NUM_BV
+        )
+    ),
+)
+def q_corr_with_target(spark, sf):
+    r = profile.corr_with_target(bookings_view(spark, sf), list(_NUM_BV), "is_canceled")
+    return r.select("column", R("correlation").alias("correlation"), R("abs_correlation").alias("abs_correlation"))
+
+
+_LI_NUM = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_linenumber")
+
+
+@query(
+    "corr_matrix",
+    "\nUNION ALL\n".join(
+        f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(corr({a}, {b}), 6) AS correlation FROM lineitem"
+        for i, a in enumerate(_LI_NUM)
+        for b in _LI_NUM[i + 1 :]
+    ),
+)
+def q_corr_matrix(spark, sf):
+    m = profile.corr_matrix(table(spark, sf, "lineitem"), list(_LI_NUM))
+    return m.select("col_a", "col_b", R("correlation").alias("correlation"))
+
+
+_SCREEN_NUM = ("booking_id", "lead_time", "total_of_special_requests", "is_repeated_guest", "previous_cancellations", "agent", "adr")
+_SCREEN_CAT = ("country", "market_segment", "deposit_type", "assigned_room_type")
+
+
+def _screen_oracle() -> str:
+    num = "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS col, 'numeric' AS type, corr(coalesce(CAST({c} AS DOUBLE), (SELECT coalesce(quantile_cont({c}, 0.5), 0) FROM bv)), CAST(is_canceled AS DOUBLE)) AS r, "
+        f"CAST(NULL AS VARCHAR) AS best_category, min(coalesce(CAST({c} AS DOUBLE), (SELECT coalesce(quantile_cont({c}, 0.5), 0) FROM bv))) = "
+        f"max(coalesce(CAST({c} AS DOUBLE), (SELECT coalesce(quantile_cont({c}, 0.5), 0) FROM bv))) AS is_const FROM bv"
+        for c in _SCREEN_NUM
+    )
+    cat_long = "\nUNION ALL\n".join(f"SELECT '{c}' AS col, {c} AS level, CAST(is_canceled AS DOUBLE) AS y FROM bv" for c in _SCREEN_CAT)
+    return bview(
+        f"""
+, num AS ({num}),
+long AS ({cat_long}),
+tot AS (SELECT CAST(count(*) AS DOUBLE) AS nn, sum(CAST(is_canceled AS DOUBLE)) AS t1, sum(CAST(is_canceled AS DOUBLE) * is_canceled) AS t2 FROM bv),
+lv AS (SELECT col, level, CAST(count(*) AS DOUBLE) AS n, sum(y) AS s FROM long GROUP BY col, level),
+lr AS (SELECT col, level, (nn * s - n * t1) / sqrt(n * (nn - n) * (nn * t2 - t1 * t1)) AS r
+       FROM lv CROSS JOIN tot WHERE n < nn),
+best AS (SELECT col, level, r, row_number() OVER (PARTITION BY col ORDER BY abs(r) DESC, level IS NULL, level) AS rk FROM lr),
+nlev AS (SELECT col, count(level) AS k FROM lv GROUP BY col),
+cat AS (SELECT b.col, 'categorical' AS type, b.r, b.col || '_' || coalesce(b.level, 'nan') AS best_category, nlev.k <= 1 AS is_const
+        FROM best b JOIN nlev ON b.col = nlev.col WHERE rk = 1),
+alls AS (SELECT * FROM num UNION ALL SELECT * FROM cat)
+SELECT col AS "column", type,
+       round(CASE WHEN is_const THEN NULL ELSE r END, 6) AS correlation,
+       round(CASE WHEN is_const THEN NULL ELSE abs(r) END, 6) AS abs_correlation,
+       CASE WHEN is_const THEN NULL ELSE best_category END AS best_category,
+       CASE WHEN is_const THEN 'constant' WHEN abs(r) >= 0.5 THEN 'leakage' WHEN abs(r) < 0.2 THEN 'not_relevant' ELSE 'useful' END AS reason,
+       NOT is_const AND (abs(r) >= 0.5 OR abs(r) < 0.2) AS "drop"
+FROM alls
+"""
+    ).replace(")\n, num AS", "), num AS", 1)
+
+
+@query("screen_by_target_corr", _screen_oracle())
+def q_screen_by_target_corr(spark, sf):
+    b = bookings_view(spark, sf).select("is_canceled", *_SCREEN_NUM, *_SCREEN_CAT, "reservation_status_date")
+    _, rows = screen.screen_by_target_corr(b, "is_canceled")
+    d = screen.decisions_frame(spark, rows)
+    return d.select("column", "type", R("correlation").alias("correlation"), R("abs_correlation").alias("abs_correlation"), "best_category", "reason", "drop")
+
+
+_PAIR_COLS = ("l_quantity", "l_extendedprice", "price_copy", "l_discount", "l_tax", "disc_copy")
+_PAIR_SQL = """
+SELECT l_quantity, l_extendedprice, l_extendedprice * 1.05 + l_tax * 1000 AS price_copy, l_discount, l_tax,
+       l_discount * 2 + l_tax * 0.3 AS disc_copy
+FROM lineitem"""
+
+
+def _pairs_frame(spark, sf) -> DataFrame:
+    li = table(spark, sf, "lineitem")
+    return li.select(
+        "l_quantity",
+        "l_extendedprice",
+        (F.col("l_extendedprice") * 1.05 + F.col("l_tax") * 1000).alias("price_copy"),
+        "l_discount",
+        "l_tax",
+        (F.col("l_discount") * 2 + F.col("l_tax") * 0.3).alias("disc_copy"),
+    )
+
+
+@query(
+    "drop_correlated_pairs",
+    f"WITH t AS ({_PAIR_SQL}),\np AS (\n"
+    + "\nUNION ALL\n".join(
+        f"SELECT '{a}' AS feature_1, '{b}' AS feature_2, abs(corr({a}, {b})) AS r, var_samp({a}) AS v1, var_samp({b}) AS v2 FROM t"
+        for i, a in enumerate(_PAIR_COLS)
+        for b in _PAIR_COLS[i + 1 :]
+    )
+    + ")\nSELECT feature_1, feature_2, round(r, 6) AS abs_corr, CASE WHEN v1 < v2 THEN feature_1 ELSE feature_2 END AS dropped FROM p WHERE r > 0.8",
+)
+def q_drop_correlated_pairs(spark, sf):
+    m = screen.moment_matrix(_pairs_frame(spark, sf), list(_PAIR_COLS), fill=0.0)
+    pairs, _ = screen.correlated_pairs(m, 0.8)
+    return spark.createDataFrame(pairs, "feature_1 string, feature_2 string, abs_corr double, dropped string").select(
+        "feature_1", "feature_2", R("abs_corr").alias("abs_corr"), "dropped"
+    )
+
+
+@query("vif")
+def q_vif(spark, sf):
+    """C13 (rows-only; checked against NumPy OLS in tests): iterative VIF drops on lineitem + near copies."""
+    df = _pairs_frame(spark, sf)
+    m = screen.moment_matrix(df, list(_PAIR_COLS), fill=0.0)
+    scores = screen.vif_scores(m, list(_PAIR_COLS))
+    drops = screen.drop_high_vif(m, list(_PAIR_COLS), 10.0, 10)
+    dropped = {c: (it, v) for it, c, v in drops}
+    rows = [(c, float(scores[c]), dropped.get(c, (None, None))[0]) for c in _PAIR_COLS]
+    return spark.createDataFrame(rows, "feature string, vif_first_round double, dropped_at_iteration int")
