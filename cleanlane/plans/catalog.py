@@ -926,3 +926,155 @@ def q_vif(spark, sf):
     dropped = {c: (it, v) for it, c, v in drops}
     rows = [(c, float(scores[c]), dropped.get(c, (None, None))[0]) for c in _PAIR_COLS]
     return spark.createDataFrame(rows, "feature string, vif_first_round double, dropped_at_iteration int")
+
+
+# =========================================================== step 6 evaluation
+_SCORED_SQL = """
+SELECT doc_id, toxic AS label,
+       round(0.35 + 0.3 * (1 - quality) + (doc_id % 7) / 20.0, 6) AS score,
+       CASE WHEN 0.35 + 0.3 * (1 - quality) + (doc_id % 7) / 20.0 >= 0.5 THEN 1 ELSE 0 END AS prediction,
+       round(0.2 + 0.5 * (1 - quality) + (doc_id % 3) / 10.0, 6) AS score_b,
+       CASE WHEN 0.2 + 0.5 * (1 - quality) + (doc_id % 3) / 10.0 >= 0.5 THEN 1 ELSE 0 END AS prediction_b
+FROM labels"""
+
+
+def _auc_cte(name: str, score: str) -> str:
+    """CTE ``name`` with one column roc_auc from all positive x negative pairs (oracle only)."""
+    return (
+        f"{name} AS (SELECT round((count(*) FILTER (WHERE p.{score} > q.{score}) + 0.5 * count(*) FILTER (WHERE p.{score} = q.{score}))"
+        f" / count(*), 6) AS roc_auc FROM (SELECT * FROM t WHERE label = 1) p CROSS JOIN (SELECT * FROM t WHERE label = 0) q)"
+    )
+
+
+def _scored(spark, sf) -> DataFrame:
+    lab = table(spark, sf, "labels")
+    s_a = F.lit(0.35) + F.lit(0.3) * (1 - F.col("quality")) + (F.col("doc_id") % 7) / F.lit(20.0)
+    s_b = F.lit(0.2) + F.lit(0.5) * (1 - F.col("quality")) + (F.col("doc_id") % 3) / F.lit(10.0)
+    return lab.select(
+        "doc_id",
+        F.col("toxic").alias("label"),
+        F.round(s_a, 6).alias("score"),
+        F.when(s_a >= 0.5, 1).otherwise(0).alias("prediction"),
+        F.round(s_b, 6).alias("score_b"),
+        F.when(s_b >= 0.5, 1).otherwise(0).alias("prediction_b"),
+    )
+
+
+@query(
+    "confusion",
+    f"""
+WITH t AS ({_SCORED_SQL}),
+c AS (SELECT count(*) FILTER (WHERE label = 1 AND prediction = 1) AS tp, count(*) FILTER (WHERE label = 0 AND prediction = 1) AS fp,
+             count(*) FILTER (WHERE label = 1 AND prediction = 0) AS fn, count(*) FILTER (WHERE label = 0 AND prediction = 0) AS tn FROM t)
+SELECT 1 AS actual, 1 AS predicted, tp AS count FROM c UNION ALL SELECT 0, 1, fp FROM c
+UNION ALL SELECT 1, 0, fn FROM c UNION ALL SELECT 0, 0, tn FROM c
+""",
+)
+def q_confusion(spark, sf):
+    return evaluate.confusion_matrix(_scored(spark, sf), "label", "prediction")
+
+
+_METRIC_CTE = """
+c AS (SELECT CAST(count(*) FILTER (WHERE label = 1 AND prediction = 1) AS DOUBLE) AS tp,
+             CAST(count(*) FILTER (WHERE label = 0 AND prediction = 1) AS DOUBLE) AS fp,
+             CAST(count(*) FILTER (WHERE label = 1 AND prediction = 0) AS DOUBLE) AS fn,
+             CAST(count(*) FILTER (WHERE label = 0 AND prediction = 0) AS DOUBLE) AS tn FROM t)"""
+
+
+@query(
+    "class_report",
+    f"""
+WITH t AS ({_SCORED_SQL}),{_METRIC_CTE},
+m AS (SELECT tp, fp, fn, tn,
+             coalesce(tp / nullif(tp + fp, 0), 0) AS p1, coalesce(tp / nullif(tp + fn, 0), 0) AS r1,
+             coalesce(tn / nullif(tn + fn, 0), 0) AS p0, coalesce(tn / nullif(tn + fp, 0), 0) AS r0,
+             coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1_1, coalesce(2 * tn / nullif(2 * tn + fn + fp, 0), 0) AS f1_0,
+             tp + fn AS s1, tn + fp AS s0 FROM c)
+SELECT '0' AS class, round(p0, 6) AS precision, round(r0, 6) AS recall, round(f1_0, 6) AS f1, CAST(s0 AS BIGINT) AS support FROM m
+UNION ALL SELECT '1', round(p1, 6), round(r1, 6), round(f1_1, 6), CAST(s1 AS BIGINT) FROM m
+UNION ALL SELECT 'accuracy', round((tp + tn) / (s0 + s1), 6), round((tp + tn) / (s0 + s1), 6), round((tp + tn) / (s0 + s1), 6), CAST(s0 + s1 AS BIGINT) FROM m
+UNION ALL SELECT 'macro avg', round((p0 + p1) / 2, 6), round((r0 + r1) / 2, 6), round((f1_0 + f1_1) / 2, 6), CAST(s0 + s1 AS BIGINT) FROM m
+UNION ALL SELECT 'weighted avg', round((p0 * s0 + p1 * s1) / (s0 + s1), 6), round((r0 * s0 + r1 * s1) / (s0 + s1), 6),
+                 round((f1_0 * s0 + f1_1 * s1) / (s0 + s1), 6), CAST(s0 + s1 AS BIGINT) FROM m
+""",
+)
+def q_class_report(spark, sf):
+    r = evaluate.classification_report(_scored(spark, sf), "label", "prediction")
+    return r.select("class", *[R(c).alias(c) for c in ("precision", "recall", "f1")], "support")
+
+
+@query("roc_auc", f"WITH t AS ({_SCORED_SQL}),\n" + _auc_cte("a", "score") + "\nSELECT roc_auc FROM a")
+def q_roc_auc(spark, sf):
+    return evaluate.roc_auc_frame(_scored(spark, sf), "label", "score").select(R("roc_auc").alias("roc_auc"))
+
+
+@query(
+    "roc_curve",
+    f"""
+WITH t AS ({_SCORED_SQL}),
+g AS (SELECT score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label <> 1) AS neg FROM t GROUP BY score),
+c AS (SELECT score, sum(pos) OVER (ORDER BY score DESC) AS tp, sum(neg) OVER (ORDER BY score DESC) AS fp FROM g)
+SELECT score AS threshold, CAST(tp AS BIGINT) AS tp, CAST(fp AS BIGINT) AS fp,
+       round(tp / (SELECT sum(pos) FROM g), 6) AS tpr, round(fp / (SELECT sum(neg) FROM g), 6) AS fpr FROM c
+""",
+)
+def q_roc_curve(spark, sf):
+    r = evaluate.roc_curve(_scored(spark, sf), "label", "score")
+    return r.select("threshold", "tp", "fp", R("tpr").alias("tpr"), R("fpr").alias("fpr"))
+
+
+def _metrics_sql(pred: str, score: str) -> str:
+    return f"""
+SELECT coalesce((tp + tn) / nullif(tp + fp + fn + tn, 0), 0) AS accuracy,
+       coalesce(tp / nullif(tp + fp, 0), 0) AS precision,
+       coalesce(tp / nullif(tp + fn, 0), 0) AS recall,
+       coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1
+FROM (SELECT CAST(count(*) FILTER (WHERE label = 1 AND {pred} = 1) AS DOUBLE) AS tp,
+             CAST(count(*) FILTER (WHERE label = 0 AND {pred} = 1) AS DOUBLE) AS fp,
+             CAST(count(*) FILTER (WHERE label = 1 AND {pred} = 0) AS DOUBLE) AS fn,
+             CAST(count(*) FILTER (WHERE label = 0 AND {pred} = 0) AS DOUBLE) AS tn FROM t)"""
+
+
+@query(
+    "metrics",
+    f"""
+WITH t AS ({_SCORED_SQL}),
+m AS ({_metrics_sql("prediction", "score")}),
+{_auc_cte("a", "score")}
+SELECT round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, roc_auc
+FROM m CROSS JOIN a
+""",
+)
+def q_metrics(spark, sf):
+    m = evaluate.metrics_frame(_scored(spark, sf), "label", "prediction", "score")
+    return m.select(*[R(c).alias(c) for c in evaluate.METRICS])
+
+
+@query(
+    "compare_models",
+    f"""
+WITH t AS ({_SCORED_SQL}),
+ma AS ({_metrics_sql("prediction", "score")}),
+mb AS ({_metrics_sql("prediction_b", "score_b")}),
+{_auc_cte("aa", "score")},
+{_auc_cte("ab", "score_b")},
+l AS (
+  SELECT 'accuracy' AS metric, round(ma.accuracy, 6) AS a, round(mb.accuracy, 6) AS b FROM ma CROSS JOIN mb
+  UNION ALL SELECT 'precision', round(ma.precision, 6), round(mb.precision, 6) FROM ma CROSS JOIN mb
+  UNION ALL SELECT 'recall', round(ma.recall, 6), round(mb.recall, 6) FROM ma CROSS JOIN mb
+  UNION ALL SELECT 'f1', round(ma.f1, 6), round(mb.f1, 6) FROM ma CROSS JOIN mb
+  UNION ALL SELECT 'roc_auc', aa.roc_auc, ab.roc_auc FROM aa CROSS JOIN ab)
+SELECT metric, round(a, 6) AS "default", round(b, 6) AS tuned, round(b - a, 6) AS improvement,
+       round(CASE WHEN a = 0 THEN NULL ELSE (b - a) * 100.0 / a END, 4) AS improvement_pct
+FROM l
+""",
+)
+def q_compare_models(spark, sf):
+    s = _scored(spark, sf)
+    a = evaluate.metrics_frame(s, "label", "prediction", "score").first().asDict()
+    b = evaluate.metrics_frame(s, "label", "prediction_b", "score_b").first().asDict()
+    # the comparison works on the reported (rounded) values
+    a = {k: round(v, 6) for k, v in a.items()}
+    b = {k: round(v, 6) for k, v in b.items()}
+    c = evaluate.compare_models(spark, a, b)
+    return c.select("metric", R("default").alias("default"), R("tuned").alias("tuned"), R("improvement").alias("improvement"), R("improvement_pct", 4).alias("improvement_pct"))
