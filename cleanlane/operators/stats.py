@@ -26,10 +26,11 @@ bucket is a window partitioned by bucket.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Sketch accuracy for the bracketing pass: rank error <= n / accuracy.
 DEFAULT_ACCURACY = 10_000
@@ -47,66 +48,54 @@ def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
     return out.where(F.col("value").isNotNull() & ~F.isnan("value"))
 
 
-def quantiles(
-    df: DataFrame,
-    cols: Sequence[str],
-    probs: Iterable[float],
-    by: Sequence[str] = (),
-    accuracy: int = DEFAULT_ACCURACY,
-) -> DataFrame:
-    """Exact linear-interpolated quantiles, long format.
+def _brackets(values: DataFrame, keys: list[str], probs: Sequence[float], accuracy: int) -> DataFrame:
+    """(keys..., n, pos, prob, lo, hi): a value bracket around rank ~prob*n for each position.
 
-    Returns ``(by..., column, prob, n, quantile)``; groups/columns without a
-    non-null value produce no row.
+    The sketch ranks by ceil(p*n) while interpolation uses (n-1)*p; the gap is
+    below one row, which the margin covers only once n > 4*accuracy.  Smaller
+    groups take [min, max] as bracket: at most 4*accuracy candidate rows.
     """
-    by = list(by)
-    probs = sorted({float(p) for p in probs})
-    keys = by + ["column"]
     margin = 2.0 / accuracy
     bracket_probs: list[float] = []
     for p in probs:
         bracket_probs += [max(0.0, p - margin), min(1.0, p + margin)]
-
-    values = long_values(df, cols, by)
     sketch = values.groupBy(*keys).agg(
         F.count("value").alias("n"),
         F.min("value").alias("vmin"),
         F.max("value").alias("vmax"),
         F.approx_percentile("value", bracket_probs, accuracy).alias("br"),
     )
-    # The sketch ranks by ceil(p*n) while interpolation uses (n-1)*p; the gap is
-    # below one row, which the margin covers only once n > 4*accuracy.  Smaller
-    # groups take [min, max] as bracket: at most 4*accuracy candidate rows.
     small = F.col("n") <= F.lit(4 * accuracy)
-    per_prob = F.array(
+    per_pos = F.array(
         *[
             F.struct(
-                F.lit(p).alias("prob"),
+                F.lit(i).alias("pos"),
+                F.lit(float(p)).alias("prob"),
                 F.when(small, F.col("vmin")).otherwise(F.col("br")[2 * i]).alias("lo"),
                 F.when(small, F.col("vmax")).otherwise(F.col("br")[2 * i + 1]).alias("hi"),
             )
             for i, p in enumerate(probs)
         ]
     )
-    pos = (F.col("n") - 1) * F.col("prob")
-    targets = (
-        sketch.select(*keys, "n", F.inline(per_prob))
-        .withColumn("k", F.floor(pos).cast("long"))
-        .withColumn("frac", pos - F.floor(pos))
-        .withColumn("k2", F.least(F.col("k") + 1, F.col("n") - 1))
-    )
-    if not by:
-        # one row per (column, prob): size bounded by the call's arguments
-        targets = F.broadcast(targets)
-    tkeys = keys + ["prob", "n", "k", "k2", "frac", "lo", "hi"]
+    return sketch.select(*keys, "n", F.inline(per_pos))
+
+
+def _select(values: DataFrame, targets: DataFrame, keys: list[str], broadcast_targets: bool) -> DataFrame:
+    """Exact order statistics inside brackets.
+
+    ``targets``: (keys..., pos, k, k2, frac, lo, hi, ...) with 0-based ranks k <= k2.
+    Returns (keys..., pos, v1, v2, below, upto_hi, bad): the values at ranks k and k2.
+    """
+    t = F.broadcast(targets) if broadcast_targets else targets
+    tkeys = keys + ["pos", "k", "k2", "frac", "lo", "hi"]
     cand = (
-        values.join(targets, keys)
+        values.join(t, keys)
         .where(F.col("value") <= F.col("hi"))
         .groupBy(*tkeys, F.when(F.col("value") >= F.col("lo"), F.col("value")).alias("cv"))
         .agg(F.count(F.lit(1)).alias("cnt"))
     )
     w = (
-        Window.partitionBy(*keys, "prob")
+        Window.partitionBy(*keys, "pos")
         .orderBy(F.col("cv").asc_nulls_first())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
@@ -117,14 +106,68 @@ def quantiles(
         F.min(F.when(F.col("cum") > F.col("k"), F.col("cv"))).alias("v1"),
         F.min(F.when(F.col("cum") > F.col("k2"), F.col("cv"))).alias("v2"),
     )
-    bad = (F.col("below") > F.col("k")) | (F.col("upto_hi") <= F.col("k2"))
+    return res.withColumn("bad", (F.col("below") > F.col("k")) | (F.col("upto_hi") <= F.col("k2")))
+
+
+def _checked(value, bad) -> Column:
+    return F.when(bad, F.raise_error(F.lit("order-statistic sketch bracket missed")).cast("double")).otherwise(value)
+
+
+def quantiles(
+    df: DataFrame,
+    cols: Sequence[str],
+    probs: Iterable[float],
+    by: Sequence[str] = (),
+    accuracy: int = DEFAULT_ACCURACY,
+) -> DataFrame:
+    """Exact linear-interpolated quantiles, long format.
+
+    Returns ``(by..., column, prob, n, quantile)``; groups/columns without a
+    non-null value produce no row.
+    """
+    by = list(by)
+    probs = sorted({float(p) for p in probs})
+    keys = by + ["column"]
+    values = long_values(df, cols, by)
+    pos = (F.col("n") - 1) * F.col("prob")
+    targets = (
+        _brackets(values, keys, probs, accuracy)
+        .withColumn("k", F.floor(pos).cast("long"))
+        .withColumn("frac", pos - F.floor(pos))
+        .withColumn("k2", F.least(F.col("k") + 1, F.col("n") - 1))
+    )
+    # ungrouped: one row per (column, prob), bounded by the call's arguments
+    res = _select(values, targets, keys, broadcast_targets=not by)
+    res = res.join(targets.select(*keys, "pos", "prob", "n"), keys + ["pos"])
     q = F.col("v1") + F.col("frac") * (F.col("v2") - F.col("v1"))
-    return res.select(
-        *keys,
-        "prob",
-        "n",
-        F.when(bad, F.raise_error(F.lit("quantile sketch bracket missed")).cast("double")).otherwise(q).alias("quantile"),
+    return res.select(*keys, "prob", "n", _checked(q, F.col("bad")).alias("quantile"))
+
+
+def kth_smallest(df: DataFrame, col: str, by: str, ranks: Mapping, prob: float | Sequence[float], accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
+    """Exact k-th smallest (1-based) value of ``col`` per group value of ``by``.
+
+    ``ranks`` maps a group value to k or to a list of k's (one per position);
+    ``prob`` gives, per position, the constant fraction the ranks sit near
+    (it only centres the sketch bracket; each k must lie within
+    ~accuracy^-1 of prob * n_group, as stratified sizes do).
+    Returns (by, pos, k, value).
+    """
+    probs = [float(prob)] if isinstance(prob, (int, float)) else [float(p) for p in prob]
+    rows = []
+    for g, ks in ranks.items():
+        ks = [ks] if isinstance(ks, int) else list(ks)
+        rows += [(g, i, int(k)) for i, k in enumerate(ks)]
+    spark = df.sparkSession
+    gtype = df.schema[by].dataType
+    kdf = spark.createDataFrame(rows, T.StructType([T.StructField(by, gtype), T.StructField("pos", T.IntegerType()), T.StructField("k_1", T.LongType())]))
+    values = df.select(by, F.col(col).cast("double").alias("value")).where(F.col("value").isNotNull())
+    br = _brackets(values, [by], probs, accuracy)
+    # one row per requested (group, position): bounded by ``ranks``
+    targets = br.join(F.broadcast(kdf), [by, "pos"]).select(
+        by, "pos", "k_1", (F.col("k_1") - 1).alias("k"), (F.col("k_1") - 1).alias("k2"), F.lit(0.0).alias("frac"), "lo", "hi"
     )
+    res = _select(values, targets.drop("k_1"), [by], broadcast_targets=True)
+    return res.select(by, "pos", (F.col("k") + 1).alias("k"), _checked(F.col("v1"), F.col("bad")).alias("value"))
 
 
 def quantile_map(df: DataFrame, cols: Sequence[str], probs: Iterable[float], **kw) -> dict[tuple[str, float], float]:

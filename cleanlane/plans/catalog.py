@@ -1078,3 +1078,142 @@ def q_compare_models(spark, sf):
     b = {k: round(v, 6) for k, v in b.items()}
     c = evaluate.compare_models(spark, a, b)
     return c.select("metric", R("default").alias("default"), R("tuned").alias("tuned"), R("improvement").alias("improvement"), R("improvement_pct", 4).alias("improvement_pct"))
+
+
+# ============================================================ step 7 modelling
+_SPLIT_ORACLE = bview(
+    """
+, c AS (SELECT is_canceled AS label, count(*) AS n_y FROM bv GROUP BY is_canceled),
+t AS (SELECT sum(n_y) AS n, CAST(ceil(0.2 * sum(n_y)) AS BIGINT) AS n_test FROM c),
+a AS (SELECT label, n_y, n_test * n_y // n AS base, (n_test * n_y) % n AS rem, n_test FROM c CROSS JOIN t),
+r AS (SELECT *, row_number() OVER (ORDER BY rem DESC, CAST(label AS VARCHAR)) AS rk, n_test - sum(base) OVER () AS left_over FROM a),
+s AS (SELECT label, n_y, base + CASE WHEN rk <= left_over THEN 1 ELSE 0 END AS k FROM r)
+SELECT label, 'test' AS part, CAST(k AS BIGINT) AS count FROM s
+UNION ALL SELECT label, 'train', CAST(n_y - k AS BIGINT) FROM s
+"""
+).replace(")\n, c AS", "), c AS", 1)
+
+
+@query("stratified_split_counts", _SPLIT_ORACLE)
+def q_stratified_split_counts(spark, sf):
+    from ..operators import model
+
+    b = bookings_view(spark, sf)
+    train, test = model.stratified_split(b, "is_canceled", 0.2, 42, key_cols=["booking_id"])
+    parts = train.select(F.col("is_canceled").alias("label"), F.lit("train").alias("part")).unionByName(
+        test.select(F.col("is_canceled").alias("label"), F.lit("test").alias("part"))
+    )
+    return parts.groupBy("label", "part").agg(F.count(F.lit(1)).alias("count"))
+
+
+@query(
+    "stratified_folds",
+    bview(
+        """
+, c AS (SELECT is_canceled AS label, count(*) AS n_y FROM bv GROUP BY is_canceled),
+f AS (SELECT label, CAST(i AS INTEGER) AS fold,
+             CASE WHEN i = 4 THEN n_y ELSE greatest((i + 1) * n_y // 5, 1) END - CASE WHEN i = 0 THEN 0 ELSE greatest(i * n_y // 5, 1) END AS cnt
+      FROM c CROSS JOIN range(5) AS g(i))
+SELECT label, fold, CAST(cnt AS BIGINT) AS count FROM f
+"""
+    ).replace(")\n, c AS", "), c AS", 1),
+)
+def q_stratified_folds(spark, sf):
+    from ..operators import model
+
+    b = bookings_view(spark, sf)
+    f = model.stratified_folds(b, "is_canceled", 5, 42, key_cols=["booking_id"])
+    return f.groupBy(F.col("is_canceled").alias("label"), "fold").agg(F.count(F.lit(1)).alias("count"))
+
+
+@query(
+    "class_weights",
+    bview(
+        """
+, c AS (SELECT is_canceled AS label, count(*) AS n_y FROM bv GROUP BY is_canceled)
+SELECT label, round((SELECT sum(n_y) FROM c) / ((SELECT count(*) FROM c) * n_y), 6) AS weight FROM c
+"""
+    ).replace(")\n, c AS", "), c AS", 1),
+)
+def q_class_weights(spark, sf):
+    from ..operators import model
+
+    w = model.class_weights(bookings_view(spark, sf), "is_canceled")
+    return spark.createDataFrame([(int(k), float(v)) for k, v in w.items()], "label int, weight double").select("label", R("weight").alias("weight"))
+
+
+_SMOTE_FEATURES = ("lead_time", "adr", "total_of_special_requests", "previous_cancellations")
+
+
+@query(
+    "smote_balance",
+    bview(
+        """
+, c AS (SELECT is_canceled AS label, count(*) AS n FROM bv GROUP BY is_canceled)
+SELECT label, max(n) OVER () AS count FROM c
+"""
+    ).replace(")\n, c AS", "), c AS", 1),
+)
+def q_smote_balance(spark, sf):
+    from ..operators import model
+
+    b = bookings_view(spark, sf).select("is_canceled", *_SMOTE_FEATURES)
+    out = model.smote(b, list(_SMOTE_FEATURES), "is_canceled", k=5, seed=42)
+    return out.groupBy(F.col("is_canceled").alias("label")).agg(F.count(F.lit(1)).alias("count"))
+
+
+def _ml_frame(spark, sf) -> DataFrame:
+    """Cleaned planted bookings with engineered features (E11 without scaling) for the fits."""
+    from .bookings import planted_bookings
+    from .pipeline import engineer_all
+
+    b = planted_bookings(spark, sf).drop("booking_id")
+    b = clean.clean_missing(clean.repair_errors(b))
+    return engineer_all(b, "is_canceled", scaling=None).frame
+
+
+@query("fit_random_forest")
+def q_fit_random_forest(spark, sf):
+    """M2 + M5 + M11 (rows-only): default balanced forest on the planted label."""
+    from .training import metrics_row, train_default_forest
+
+    r = train_default_forest(_ml_frame(spark, sf), "is_canceled")
+    return metrics_row(spark, r.name, r.metrics)
+
+
+@query("fit_logistic")
+def q_fit_logistic(spark, sf):
+    """M3 + M4 + M9 + M14 (rows-only): progressive selection with SMOTE."""
+    from .training import metrics_row, train_logistic
+
+    r = train_logistic(_ml_frame(spark, sf), "is_canceled", counts=(2, 5, 10, 200))
+    return metrics_row(spark, r.name, r.metrics)
+
+
+@query("fit_boosted_trees")
+def q_fit_boosted_trees(spark, sf):
+    """M3 + M6 + M9 (rows-only): boosted trees with progressive selection."""
+    from .training import metrics_row, train_boosted
+
+    r = train_boosted(_ml_frame(spark, sf), "is_canceled", counts=(5, 200), max_iter=20)
+    return metrics_row(spark, r.name, r.metrics)
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf):
+    """M10 (rows-only): impurity importances of the default forest, sorted desc."""
+    from ..operators import model
+    from .training import train_default_forest
+
+    r = train_default_forest(_ml_frame(spark, sf), "is_canceled", num_trees=30)
+    return model.importance_frame(spark, r.importance)
+
+
+@query("grid_search")
+def q_grid_search(spark, sf):
+    """M7 + M8 + M13 (rows-only): CV over a two-point slice of the translated reference grid."""
+    from .training import tune_forest
+
+    grid = {"numTrees": [20], "maxDepth": [5, 10]}
+    r = tune_forest(_ml_frame(spark, sf), "is_canceled", grid=grid, folds=3)
+    return r.extra["cv_results"]
