@@ -22,6 +22,7 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -84,7 +85,8 @@ def knn_within(points: DataFrame, vec_col: str, k: int = 5, seed: int = 42, rows
 
     Returns (pid, vec, mult, nn_vecs): one row per distinct vector with its
     multiplicity and the vectors of its k nearest neighbours (fewer if the
-    set has fewer than k+1 points).
+    set has fewer than k+1 points).  The result is persisted (MEMORY_AND_DISK);
+    call ``unpersist()`` on it when done.
     """
     distinct = points.groupBy(F.col(vec_col).cast("array<double>").alias("vec")).agg(F.count(F.lit(1)).alias("mult"))
     dim_row = distinct.select(F.size("vec").alias("d")).first()
@@ -92,7 +94,8 @@ def knn_within(points: DataFrame, vec_col: str, k: int = 5, seed: int = 42, rows
         return points.sparkSession.createDataFrame([], NEIGHBOURS_SCHEMA)
     w = _direction(int(dim_row["d"]), seed)
     proj = F.aggregate(F.zip_with(F.col("vec"), F.array(*[F.lit(float(x)) for x in w]), lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
-    pts = distinct.withColumn("pid", F.xxhash64(F.lit(seed), "vec")).withColumn("p", proj)
+    # the distinct points feed five jobs below: keep them (MEMORY_AND_DISK; lost blocks recompute from lineage)
+    pts = distinct.withColumn("pid", F.xxhash64(F.lit(seed), "vec")).withColumn("p", proj).persist(StorageLevel.MEMORY_AND_DISK)
     n = pts.count()
     n_b = max(1, math.ceil(n / rows_per_bucket))
     if n_b > 1:
@@ -120,7 +123,12 @@ def knn_within(points: DataFrame, vec_col: str, k: int = 5, seed: int = 42, rows
         _, neigh = _knn_block(home, pdf.reset_index(drop=True), k)
         return pd.DataFrame({"pid": home["pid"], "vec": home["vec"], "mult": home["mult"], "nn_vecs": neigh})
 
-    return homes.unionByName(guests).groupBy("bucket").applyInPandas(second_pass, NEIGHBOURS_SCHEMA)
+    out = homes.unionByName(guests).groupBy("bucket").applyInPandas(second_pass, NEIGHBOURS_SCHEMA)
+    # materialised once; the caller reads it several times and unpersists it
+    out = out.persist(StorageLevel.MEMORY_AND_DISK)
+    out.count()
+    pts.unpersist()
+    return out
 
 
 def brute_force_knn(vectors: np.ndarray, k: int) -> list[list[int]]:

@@ -16,6 +16,10 @@ from ..functions.columns import numeric_columns
 from . import stats
 
 
+def _empty(df: DataFrame, schema: str) -> DataFrame:
+    return df.sparkSession.createDataFrame([], schema)
+
+
 def _unpivot(row_df: DataFrame, names: Sequence[str], fields: dict[str, str]) -> DataFrame:
     """Turn a one-row aggregate with columns ``<field>__<name>`` into rows (column, field...)."""
     structs = [
@@ -29,6 +33,8 @@ def _unpivot(row_df: DataFrame, names: Sequence[str], fields: dict[str, str]) ->
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None, nonzero_only: bool = True) -> DataFrame:
     """A1: (column, null_count, null_pct) — percent of rows; non-zero rows only, sorted by count desc."""
     cols = list(cols or df.columns)
+    if not cols:
+        return _empty(df, "column string, null_count long, null_pct double")
     row = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(F.col(c).isNull()).alias(f"nulls__{i}") for i, c in enumerate(cols)])
     out = row.select(
         F.inline(
@@ -67,6 +73,8 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -
 def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """A5: count, mean, sample std, min, exact quartiles, max per numeric column."""
     cols = list(cols or numeric_columns(df))
+    if not cols:
+        return _empty(df, "column string, count long, mean double, std double, min double, q25 double, q50 double, q75 double, max double")
     moments = df.agg(
         *[
             x
@@ -110,6 +118,8 @@ def top_values(df: DataFrame, col: str, k: int) -> list:
 def nunique(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """(column, n_unique) — distinct non-null values per column, one aggregate."""
     cols = list(cols or df.columns)
+    if not cols:
+        return _empty(df, "column string, n_unique long")
     row = df.agg(*[F.count_distinct(F.col(c)).alias(f"nunique__{i}") for i, c in enumerate(cols)])
     return _unpivot(row, cols, {"nunique": "long"}).withColumnRenamed("nunique", "n_unique")
 
@@ -152,6 +162,8 @@ def cramers_v(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     (one shuffle for all columns together); V is null when a side has one level.
     """
     cols = list(cols)
+    if not cols:
+        return _empty(df, "column string, n long, n_levels long, chi2 double, cramers_v double")
     cells = (
         df.where(F.col(target).isNotNull())
         .select(
@@ -203,7 +215,9 @@ def safe_corr(x: Column, y: Column) -> Column:
 
 def corr_with_target(df: DataFrame, cols: Sequence[str] | None, target: str) -> DataFrame:
     """(column, correlation, abs_correlation) sorted by |r| desc; one aggregate."""
-    cols = [c for c in (cols or numeric_columns(df)) if c != target]
+    cols = [c for c in (cols if cols is not None else numeric_columns(df)) if c != target]
+    if not cols:
+        return _empty(df, "column string, correlation double, abs_correlation double")
     row = df.agg(*[safe_corr(F.col(c), F.col(target)).alias(f"r__{i}") for i, c in enumerate(cols)])
     out = _unpivot(row, cols, {"r": "double"}).withColumnRenamed("r", "correlation")
     return out.withColumn("abs_correlation", F.abs("correlation")).orderBy(F.col("abs_correlation").desc_nulls_last(), "column")
@@ -292,6 +306,8 @@ def outlier_counts(df: DataFrame, cols: Sequence[str] | None = None, k_mild: flo
 def scalar_stats(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """(column, min, max, mean, sum, std, var) with sample std/var; one aggregate."""
     cols = list(cols or numeric_columns(df))
+    if not cols:
+        return _empty(df, "column string, min double, max double, mean double, sum double, std double, var double")
     row = df.agg(
         *[
             x
@@ -374,6 +390,8 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str] | None = None, whis: float
 def indicator_sums(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """(column, ones) — count of ones per 0/1 flag column, one aggregate."""
     cols = list(cols)
+    if not cols:
+        return _empty(df, "column string, ones long")
     row = df.agg(*[F.sum(F.col(c).cast("long")).alias(f"ones__{i}") for i, c in enumerate(cols)])
     return _unpivot(row, cols, {"ones": "long"})
 

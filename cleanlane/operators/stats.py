@@ -80,14 +80,16 @@ def _brackets(values: DataFrame, keys: list[str], probs: Sequence[float], accura
     return sketch.select(*keys, "n", F.inline(per_pos))
 
 
-def _select(values: DataFrame, targets: DataFrame, keys: list[str], broadcast_targets: bool) -> DataFrame:
+def _select(values: DataFrame, targets: DataFrame, keys: list[str], broadcast_targets: bool, carry: Sequence[str] = ()) -> DataFrame:
     """Exact order statistics inside brackets.
 
-    ``targets``: (keys..., pos, k, k2, frac, lo, hi, ...) with 0-based ranks k <= k2.
-    Returns (keys..., pos, v1, v2, below, upto_hi, bad): the values at ranks k and k2.
+    ``targets``: (keys..., pos, k, k2, frac, lo, hi, *carry) with 0-based ranks k <= k2.
+    Returns (keys..., pos, k, k2, frac, lo, hi, *carry, v1, v2, below, upto_hi, bad):
+    the values at ranks k and k2.  Shuffles: the candidate count, then the
+    per-target window (the final aggregate reuses the window's partitioning).
     """
     t = F.broadcast(targets) if broadcast_targets else targets
-    tkeys = keys + ["pos", "k", "k2", "frac", "lo", "hi"]
+    tkeys = keys + ["pos", "k", "k2", "frac", "lo", "hi", *carry]
     cand = (
         values.join(t, keys)
         .where(F.col("value") <= F.col("hi"))
@@ -137,8 +139,7 @@ def quantiles(
         .withColumn("k2", F.least(F.col("k") + 1, F.col("n") - 1))
     )
     # ungrouped: one row per (column, prob), bounded by the call's arguments
-    res = _select(values, targets, keys, broadcast_targets=not by)
-    res = res.join(targets.select(*keys, "pos", "prob", "n"), keys + ["pos"])
+    res = _select(values, targets, keys, broadcast_targets=not by, carry=("prob", "n"))
     q = F.col("v1") + F.col("frac") * (F.col("v2") - F.col("v1"))
     return res.select(*keys, "prob", "n", _checked(q, F.col("bad")).alias("quantile"))
 

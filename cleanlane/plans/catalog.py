@@ -1167,8 +1167,12 @@ def _ml_frame(spark, sf) -> DataFrame:
     from .bookings import planted_bookings
     from .pipeline import engineer_all
 
+    from pyspark import StorageLevel
+
     b = planted_bookings(spark, sf).drop("booking_id")
-    b = clean.clean_missing(clean.repair_errors(b))
+    # the view joins four tables; keep it for the fit jobs of the next steps
+    b = clean.repair_errors(b).persist(StorageLevel.MEMORY_AND_DISK)
+    b = clean.clean_missing(b)
     return engineer_all(b, "is_canceled", scaling=None).frame
 
 
@@ -1217,3 +1221,141 @@ def q_grid_search(spark, sf):
     grid = {"numTrees": [20], "maxDepth": [5, 10]}
     r = tune_forest(_ml_frame(spark, sf), "is_canceled", grid=grid, folds=3)
     return r.extra["cv_results"]
+
+
+# ============================================================ step 8 reports
+@query(
+    "dataset_profile",
+    f"""
+WITH t AS ({_NULLY_ORDERS_SQL})
+SELECT 'o_orderkey' AS "column", count(*) FILTER (WHERE o_orderkey IS NULL) AS null_count FROM t
+UNION ALL SELECT 'price', count(*) FILTER (WHERE price IS NULL) FROM t
+UNION ALL SELECT 'priority', count(*) FILTER (WHERE priority IS NULL) FROM t
+UNION ALL SELECT 'status', count(*) FILTER (WHERE status IS NULL) FROM t
+UNION ALL SELECT 'odate', count(*) FILTER (WHERE odate IS NULL) FROM t
+""",
+)
+def q_dataset_profile(spark, sf):
+    from ..operators import report
+
+    p = report.dataset_profile(_nully_orders(spark, sf))
+    return p["nulls"].select("column", "null_count")
+
+
+@query(
+    "preview",
+    "SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice FROM orders ORDER BY o_orderkey LIMIT 50",
+)
+def q_preview(spark, sf):
+    from ..operators import report
+
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", R("o_totalprice").alias("o_totalprice")).orderBy("o_orderkey")
+    head, _ = report.preview(o, 50)
+    return head
+
+
+@query(
+    "top_k",
+    "SELECT o_orderkey, round(o_totalprice, 6) AS o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 10",
+)
+def q_top_k(spark, sf):
+    """The k largest rows (a top-k report: the limit is the feature)."""
+    o = table(spark, sf, "orders")
+    return o.orderBy(F.col("o_totalprice").desc(), "o_orderkey").limit(10).select("o_orderkey", R("o_totalprice").alias("o_totalprice"))
+
+
+@query(
+    "cleaning_impact",
+    f"""
+WITH t AS ({_NULLY_ORDERS_SQL}),
+n AS (SELECT count(*) AS r,
+             count(*) FILTER (WHERE o_orderkey IS NULL) + count(*) FILTER (WHERE price IS NULL) + count(*) FILTER (WHERE priority IS NULL)
+             + count(*) FILTER (WHERE status IS NULL) + count(*) FILTER (WHERE odate IS NULL) AS nulls,
+             avg(CASE WHEN o_orderkey IS NULL THEN 1.0 ELSE 0.0 END) > 0.3 AS d0, avg(CASE WHEN price IS NULL THEN 1.0 ELSE 0.0 END) > 0.3 AS d1,
+             avg(CASE WHEN priority IS NULL THEN 1.0 ELSE 0.0 END) > 0.3 AS d2, avg(CASE WHEN status IS NULL THEN 1.0 ELSE 0.0 END) > 0.3 AS d3,
+             avg(CASE WHEN odate IS NULL THEN 1.0 ELSE 0.0 END) > 0.3 AS d4 FROM t)
+SELECT 'Rows Removed' AS metric, 0.0 AS value FROM n
+UNION ALL SELECT 'Columns Removed', CAST(d0::INT + d1::INT + d2::INT + d3::INT + d4::INT AS DOUBLE) FROM n
+UNION ALL SELECT 'Missing Values Fixed', CAST(nulls AS DOUBLE) FROM n
+UNION ALL SELECT 'Data Reduction (%)', 0.0 FROM n
+""",
+)
+def q_cleaning_impact(spark, sf):
+    """P9 with C1 as the cleaning: sparse columns dropped, the rest imputed (no row removed)."""
+    from ..operators import report
+
+    raw = _nully_orders(spark, sf)
+    return report.cleaning_impact(raw, clean.clean_missing(raw))
+
+
+@query(
+    "feature_ranking",
+    bview(
+        "\nUNION ALL\n".join(
+            f"SELECT '{c}' AS \"column\", round(corr({c}, is_canceled), 6) AS correlation, round(abs(corr({c}, is_canceled)), 6) AS abs_correlation, "
+            f"CASE WHEN abs(corr({c}, is_canceled)) > 0.3 THEN 'High' WHEN abs(corr({c}, is_canceled)) > 0.1 THEN 'Medium' ELSE 'Low' END AS tier FROM bv"
+            for c in _NUM_BV
+        )
+    ),
+)
+def q_feature_ranking(spark, sf):
+    from ..operators import report
+
+    b = bookings_view(spark, sf).select("is_canceled", *_NUM_BV)
+    r = report.feature_ranking(b, "is_canceled", 20)["ranking"]
+    return r.select("column", R("correlation").alias("correlation"), R("abs_correlation").alias("abs_correlation"), "tier")
+
+
+@query("missing_report")
+def q_missing_report(spark, sf):
+    """P4 (rows-only): seeded random sample of the null pattern (1000 rows)."""
+    from ..operators import report
+
+    return report.missing_report(_nully_orders(spark, sf))["pattern_sample"]
+
+
+@query("outlier_report")
+def q_outlier_report(spark, sf):
+    """P5 (rows-only): outlier counts before/after winsorising the bookings view."""
+    from ..operators import report
+
+    b = bookings_view(spark, sf).drop("booking_id")
+    return report.outlier_report(b, clean.winsorize_iqr(b))
+
+
+@query("target_association")
+def q_target_association(spark, sf):
+    """P7 (rows-only): Cramér's V of the text columns of the bookings view."""
+    from ..operators import report
+
+    return report.target_association(bookings_view(spark, sf).drop("booking_id"), "is_canceled")["categorical"]
+
+
+@query("collinearity_report")
+def q_collinearity_report(spark, sf):
+    """P8 (rows-only): correlation matrix after C14 on lineitem + near copies."""
+    from ..operators import report
+
+    before = _pairs_frame(spark, sf)
+    after, _ = screen.clean_multicollinearity(before, None)
+    return report.collinearity_report(before, after)["after"]
+
+
+@query("pipeline_clean")
+def q_pipeline_clean(spark, sf):
+    """C15 + P3 (rows-only): the nine cleaning stages on the bookings view; returns the stage shapes."""
+    from .pipeline import clean_all
+
+    _, log = clean_all(bookings_view(spark, sf).drop("booking_id"), "is_canceled")
+    return log.frame(spark)
+
+
+@query("pipeline_engineer")
+def q_pipeline_engineer(spark, sf):
+    """E12 + P6/P10–P13 (rows-only): clean then engineer with scaling; returns the pipeline summary."""
+    from ..operators import report
+    from .pipeline import fit_transform
+
+    raw = bookings_view(spark, sf).drop("booking_id")
+    out, _, _ = fit_transform(raw, "is_canceled")
+    return report.pipeline_summary(raw, out, "is_canceled")

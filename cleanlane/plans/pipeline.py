@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ..functions.columns import string_columns
@@ -42,17 +43,26 @@ class StageLog:
 
     shapes: list[tuple[str, int, int]] = field(default_factory=list)
     records: dict = field(default_factory=dict)
+    cached: list = field(default_factory=list)
 
     def frame(self, spark) -> DataFrame:
         return spark.createDataFrame(self.shapes, "stage string, rows long, columns int")
 
 
 def _stage(df: DataFrame, name: str, log: StageLog, out_dir: str | None, count: bool) -> DataFrame:
+    """End a stage: write + re-read it (out_dir), or persist it so the next stage's fits do not replay it."""
     if out_dir:
         write_stage(df, out_dir, name)
         df = read_stage(df.sparkSession, out_dir, name)
+    else:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        log.cached.append(df)
+    n = df.count() if (count or not out_dir) else None
     if count:
-        log.shapes.append((name, df.count(), len(df.columns)))
+        log.shapes.append((name, n, len(df.columns)))
+    # earlier cached stages are no longer read once this one is materialised
+    while len(log.cached) > 1:
+        log.cached.pop(0).unpersist()
     return df
 
 
