@@ -80,7 +80,7 @@ def _knn_block(home: pd.DataFrame, cand: pd.DataFrame, k: int, block: int = 512)
     return radius, neigh
 
 
-def knn_within(points: DataFrame, vec_col: str, k: int = 5, seed: int = 42, rows_per_bucket: int = 4000) -> DataFrame:
+def knn_within(points: DataFrame, vec_col: str, k: int = 5, seed: int = 42, rows_per_bucket: int = 4000, dim: int | None = None) -> DataFrame:
     """Exact kNN of every distinct vector of ``points`` among the same set.
 
     Returns (pid, vec, mult, nn_vecs): one row per distinct vector with its
@@ -89,17 +89,25 @@ def knn_within(points: DataFrame, vec_col: str, k: int = 5, seed: int = 42, rows
     call ``unpersist()`` on it when done.
     """
     distinct = points.groupBy(F.col(vec_col).cast("array<double>").alias("vec")).agg(F.count(F.lit(1)).alias("mult"))
-    dim_row = distinct.select(F.size("vec").alias("d")).first()
-    if dim_row is None:
-        return points.sparkSession.createDataFrame([], NEIGHBOURS_SCHEMA)
-    w = _direction(int(dim_row["d"]), seed)
+    if dim is None:
+        dim_row = distinct.select(F.size("vec").alias("d")).first()
+        if dim_row is None:
+            return points.sparkSession.createDataFrame([], NEIGHBOURS_SCHEMA)
+        dim = int(dim_row["d"])
+    w = _direction(dim, seed)
     proj = F.aggregate(F.zip_with(F.col("vec"), F.array(*[F.lit(float(x)) for x in w]), lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
     # the distinct points feed five jobs below: keep them (MEMORY_AND_DISK; lost blocks recompute from lineage)
     pts = distinct.withColumn("pid", F.xxhash64(F.lit(seed), "vec")).withColumn("p", proj).persist(StorageLevel.MEMORY_AND_DISK)
-    n = pts.count()
-    n_b = max(1, math.ceil(n / rows_per_bucket))
+    # one job: the point count and a fine grid of projection cut points (the bucket cuts are a subset of it)
+    grid = 1024
+    r = pts.agg(F.count(F.lit(1)).alias("n"), F.approx_percentile("p", [i / grid for i in range(1, grid)], 20 * grid).alias("g")).first()
+    n = r["n"]
+    if n == 0:
+        pts.unpersist()
+        return points.sparkSession.createDataFrame([], NEIGHBOURS_SCHEMA)
+    n_b = min(grid, max(1, math.ceil(n / rows_per_bucket)))
     if n_b > 1:
-        cuts = pts.agg(F.approx_percentile("p", [i / n_b for i in range(1, n_b)], max(DEFAULT_ACCURACY, 20 * n_b))).first()[0]
+        cuts = [r["g"][round(i * grid / n_b) - 1] for i in range(1, n_b)]
         pts = pts.withColumn("bucket", _bucket_of(F.col("p"), sorted(set(cuts))))
     else:
         pts = pts.withColumn("bucket", F.lit(0))

@@ -28,6 +28,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterable, Mapping, Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -49,7 +50,7 @@ def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
 
 
 def _brackets(values: DataFrame, keys: list[str], probs: Sequence[float], accuracy: int) -> DataFrame:
-    """(keys..., n, pos, prob, lo, hi): a value bracket around rank ~prob*n for each position.
+    """(keys..., n, lo array, hi array): value brackets around rank ~p*n for each position p.
 
     The sketch ranks by ceil(p*n) while interpolation uses (n-1)*p; the gap is
     below one row, which the margin covers only once n > 4*accuracy.  Smaller
@@ -66,49 +67,70 @@ def _brackets(values: DataFrame, keys: list[str], probs: Sequence[float], accura
         F.approx_percentile("value", bracket_probs, accuracy).alias("br"),
     )
     small = F.col("n") <= F.lit(4 * accuracy)
-    per_pos = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("pos"),
-                F.lit(float(p)).alias("prob"),
-                F.when(small, F.col("vmin")).otherwise(F.col("br")[2 * i]).alias("lo"),
-                F.when(small, F.col("vmax")).otherwise(F.col("br")[2 * i + 1]).alias("hi"),
-            )
-            for i, p in enumerate(probs)
-        ]
-    )
-    return sketch.select(*keys, "n", F.inline(per_pos))
+    lo = F.array(*[F.when(small, F.col("vmin")).otherwise(F.col("br")[2 * i]) for i in range(len(probs))])
+    hi = F.array(*[F.when(small, F.col("vmax")).otherwise(F.col("br")[2 * i + 1]) for i in range(len(probs))])
+    return sketch.select(*keys, "n", lo.alias("lo"), hi.alias("hi"))
 
 
-def _select(values: DataFrame, targets: DataFrame, keys: list[str], broadcast_targets: bool, carry: Sequence[str] = ()) -> DataFrame:
-    """Exact order statistics inside brackets.
+def _resolve(values: DataFrame, targets: DataFrame, keys: list[str], n_pos: int, broadcast_targets: bool) -> DataFrame:
+    """Exact order statistics inside the brackets.
 
-    ``targets``: (keys..., pos, k, k2, frac, lo, hi, *carry) with 0-based ranks k <= k2.
-    Returns (keys..., pos, k, k2, frac, lo, hi, *carry, v1, v2, below, upto_hi, bad):
-    the values at ranks k and k2.  Shuffles: the candidate count, then the
-    per-target window (the final aggregate reuses the window's partitioning).
+    ``targets``: one row per group (keys...) with arrays ``lo``, ``hi`` and
+    0-based ranks ``k``, ``k2`` (each of length ``n_pos``).  One narrow
+    aggregate over the values (key: group + candidate value, where the
+    candidate is null outside every bracket) yields, per position, the count
+    of values below its bracket and the counts of the distinct in-bracket
+    values; everything after it handles candidates only.
+    Returns (keys..., pos, v1, v2, bad): the values at ranks k and k2.
     """
     t = F.broadcast(targets) if broadcast_targets else targets
-    tkeys = keys + ["pos", "k", "k2", "frac", "lo", "hi", *carry]
-    cand = (
-        values.join(t, keys)
-        .where(F.col("value") <= F.col("hi"))
-        .groupBy(*tkeys, F.when(F.col("value") >= F.col("lo"), F.col("value")).alias("cv"))
-        .agg(F.count(F.lit(1)).alias("cnt"))
+    v = F.col("value")
+    inside = [(v >= F.col("lo")[i]) & (v <= F.col("hi")[i]) for i in range(n_pos)]
+    any_inside = inside[0]
+    for c in inside[1:]:
+        any_inside = any_inside | c
+    agg = (
+        values.join(t.select(*keys, "lo", "hi"), keys)
+        .groupBy(*keys, F.when(any_inside, v).alias("cv"))
+        .agg(F.count(F.lit(1)).alias("cnt"), *[F.sum((v < F.col("lo")[i]).cast("long")).alias(f"b{i}") for i in range(n_pos)])
     )
-    w = (
-        Window.partitionBy(*keys, "pos")
-        .orderBy(F.col("cv").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    below = agg.groupBy(*keys).agg(F.array(*[F.sum(f"b{i}") for i in range(n_pos)]).alias("below"))
+    cands = agg.where(F.col("cv").isNotNull()).select(*keys, "cv", "cnt")
+    per_pos = (
+        targets.join(below, keys)
+        .select(*keys, F.posexplode(F.arrays_zip("lo", "hi", "k", "k2", "below")).alias("pos", "t"))
+        .select(*keys, "pos", "t.lo", "t.hi", "t.k", "t.k2", "t.below")
     )
-    cand = cand.withColumn("cum", F.sum("cnt").over(w))
-    res = cand.groupBy(*tkeys).agg(
-        F.coalesce(F.max(F.when(F.col("cv").isNull(), F.col("cnt"))), F.lit(0)).alias("below"),
-        F.sum("cnt").alias("upto_hi"),
+    c = cands.join(per_pos, keys).where((F.col("cv") >= F.col("lo")) & (F.col("cv") <= F.col("hi")))
+    w = Window.partitionBy(*keys, "pos").orderBy("cv").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    c = c.withColumn("cum", F.col("below") + F.sum("cnt").over(w))
+    res = c.groupBy(*keys, "pos", "k", "k2", "below").agg(
+        F.max("cum").alias("upto_hi"),
         F.min(F.when(F.col("cum") > F.col("k"), F.col("cv"))).alias("v1"),
         F.min(F.when(F.col("cum") > F.col("k2"), F.col("cv"))).alias("v2"),
     )
-    return res.withColumn("bad", (F.col("below") > F.col("k")) | (F.col("upto_hi") <= F.col("k2")))
+    # a position with no candidate at all also missed its bracket
+    res = per_pos.join(res.drop("k", "k2", "below"), keys + ["pos"], "left")
+    bad = F.col("upto_hi").isNull() | (F.col("below") > F.col("k")) | (F.col("upto_hi") <= F.col("k2"))
+    return res.select(*keys, "pos", "v1", "v2", bad.alias("bad"))
+
+
+LOCAL_TARGET_ROWS = 100_000
+
+
+def _materialise(targets: DataFrame) -> DataFrame:
+    """Compute the per-group target table once (it is read three times downstream).
+
+    Up to LOCAL_TARGET_ROWS rows it becomes a local relation (collected: the
+    size was just counted); beyond that it stays persisted MEMORY_AND_DISK.
+    """
+    targets = targets.persist(StorageLevel.MEMORY_AND_DISK)
+    n = targets.count()
+    if n <= LOCAL_TARGET_ROWS:
+        local = targets.sparkSession.createDataFrame(targets.collect(), targets.schema)
+        targets.unpersist()
+        return local
+    return targets
 
 
 def _checked(value, bad) -> Column:
@@ -131,44 +153,51 @@ def quantiles(
     probs = sorted({float(p) for p in probs})
     keys = by + ["column"]
     values = long_values(df, cols, by)
-    pos = (F.col("n") - 1) * F.col("prob")
-    targets = (
-        _brackets(values, keys, probs, accuracy)
-        .withColumn("k", F.floor(pos).cast("long"))
-        .withColumn("frac", pos - F.floor(pos))
-        .withColumn("k2", F.least(F.col("k") + 1, F.col("n") - 1))
+    pos = [(F.col("n") - 1) * F.lit(p) for p in probs]
+    targets = _brackets(values, keys, probs, accuracy).select(
+        *keys,
+        "n",
+        "lo",
+        "hi",
+        F.array(*[F.floor(x).cast("long") for x in pos]).alias("k"),
+        F.array(*[F.least(F.floor(x).cast("long") + 1, F.col("n") - 1) for x in pos]).alias("k2"),
+        F.array(*[x - F.floor(x) for x in pos]).alias("frac"),
     )
-    # ungrouped: one row per (column, prob), bounded by the call's arguments
-    res = _select(values, targets, keys, broadcast_targets=not by, carry=("prob", "n"))
+    targets = _materialise(targets)
+    # ungrouped: one row per column, bounded by the call's arguments
+    res = _resolve(values, targets, keys, len(probs), broadcast_targets=not by)
+    meta = targets.select(*keys, "n", F.posexplode("frac").alias("pos", "frac"))
+    res = res.join(meta, keys + ["pos"])
+    prob = F.element_at(F.array(*[F.lit(p) for p in probs]), (F.col("pos") + 1).cast("int"))
     q = F.col("v1") + F.col("frac") * (F.col("v2") - F.col("v1"))
-    return res.select(*keys, "prob", "n", _checked(q, F.col("bad")).alias("quantile"))
+    return res.select(*keys, prob.alias("prob"), "n", _checked(q, F.col("bad")).alias("quantile"))
 
 
 def kth_smallest(df: DataFrame, col: str, by: str, ranks: Mapping, prob: float | Sequence[float], accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Exact k-th smallest (1-based) value of ``col`` per group value of ``by``.
 
-    ``ranks`` maps a group value to k or to a list of k's (one per position);
-    ``prob`` gives, per position, the constant fraction the ranks sit near
-    (it only centres the sketch bracket; each k must lie within
-    ~accuracy^-1 of prob * n_group, as stratified sizes do).
-    Returns (by, pos, k, value).
+    ``ranks`` maps a group value to k or to a list of k's (one per position,
+    the same number for every group); ``prob`` gives, per position, the
+    constant fraction the ranks sit near (it only centres the sketch bracket;
+    each k must lie within ~accuracy^-1 of prob * n_group, as stratified sizes
+    do).  Returns (by, pos, k, value).
     """
     probs = [float(prob)] if isinstance(prob, (int, float)) else [float(p) for p in prob]
     rows = []
     for g, ks in ranks.items():
         ks = [ks] if isinstance(ks, int) else list(ks)
-        rows += [(g, i, int(k)) for i, k in enumerate(ks)]
+        if len(ks) != len(probs):
+            raise ValueError("one rank per position is required for every group")
+        rows.append((g, [int(k) - 1 for k in ks]))
     spark = df.sparkSession
     gtype = df.schema[by].dataType
-    kdf = spark.createDataFrame(rows, T.StructType([T.StructField(by, gtype), T.StructField("pos", T.IntegerType()), T.StructField("k_1", T.LongType())]))
+    kdf = spark.createDataFrame(rows, T.StructType([T.StructField(by, gtype), T.StructField("k", T.ArrayType(T.LongType()))]))
     values = df.select(by, F.col(col).cast("double").alias("value")).where(F.col("value").isNotNull())
-    br = _brackets(values, [by], probs, accuracy)
-    # one row per requested (group, position): bounded by ``ranks``
-    targets = br.join(F.broadcast(kdf), [by, "pos"]).select(
-        by, "pos", "k_1", (F.col("k_1") - 1).alias("k"), (F.col("k_1") - 1).alias("k2"), F.lit(0.0).alias("frac"), "lo", "hi"
-    )
-    res = _select(values, targets.drop("k_1"), [by], broadcast_targets=True)
-    return res.select(by, "pos", (F.col("k") + 1).alias("k"), _checked(F.col("v1"), F.col("bad")).alias("value"))
+    # one row per requested group: bounded by ``ranks``
+    targets = _materialise(_brackets(values, [by], probs, accuracy).join(F.broadcast(kdf), by).withColumn("k2", F.col("k")))
+    res = _resolve(values, targets, [by], len(probs), broadcast_targets=True)
+    kk = targets.select(by, F.posexplode("k").alias("pos", "k0"))
+    return res.join(kk, [by, "pos"]).select(by, "pos", (F.col("k0") + 1).alias("k"), _checked(F.col("v1"), F.col("bad")).alias("value"))
 
 
 def quantile_map(df: DataFrame, cols: Sequence[str], probs: Iterable[float], **kw) -> dict[tuple[str, float], float]:
