@@ -1359,3 +1359,67 @@ def q_pipeline_engineer(spark, sf):
     raw = bookings_view(spark, sf).drop("booking_id")
     out, _, _ = fit_transform(raw, "is_canceled")
     return report.pipeline_summary(raw, out, "is_canceled")
+
+
+@query(
+    "isin_frequent",
+    """
+WITH f AS (SELECT user_id FROM events GROUP BY user_id HAVING count(*) >= 0.008 * (SELECT count(*) FROM events))
+SELECT event_id, CAST(user_id IN (SELECT user_id FROM f) AS INTEGER) AS in_frequent FROM events
+""",
+)
+def q_isin_frequent(spark, sf):
+    """Membership of each event's user in the computed frequent-user set (semi-join flag)."""
+    e = table(spark, sf, "events")
+    n = e.count()
+    freq = e.groupBy("user_id").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") >= F.lit(0.008 * n)).select("user_id")
+    return features.isin_frequent(e.select("event_id", "user_id"), "user_id", freq).select("event_id", "in_frequent")
+
+
+@query(
+    "map_lookup",
+    bview(
+        """
+SELECT booking_id, coalesce(CASE deposit_type WHEN 'No Deposit' THEN 'High' WHEN 'Refundable' THEN 'Medium' WHEN 'Non Refund' THEN 'Low' END, 'Medium') AS deposit_risk
+FROM bv
+"""
+    ),
+)
+def q_map_lookup(spark, sf):
+    """Dictionary lookup with default (null keys take the default)."""
+    from ..functions.columns import map_lookup
+
+    b = bookings_view(spark, sf)
+    return b.select("booking_id", map_lookup("deposit_type", features.DEPOSIT_RISK, "Medium").alias("deposit_risk"))
+
+
+@query("compare_importance")
+def q_compare_importance(spark, sf):
+    """J4 (rows-only): tuned (deeper) vs default forest importances for the tuned top 10."""
+    from ..operators import model
+    from .training import train_default_forest
+
+    frame = _ml_frame(spark, sf)
+    a = train_default_forest(frame, "is_canceled", num_trees=20)
+    b = train_default_forest(frame, "is_canceled", num_trees=40)
+    return model.compare_importance(model.importance_frame(spark, b.importance), model.importance_frame(spark, a.importance))
+
+
+@query("dtype_report")
+def q_dtype_report(spark, sf):
+    """P6 (rows-only): column counts per type before/after type coercion of the raw order strings."""
+    from ..operators import report
+
+    o = table(spark, sf, "orders")
+    k = F.col("o_orderkey")
+    raw = o.select(
+        "o_orderkey",
+        F.lower(F.date_format("o_orderdate", "MMMM")).alias("month_raw"),
+        F.when(k % 5 == 0, F.lit("x")).otherwise((k % 3).cast("string")).alias("flag_raw"),
+        F.when(k % 7 == 0, F.lit("bad")).otherwise((F.col("o_custkey") * 3 + 0.5).cast("string")).alias("int_raw"),
+        (F.col("o_totalprice") / 100).alias("agent_raw"),
+        F.when(k % 4 == 0, F.lit(None)).otherwise(F.lower("o_orderstatus")).alias("status_raw"),
+        F.concat(F.lower("o_orderpriority"), F.lit("-ta/to")).alias("kind_raw"),
+        F.when(k % 9 == 0, F.lit("not a date")).otherwise(F.to_date("o_orderdate").cast("string")).alias("date_raw"),
+    )
+    return report.dtype_report(raw, clean.coerce_types(raw, _RAW_SPEC))
