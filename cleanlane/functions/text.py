@@ -15,11 +15,11 @@ def title_case(c) -> Column:
 
     Unlike ``initcap`` (which splits only on spaces, ``'No-Show' -> 'No-show'``),
     any non-letter starts a new word: ``'ta/to' -> 'Ta/To'``, ``'no-show' -> 'No-Show'``.
-    The string is split into alternating letter / non-letter runs and each run is
-    ``initcap``-ed (a no-op on non-letter runs).
+    A space is inserted after every non-letter, ``initcap`` runs, and exactly the
+    inserted spaces are removed again — three built-in string expressions.
     """
-    runs = F.regexp_extract_all(_c(c), F.lit(r"(\p{L}+|\P{L}+)"), 1)
-    return F.when(_c(c).isNull(), F.lit(None)).otherwise(F.array_join(F.transform(runs, lambda r: F.initcap(r)), ""))
+    spaced = F.regexp_replace(_c(c), r"(\P{L})", "$1 ")
+    return F.regexp_replace(F.initcap(spaced), r"(\P{L}) ", "$1")
 
 
 def as_text(c, null_text: str | None = "nan") -> Column:

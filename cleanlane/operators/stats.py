@@ -151,6 +151,8 @@ def quantiles(
     """
     by = list(by)
     probs = sorted({float(p) for p in probs})
+    if not by:
+        return _quantiles_wide(df, list(cols), probs, accuracy)
     keys = by + ["column"]
     values = long_values(df, cols, by)
     pos = [(F.col("n") - 1) * F.lit(p) for p in probs]
@@ -173,6 +175,96 @@ def quantiles(
     return res.select(*keys, prob.alias("prob"), "n", _checked(q, F.col("bad")).alias("quantile"))
 
 
+def _quantiles_wide(df: DataFrame, cols: list[str], probs: list[float], accuracy: int) -> DataFrame:
+    """Ungrouped fast path: the same two passes without reshaping every cell to long format.
+
+    Pass 1 is one wide aggregate (count, min, max and a sketch per column).
+    Pass 2 is one wide aggregate of "below the bracket" counts plus a grouped
+    count of the cells that fall inside a bracket (only those are reshaped);
+    the exact order statistics are resolved per (column, position) with a
+    window over the in-bracket values.  Returns a small local frame.
+    """
+    spark = df.sparkSession
+    schema = "column string, prob double, n long, quantile double"
+    if not cols:
+        return spark.createDataFrame([], schema)
+    margin = 2.0 / accuracy
+    bp: list[float] = []
+    for p in probs:
+        bp += [max(0.0, p - margin), min(1.0, p + margin)]
+    val = {c: F.col(c).cast("double") for c in cols}
+    ok = {c: val[c].isNotNull() & ~F.isnan(val[c]) for c in cols}
+    clean_v = {c: F.when(ok[c], val[c]) for c in cols}
+    r = df.agg(
+        *[
+            x
+            for i, c in enumerate(cols)
+            for x in (
+                F.count(clean_v[c]).alias(f"n{i}"),
+                F.min(clean_v[c]).alias(f"mn{i}"),
+                F.max(clean_v[c]).alias(f"mx{i}"),
+                F.approx_percentile(clean_v[c], bp, accuracy).alias(f"br{i}"),
+            )
+        ]
+    ).first()
+    tg = {}
+    for i, c in enumerate(cols):
+        n = r[f"n{i}"]
+        if not n:
+            continue
+        small = n <= 4 * accuracy
+        for j, p in enumerate(probs):
+            lo = r[f"mn{i}"] if small else r[f"br{i}"][2 * j]
+            hi = r[f"mx{i}"] if small else r[f"br{i}"][2 * j + 1]
+            x = (n - 1) * p
+            k = int(math.floor(x))
+            tg[(c, j)] = dict(n=n, lo=lo, hi=hi, k=k, k2=min(k + 1, n - 1), frac=x - k)
+    if not tg:
+        return spark.createDataFrame([], schema)
+    below_row = df.agg(*[F.count_if(ok[c] & (val[c] < F.lit(t["lo"]))).alias(f"b_{cols.index(c)}_{j}") for (c, j), t in tg.items()]).first()
+    # in-bracket cells: one filtered single-column scan per column (range filters reach the parquet reader)
+    scans = []
+    for c in cols:
+        mine = [(j, t) for (cc, j), t in tg.items() if cc == c]
+        if not mine:
+            continue
+        cond = None
+        for _, t in mine:
+            x = (val[c] >= F.lit(t["lo"])) & (val[c] <= F.lit(t["hi"]))
+            cond = x if cond is None else cond | x
+        scans.append(df.where(ok[c] & cond).select(F.lit(c).alias("column"), val[c].alias("cv")))
+    hits = scans[0]
+    for sdf in scans[1:]:
+        hits = hits.unionByName(sdf)
+    counts = hits.groupBy("column", "cv").agg(F.count(F.lit(1)).alias("cnt"))
+    meta = spark.createDataFrame(
+        [(c, j, float(t["lo"]), float(t["hi"]), int(below_row[f"b_{cols.index(c)}_{j}"]), t["k"], t["k2"]) for (c, j), t in tg.items()],
+        "column string, pos int, lo double, hi double, below long, k long, k2 long",
+    )
+    # one row per (column, position): bounded by the call
+    w = Window.partitionBy("column", "pos").orderBy("cv").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    res = (
+        counts.join(F.broadcast(meta), "column")
+        .where((F.col("cv") >= F.col("lo")) & (F.col("cv") <= F.col("hi")))
+        .withColumn("cum", F.col("below") + F.sum("cnt").over(w))
+        .groupBy("column", "pos", "below", "k", "k2")
+        .agg(
+            F.max("cum").alias("upto_hi"),
+            F.min(F.when(F.col("cum") > F.col("k"), F.col("cv"))).alias("v1"),
+            F.min(F.when(F.col("cum") > F.col("k2"), F.col("cv"))).alias("v2"),
+        )
+        .collect()
+    )
+    got = {(x["column"], x["pos"]): x for x in res}
+    rows = []
+    for (c, j), t in tg.items():
+        x = got.get((c, j))
+        if x is None or x["below"] > t["k"] or x["upto_hi"] <= t["k2"]:
+            raise RuntimeError(f"order-statistic sketch bracket missed for {c} at {probs[j]}")
+        rows.append((c, probs[j], t["n"], x["v1"] + t["frac"] * (x["v2"] - x["v1"])))
+    return spark.createDataFrame(rows, schema)
+
+
 def kth_smallest(df: DataFrame, col: str, by: str, ranks: Mapping, prob: float | Sequence[float], accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
     """Exact k-th smallest (1-based) value of ``col`` per group value of ``by``.
 

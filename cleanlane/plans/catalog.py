@@ -1423,3 +1423,22 @@ def q_dtype_report(spark, sf):
         F.when(k % 9 == 0, F.lit("not a date")).otherwise(F.to_date("o_orderdate").cast("string")).alias("date_raw"),
     )
     return report.dtype_report(raw, clean.coerce_types(raw, _RAW_SPEC))
+
+
+@query("feature_step_report")
+def q_feature_step_report(spark, sf):
+    """P10 (rows-only): flag totals of the segment features built by E4 on the bookings view."""
+    from ..operators import report
+
+    b = bookings_view(spark, sf)
+    t = features.deposit_features(features.market_features(features.level_from_count(features.bucket_flags(b))))
+    return report.feature_step_report(b, t, "is_canceled")["segments_flags"]
+
+
+@query("scaling_report")
+def q_scaling_report(spark, sf):
+    """P11 (rows-only): mean and std of lineitem columns before/after standard scaling."""
+    from ..operators import report
+
+    li = table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    return report.scaling_report(li, features.scale(li, "standard", exclude=()), None)

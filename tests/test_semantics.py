@@ -232,3 +232,29 @@ def test_histogram_last_bin_closed(spark):
     h = {r["bucket"]: r["count"] for r in profile.histogram(df, "v", 5).collect()}
     want, _ = np.histogram(np.arange(11), bins=5)
     assert [h.get(i + 1, 0) for i in range(5)] == list(want)
+
+
+def test_status_leak_check_drops_cancel_status(spark):
+    rows = [("Canceled", 1)] * 40 + [("Check-Out", 0)] * 55 + [("No-Show", 1)] * 3 + [("Check-Out", 1)] * 2
+    df = spark.createDataFrame([(s, t, float(i % 7)) for i, (s, t) in enumerate(rows)], "reservation_status string, is_canceled int, x double")
+    out, rows_ = screen.screen_by_target_corr(df, "is_canceled")
+    d = {r["column"]: r for r in rows_}
+    assert d["reservation_status"]["drop"] and d["reservation_status"]["reason"] == "leakage"
+    assert "reservation_status" not in out.columns
+
+
+def test_model_bundle_roundtrip(spark):
+    import tempfile
+
+    from pyspark.ml import PipelineModel
+
+    from cleanlane.operators import model
+    from cleanlane.sources import io
+
+    df = spark.createDataFrame([(float(i), float(i % 2)) for i in range(40)], "x double, label double")
+    m = model.fit_pipeline(df, ["x"], model.logistic(40, max_iter=50))
+    d = tempfile.mkdtemp(prefix="cl-bundle-", dir="/tmp")
+    io.save_model_bundle(spark, d, m, {"metrics": spark.createDataFrame([(1.0,)], "f1 double")}, {"n": 40})
+    back = PipelineModel.load(f"{d}/model")
+    assert back.transform(df).count() == 40
+    assert spark.read.parquet(f"{d}/metrics").count() == 1
