@@ -235,20 +235,27 @@ def one_hot(df: DataFrame, col: str, drop_first: bool = True) -> DataFrame:
 def category_codes(df: DataFrame, col: str, name: str | None = None, broadcast_limit: int = 1_000_000) -> DataFrame:
     """Dense code of the value in sorted order (0-based), null -> -1.
 
-    The vocabulary is ranked on its own (distinct values only) and joined back;
-    it is broadcast only when its counted size is within ``broadcast_limit``,
-    otherwise a shuffle join (AQE splits a hot key).
+    The vocabulary (distinct values) is ranked on its own and joined back.  Up
+    to ``broadcast_limit`` values (a counted size) it is ranked by one window
+    and broadcast; beyond that it is sorted by a range-partitioned sort and
+    numbered with ``zipWithIndex`` (per-partition offsets, no single task), and
+    joined with a shuffle join (AQE splits a hot key).
     """
     name = name or col
     vocab = df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull()).distinct()
     n = vocab.count()
-    ranked = vocab.select("_v", (F.dense_rank().over(Window.orderBy("_v")) - 1).alias("_code"))
     if n <= broadcast_limit:
-        ranked = F.broadcast(ranked)
+        ranked = F.broadcast(vocab.select("_v", (F.dense_rank().over(Window.orderBy("_v")) - 1).alias("_code")))
+    else:
+        spark = df.sparkSession
+        vtype = df.schema[col].dataType
+        idx = vocab.orderBy("_v").rdd.zipWithIndex().map(lambda t: (t[0][0], t[1]))
+        ranked = spark.createDataFrame(idx, T.StructType([T.StructField("_v", vtype), T.StructField("_code", T.LongType())]))
     out = df.join(ranked, df[col].eqNullSafe(ranked["_v"]), "left")
-    cols = [F.coalesce(F.col("_code"), F.lit(-1)).cast("int").alias(name) if c == col else F.col(c) for c in df.columns]
+    code = F.coalesce(F.col("_code"), F.lit(-1)).cast("int")
+    cols = [code.alias(name) if (c == col and name == col) else F.col(c) for c in df.columns]
     if name != col:
-        cols.append(F.coalesce(F.col("_code"), F.lit(-1)).cast("int").alias(name))
+        cols.append(code.alias(name))
     return out.select(*cols)
 
 

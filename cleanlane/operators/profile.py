@@ -174,25 +174,18 @@ def cramers_v(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
         .groupBy("column", "level", "y")
         .agg(F.count(F.lit(1)).cast("double").alias("o"))
     )
-    wr = Window.partitionBy("column", "level")
-    wc = Window.partitionBy("column", "y")
-    wn = Window.partitionBy("column")
-    cells = (
-        cells.withColumn("r", F.sum("o").over(wr))
-        .withColumn("c", F.sum("o").over(wc))
-        .withColumn("n", F.sum("o").over(wn))
-        .withColumn("first_of_level", F.row_number().over(wr.orderBy("y")) == 1)
-        .withColumn("first_of_y", F.row_number().over(wc.orderBy("level")) == 1)
-    )
-    per = cells.groupBy("column").agg(
-        F.first("n").alias("n"),
-        F.count_if("first_of_level").alias("n_levels"),
-        F.count_if("first_of_y").alias("n_classes"),
+    # marginals as grouped tables: level totals stay distributed (one row per level);
+    # class totals and per-column summaries are bounded by columns x classes
+    r_tab = cells.groupBy("column", "level").agg(F.sum("o").alias("r"))
+    c_tab = cells.groupBy("column", "y").agg(F.sum("o").alias("c"))
+    n_tab = c_tab.groupBy("column").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("n_classes"), F.sum(1.0 / F.col("c")).alias("inv_c"))
+    lev_tab = r_tab.groupBy("column").agg(F.count(F.lit(1)).alias("n_levels"), F.sum(1.0 / F.col("r")).alias("inv_r"))
+    joined = cells.join(r_tab, ["column", "level"]).join(c_tab, ["column", "y"]).join(F.broadcast(n_tab.select("column", "n")), "column")
+    part = joined.groupBy("column").agg(
         F.sum(F.col("o") * F.col("o") / (F.col("r") * F.col("c"))).alias("s"),
-        F.sum(F.when(F.col("first_of_level"), 1.0 / F.col("r"))).alias("inv_r"),
-        F.sum(F.when(F.col("first_of_y"), 1.0 / F.col("c"))).alias("inv_c"),
         F.max(F.abs(F.col("o") - F.col("r") * F.col("c") / F.col("n"))).alias("d"),
     )
+    per = part.join(F.broadcast(n_tab), "column").join(F.broadcast(lev_tab), "column")
     yates = F.pow(F.greatest(F.col("d") - 0.5, F.lit(0.0)), 2) * F.col("n") * F.col("inv_r") * F.col("inv_c")
     chi2 = F.when((F.col("n_levels") == 2) & (F.col("n_classes") == 2), yates).otherwise(F.col("n") * (F.col("s") - 1.0))
     k = F.least(F.col("n_levels"), F.col("n_classes")) - 1

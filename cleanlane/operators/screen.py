@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -124,17 +124,16 @@ def level_correlations(df: DataFrame, cols: Sequence[str], target: str) -> DataF
     r is null for a dummy without variation or a constant target.
     """
     t = F.col(target).cast("double")
+    # every column's levels partition all rows, so the totals are the same for all columns: one tiny aggregate
+    tot = df.agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum(t).alias("t1"), F.sum(t * t).alias("t2")).first()
+    big_n, t1, t2 = (F.lit(float(tot[x] or 0.0)) for x in ("n", "t1", "t2"))
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in cols])
     lv = (
         df.select(t.alias("_t"), F.inline(cells))
         .groupBy("column", "level")
-        .agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("_t").alias("s"), F.sum(F.col("_t") * F.col("_t")).alias("s2"))
+        .agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("_t").alias("s"))
         .withColumn("is_null_level", F.col("level").isNull())
     )
-    # every column's levels partition all rows, so its level sums are the table totals
-    w = Window.partitionBy("column")
-    lv = lv.withColumn("tot_n", F.sum("n").over(w)).withColumn("tot_t1", F.sum("s").over(w)).withColumn("tot_t2", F.sum("s2").over(w))
-    big_n, t1, t2 = F.col("tot_n"), F.col("tot_t1"), F.col("tot_t2")
     num = big_n * F.col("s") - F.col("n") * t1
     den = F.sqrt(F.col("n") * (big_n - F.col("n")) * (big_n * t2 - t1 * t1))
     return lv.select("column", "level", "is_null_level", "n", "s", F.try_divide(num, F.when(den > 0, den)).alias("r"))
