@@ -262,7 +262,7 @@ def test_model_bundle_roundtrip(spark):
 
 def test_category_codes_large_vocabulary_path(spark):
     df = spark.createDataFrame([(f"v{i % 37:03d}",) for i in range(200)] + [(None,)], "s string")
-    a = sorted((r["s"], r["code"]) for r in features.category_codes(df, "s", "code").distinct().collect())
-    b = sorted((r["s"], r["code"]) for r in features.category_codes(df, "s", "code", broadcast_limit=5).distinct().collect())
+    a = sorted(((r["s"] or ""), r["code"]) for r in features.category_codes(df, "s", "code").distinct().collect())
+    b = sorted(((r["s"] or ""), r["code"]) for r in features.category_codes(df, "s", "code", broadcast_limit=5).distinct().collect())
     assert a == b
-    assert (None, -1) in a and ("v000", 0) in a and ("v036", 36) in a
+    assert ("", -1) in a and ("v000", 0) in a and ("v036", 36) in a
