@@ -1162,8 +1162,19 @@ def q_smote_balance(spark, sf):
     return out.groupBy(F.col("is_canceled").alias("label")).agg(F.count(F.lit(1)).alias("count"))
 
 
+_ML_CACHED: list = []
+
+
+def _release_ml() -> None:
+    while _ML_CACHED:
+        _ML_CACHED.pop().unpersist()
+
+
 def _ml_frame(spark, sf) -> DataFrame:
-    """Cleaned planted bookings with engineered features (E11 without scaling) for the fits."""
+    """Cleaned planted bookings with engineered features (E11 without scaling) for the fits.
+
+    The joined view is persisted for the fit jobs and released by ``_release_ml``.
+    """
     from .bookings import planted_bookings
     from .pipeline import engineer_all
 
@@ -1172,6 +1183,7 @@ def _ml_frame(spark, sf) -> DataFrame:
     b = planted_bookings(spark, sf).drop("booking_id")
     # the view joins four tables; keep it for the fit jobs of the next steps
     b = clean.repair_errors(b).persist(StorageLevel.MEMORY_AND_DISK)
+    _ML_CACHED.append(b)
     b = clean.clean_missing(b)
     return engineer_all(b, "is_canceled", scaling=None).frame
 
@@ -1182,7 +1194,10 @@ def q_fit_random_forest(spark, sf):
     from .training import metrics_row, train_default_forest
 
     r = train_default_forest(_ml_frame(spark, sf), "is_canceled")
-    return metrics_row(spark, r.name, r.metrics)
+    out = metrics_row(spark, r.name, r.metrics)
+    r.release()
+    _release_ml()
+    return out
 
 
 @query("fit_logistic")
@@ -1191,7 +1206,10 @@ def q_fit_logistic(spark, sf):
     from .training import metrics_row, train_logistic
 
     r = train_logistic(_ml_frame(spark, sf), "is_canceled", counts=(2, 5, 10, 200))
-    return metrics_row(spark, r.name, r.metrics)
+    out = metrics_row(spark, r.name, r.metrics)
+    r.release()
+    _release_ml()
+    return out
 
 
 @query("fit_boosted_trees")
@@ -1200,7 +1218,10 @@ def q_fit_boosted_trees(spark, sf):
     from .training import metrics_row, train_boosted
 
     r = train_boosted(_ml_frame(spark, sf), "is_canceled", counts=(5, 200), max_iter=20)
-    return metrics_row(spark, r.name, r.metrics)
+    out = metrics_row(spark, r.name, r.metrics)
+    r.release()
+    _release_ml()
+    return out
 
 
 @query("feature_importance")
@@ -1210,6 +1231,8 @@ def q_feature_importance(spark, sf):
     from .training import train_default_forest
 
     r = train_default_forest(_ml_frame(spark, sf), "is_canceled", num_trees=30)
+    r.release()
+    _release_ml()
     return model.importance_frame(spark, r.importance)
 
 
@@ -1220,6 +1243,8 @@ def q_grid_search(spark, sf):
 
     grid = {"numTrees": [20], "maxDepth": [5, 10]}
     r = tune_forest(_ml_frame(spark, sf), "is_canceled", grid=grid, folds=3)
+    r.release()
+    _release_ml()
     return r.extra["cv_results"]
 
 
@@ -1395,14 +1420,20 @@ def q_map_lookup(spark, sf):
 
 @query("compare_importance")
 def q_compare_importance(spark, sf):
-    """J4 (rows-only): tuned (deeper) vs default forest importances for the tuned top 10."""
+    """J4 (rows-only): a deeper/larger forest vs the default one on the same split, tuned top 10."""
     from ..operators import model
-    from .training import train_default_forest
-
-    frame = _ml_frame(spark, sf)
-    a = train_default_forest(frame, "is_canceled", num_trees=20)
-    b = train_default_forest(frame, "is_canceled", num_trees=40)
-    return model.compare_importance(model.importance_frame(spark, b.importance), model.importance_frame(spark, a.importance))
+    from .training import prepared_split
+
+    train, test, cols, x = prepared_split(_ml_frame(spark, sf), "is_canceled", "full", 42)
+    w = model.with_weights(train, "label", model.class_weights(train, "label"))
+    small = model.fit_pipeline(w, cols, model.random_forest(weight_col="weight", num_trees=20))
+    large = model.fit_pipeline(w, cols, model.random_forest(weight_col="weight", num_trees=40, max_depth=12))
+    x.unpersist()
+    _release_ml()
+    return model.compare_importance(
+        model.importance_frame(spark, model.feature_importance(large, cols)),
+        model.importance_frame(spark, model.feature_importance(small, cols)),
+    )
 
 
 @query("dtype_report")
