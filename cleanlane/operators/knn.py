@@ -29,6 +29,17 @@ from pyspark.sql import types as T
 
 from .stats import DEFAULT_ACCURACY, _bucket_of
 
+# The grouped functions below run in Python workers; ship this module's code with
+# the task (by value) so executors need no installed copy of the package.
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # noqa: BLE001 - older cloudpickle: the package must then be on the executors' path
+    pass
+
 NEIGHBOURS_SCHEMA = "pid long, vec array<double>, mult long, nn_vecs array<array<double>>"
 
 
