@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, sharding, urlfilter
+from . import chat, decontam, neardup, sharding, urlfilter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,6 +47,32 @@ FROM e GROUP BY conv_id
 """
 
 
+@query
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document against all 10-word windows of the benchmark."""
+    return decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op2_decontamination"] = r"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+w AS (
+  SELECT DISTINCT item, least(len(ws), 10) AS n, array_to_string(ws[a:a + 9], ' ') AS win
+  FROM (SELECT item, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS a FROM b WHERE len(ws) > 0)),
+v AS (
+  SELECT doc_id, a, n, array_to_string(ws[a:a + n - 1], ' ') AS win
+  FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS a FROM d, (SELECT DISTINCT n FROM w) WHERE len(ws) >= n)),
+m AS (SELECT doc_id, item, a, n FROM v JOIN w USING (n, win)),
+hits AS (SELECT doc_id, count(DISTINCT i) AS n_hit FROM (SELECT doc_id, unnest(range(a, a + n)) AS i FROM m) GROUP BY doc_id),
+found AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT doc_id, item FROM m) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
+
 @query
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 40 shards of nearly equal bytes; equal texts share a shard."""
@@ -83,3 +109,27 @@ SELECT j.page_id, j.host, j.path, fit.rule,
   coalesce(fit.verdict, CASE WHEN listed THEN 'block' ELSE 'allow' END) AS verdict, listed
 FROM j LEFT JOIN fit ON j.page_id IS NOT DISTINCT FROM fit.page_id AND j.host = fit.host AND j.path = fit.path
 """
+
+
+@query
+def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents under similarity 0.8 of their 4-word shingle sets."""
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), shingle=4, percent=80)
+
+
+ORACLES["op10_near_duplicates"] = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS sh FROM d),
+p AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS g FROM s),
+pairs AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM p AS a JOIN p AS b ON a.g = b.g AND a.doc_id < b.doc_id
+  GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+e AS (SELECT x, y FROM pairs UNION ALL SELECT y, x FROM pairs),
+reach AS (SELECT doc_id AS v, doc_id AS r FROM d UNION SELECT e.y, reach.r FROM reach JOIN e ON e.x = reach.v),
+c AS (SELECT v, min(r) AS component_id FROM reach GROUP BY v)
+SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept
+FROM s JOIN c ON c.v = s.doc_id
+"""

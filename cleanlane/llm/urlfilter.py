@@ -73,18 +73,24 @@ def bloom_blocks(listed: DataFrame, key: str, blocks: int) -> DataFrame:
     return k.groupBy("block").agg(*[F.bit_or(f"w{i}").alias(f"w{i}") for i in range(8)])
 
 
-def mark_listed(rows: DataFrame, key: str, listed: DataFrame, max_blocks: int = MAX_BLOCKS) -> DataFrame:
-    """``rows`` with boolean ``listed``: is the key one of ``listed`` (one column, distinct, no nulls)?"""
+def mark_possible(rows: DataFrame, key: Column, listed: DataFrame, max_blocks: int = MAX_BLOCKS) -> DataFrame:
+    """``rows`` with boolean ``possible``: false only if the key is surely not in ``listed`` (one column)."""
     (name,) = listed.columns
     blocks = max(1, min(max_blocks, -(-listed.count() * BITS_PER_KEY // 256)))
     bloom = bloom_blocks(listed, name, blocks)
-    probe = rows.withColumn("block", _block(F.col(key), blocks)).withColumn("own_hash", F.xxhash64(F.col(key), F.lit(1)))
+    probe = rows.withColumn("block", _block(key, blocks)).withColumn("own_hash", F.xxhash64(key, F.lit(1))).withColumn("known", key.isNotNull())
     probe = probe.join(F.broadcast(bloom), "block", "left")
-    hit = F.lit(True)
+    hit = F.col("known")
     for i, m in enumerate(_masks("own_hash")):
         hit = hit & (F.col(f"w{i}").bitwiseAND(m) != 0)
-    probe = probe.withColumn("possible", F.coalesce(hit & F.col(key).isNotNull(), F.lit(False)))
-    probe = probe.drop("block", "own_hash", *[f"w{i}" for i in range(8)])
+    probe = probe.withColumn("possible", F.coalesce(hit, F.lit(False)))
+    return probe.drop("block", "own_hash", "known", *[f"w{i}" for i in range(8)])
+
+
+def mark_listed(rows: DataFrame, key: str, listed: DataFrame, max_blocks: int = MAX_BLOCKS) -> DataFrame:
+    """``rows`` with boolean ``listed``: is the key one of ``listed`` (one column, distinct, no nulls)?"""
+    (name,) = listed.columns
+    probe = mark_possible(rows, F.col(key), listed, max_blocks)
     exact = probe.filter("possible").join(listed.select(F.col(name).alias("listed_key")), F.col(key) == F.col("listed_key"), "left")
     exact = exact.withColumn("listed", F.col("listed_key").isNotNull()).drop("listed_key", "possible")
     return exact.unionByName(probe.filter(~F.col("possible")).drop("possible").withColumn("listed", F.lit(False)))
