@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, neardup, sharding, urlfilter
+from . import bpe, chat, decontam, neardup, sharding, urlfilter
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,6 +74,16 @@ FROM d LEFT JOIN hits USING (doc_id) LEFT JOIN found USING (doc_id)
 """
 
 
+#: Where the vocabulary files are; their folder is a parameter.
+TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
+
+
+@query
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids and decoded text."""
+    return bpe.digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+
+
 @query
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 40 shards of nearly equal bytes; equal texts share a shard."""
