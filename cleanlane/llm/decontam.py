@@ -180,7 +180,8 @@ def _marker(shared, threshold: float, text_at: int, kept: int):
     def run(batches):
         import pyarrow as pa
 
-        block, prefix = shared.value
+        texts, named_items, prefix = shared.value
+        block = Block(texts, named_items)
         sieves = {size: _sieve(h) for size, (h, _, _) in prefix.items()}
         for batch in batches:
             n_words, n_hit, covers, items = [], [], batch.column(kept).to_pylist(), batch.column(kept + 1).to_pylist()
@@ -236,7 +237,7 @@ def annotate(docs: DataFrame, items: DataFrame, text: str = "text", item: str =
             seen = docs.select(text).mapInArrow(_counter(known), "size int, at long, n long").groupBy("size", "at").agg(F.sum("n"))
             for size, at, n in seen.collect():
                 counts[size][at] = n
-        shared = spark.sparkContext.broadcast((block, block.prefixes(counts, threshold)))
+        shared = spark.sparkContext.broadcast((block.texts, block.items, block.prefixes(counts, threshold)))
         rows = rows.select(*[f"c{i}" for i in range(kept)], "covers", "items").mapInArrow(_marker(shared, threshold, text_at, kept), f"{types}, covers binary, items array<string>, n_words long, n_hit long")
         if k + 1 < blocks:
             rows = checkpointed(rows)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, neardup, sharding, topk, urlfilter, warc
+from . import bpe, chat, decontam, langid, neardup, pii, sharding, topk, urlfilter, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,3 +183,19 @@ c AS (SELECT v, min(r) AS component_id FROM reach GROUP BY v)
 SELECT s.doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, component_id, s.doc_id = component_id AS kept
 FROM s JOIN c ON c.v = s.doc_id
 """
+
+
+@query
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every page, by a text model fitted on labelled documents and the pages' own evidence."""
+    return langid.identify_pages(table(spark, sf_dir, "pages"), langid.fit(table(spark, sf_dir, "documents")))
+
+
+#: Key of the pseudonyms in the queries; a deployment brings its own.
+PII_KEY = "cleanlane"
+
+
+@query
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's text with pseudonyms, and the number of values replaced."""
+    return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY, count="n_replaced")
