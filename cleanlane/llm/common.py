@@ -9,6 +9,7 @@ task's memory does not follow the record-batch size.
 from __future__ import annotations
 
 import sys
+import uuid
 
 import numpy as np
 from pyspark import cloudpickle
@@ -36,10 +37,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame, fallback: str = "/tmp/checkpoints") -> DataFrame:
-    """``df`` written to the shared checkpoint folder (the fallback serves sessions that set none)."""
-    checkpoint_dir(df.sparkSession, fallback=fallback)
-    return df.checkpoint(eager=True)
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` written as a table to the shared folder and read again: its lineage is cut and its size is known.
+
+    Unlike a checkpoint, which keeps the size that its plan was estimated to
+    have; in loops over joins these estimates multiply without bound.
+    """
+    path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def shared_folder(spark: SparkSession, fallback: str = "/tmp/checkpoints") -> str:

@@ -157,8 +157,7 @@ def top_k(rows: DataFrame, is_query: Column, k: int = 20, vec: str = "vec_id", e
     """query_id, rank (from 1), vec_id and score of the k best rows of every query row, by inner product."""
     spark = rows.sparkSession
     index = build_index(whole_vectors(rows, vec, embedding, scale))
-    asked = checkpointed(whole_vectors(rows.filter(is_query), vec, embedding, scale).distinct())
-    asked = asked.withColumn("q", F.monotonically_increasing_id())
+    asked = checkpointed(whole_vectors(rows.filter(is_query), vec, embedding, scale).distinct().withColumn("q", F.monotonically_increasing_id()))
     blocks = max(1, math.ceil(asked.count() / block))
     found = None
     for b in range(blocks):
