@@ -156,15 +156,24 @@ def with_scores(docs: DataFrame, model: Model, text: Column, keep: list[Column])
     return rows.mapInArrow(_scorer(shared, len(keep), len(keep)), f"{types}, scores array<double>, trigrams long")
 
 
-def _softmax(logs: list[Column]) -> list[Column]:
-    top = F.greatest(*logs)
-    total = sum((F.exp(x - top) for x in logs[1:]), F.exp(logs[0] - top))
-    return [F.exp(x - top) / total for x in logs]
+def _total(c) -> Column:
+    return F.aggregate(c, F.lit(0.0), lambda a, x: a + x)
 
 
-def text_shares(n: int) -> list[Column]:
-    """P(language | text) for each language, all equal without evidence."""
-    return _softmax([F.col("scores")[i] * TEMPER for i in range(n)])
+def with_softmax(rows: DataFrame, logs: Column, name: str) -> DataFrame:
+    """``rows`` with the array ``name``: shares in proportion to the exponentials of ``logs``.
+
+    Step by step in columns of their own, so that no expression is repeated.
+    """
+    rows = rows.withColumn("_logs", logs).withColumn("_top", F.array_max("_logs"))
+    rows = rows.withColumn("_each", F.transform("_logs", lambda x: F.exp(x - F.col("_top")))).withColumn("_sum", _total("_each"))
+    return rows.withColumn(name, F.transform("_each", lambda x: x / F.col("_sum"))).drop("_logs", "_top", "_each", "_sum")
+
+
+def with_shares(scored: DataFrame) -> DataFrame:
+    """``scored`` with the array ``own``: P(language | text), all 0 without a trigram."""
+    out = with_softmax(scored, F.transform("scores", lambda x: x * TEMPER), "own")
+    return out.withColumn("own", F.when(F.col("trigrams") > 0, F.col("own")).otherwise(F.transform("own", lambda x: F.lit(0.0))))
 
 
 class Fusion:
@@ -177,47 +186,44 @@ class Fusion:
 
     def __init__(self, scored: DataFrame, languages: tuple[str, ...]):
         self.n = n = len(languages)
-        shares = [F.when(F.col("trigrams") > 0, s).otherwise(F.lit(0.0)).alias(f"p{i}") for i, s in enumerate(text_shares(n))]
-        rows = scored.select("host", "domain", "declared", "suffix", *shares)
+        rows = with_shares(scored).select("host", "domain", "declared", "suffix", *[F.col("own")[i].alias(f"p{i}") for i in range(n)])
         sums = [F.sum(f"p{i}").alias(f"p{i}") for i in range(n)]
         hosts = checkpointed(rows.groupBy("host", "domain").agg(*sums))
-        domains = hosts.groupBy("domain").agg(*[F.sum(f"p{i}").alias(f"d{i}") for i in range(n)])
-        self.total = [float(x or 0.0) for x in hosts.agg(*sums).first()]
-        whole = sum(self.total)
-        general = [(t + 1) / (whole + n) for t in self.total]
-        weight = sum((F.col(f"d{i}") for i in range(1, n)), F.col("d0"))
-        smooth = [((F.col(f"d{i}") + PRIOR * general[i]) / (weight + PRIOR)).alias(f"d{i}") for i in range(n)]
-        self.hosts = checkpointed(hosts.join(checkpointed(domains.select("domain", *smooth)), "domain"))
+        total = [float(x or 0.0) for x in hosts.agg(*sums).first()]
+        general = F.array(*[F.lit((t + 1) / (sum(total) + n)) for t in total])
+        counts = F.array(*[F.col(f"p{i}") for i in range(n)])
+        domains = hosts.groupBy("domain").agg(*sums).select("domain", counts.alias("seen")).withColumn("seen_sum", _total("seen"))
+        smooth = F.zip_with("seen", general, lambda a, g: (a + PRIOR * g) / (F.col("seen_sum") + PRIOR))
+        domains = checkpointed(domains.select("domain", smooth.alias("of_domain")))
+        self.hosts = checkpointed(hosts.select("host", "domain", counts.alias("of_host")).join(domains, "domain"))
         self.values = {}
         for name in ("declared", "suffix"):
             found = checkpointed(rows.groupBy(name).agg(*sums))
-            many = found.count()
-            self.values[name] = checkpointed(found.select(F.col(name).alias("key"), *[F.log((F.col(f"p{i}") + VALUE) / (self.total[i] + VALUE * max(many, 1))).alias(f"{name}{i}") for i in range(n)]))
+            many = max(found.count(), 1)
+            self.values[name] = checkpointed(found.select(F.col(name), F.array(*[F.log((F.col(f"p{i}") + VALUE) / (total[i] + VALUE * many)) for i in range(n)]).alias(f"of_{name}")))
 
     def posterior(self, scored: DataFrame) -> DataFrame:
-        """``scored`` with p0, p1, ...: P(language | all evidence)."""
-        n = self.n
-        out = scored
+        """``scored`` with the array ``p``: P(language | all evidence)."""
+        out = with_shares(scored)
         for name, known in self.values.items():
-            out = out.join(known.withColumnRenamed("key", f"{name}_key"), F.col(name) == F.col(f"{name}_key"), "left").drop(f"{name}_key")
-        known = self.hosts.select(F.col("host").alias("host_key"), F.col("domain").alias("domain_key"), *[F.col(f"p{i}").alias(f"h{i}") for i in range(n)], *[f"d{i}" for i in range(n)])
-        out = out.join(known, (F.col("host") == F.col("host_key")) & (F.col("domain") == F.col("domain_key")), "left").drop("host_key", "domain_key")
-        own = [F.when(F.col("trigrams") > 0, s).otherwise(F.lit(0.0)) for s in text_shares(n)]
-        left = [F.greatest(F.col(f"h{i}") - own[i], F.lit(0.0)) for i in range(n)]
-        weight = sum(left[1:], left[0])
-        logs = [F.col("scores")[i] * TEMPER + F.col(f"declared{i}") + F.col(f"suffix{i}") + F.log((left[i] + PRIOR * F.col(f"d{i}")) / (weight + PRIOR)) for i in range(n)]
-        return out.select(*scored.columns, *[p.alias(f"p{i}") for i, p in enumerate(_softmax(logs))])
-
-
-def decision(model: Model, confidence: float, far: float = FAR) -> tuple[Column, Column]:
-    """(language or 'und', probability) from p0, p1, ..., scores and trigrams."""
-    n = len(model.languages)
-    best = F.greatest(*[F.col(f"p{i}") for i in range(n)])
-    lang = F.lit("und")
-    for i in reversed(range(n)):
-        known = (F.col("trigrams") < LEAST) | (F.col("scores")[i] >= F.col("trigrams") * float(model.mean[i] - far))
-        lang = F.when((F.col(f"p{i}") == best) & known, F.lit(model.languages[i])).when(F.col(f"p{i}") == best, F.lit("und")).otherwise(lang)
-    return F.when((F.col("trigrams") > 0) & (best >= confidence), lang).otherwise("und"), best
+            out = out.join(known, name, "left")
+        out = out.join(self.hosts, ["host", "domain"], "left")
+        # without the row's own share
+        out = out.withColumn("left", F.zip_with("of_host", "own", lambda a, b: F.greatest(a - b, F.lit(0.0)))).withColumn("weight", _total("left"))
+        logs = F.transform(
+            F.sequence(F.lit(0), F.lit(self.n - 1)),
+            lambda i: F.col("scores")[i] * TEMPER + F.col("of_declared")[i] + F.col("of_suffix")[i] + F.log((F.col("left")[i] + PRIOR * F.col("of_domain")[i]) / (F.col("weight") + PRIOR)),
+        )
+        return with_softmax(out, logs, "p").select(*scored.columns, "p")
+
+
+def with_decision(rows: DataFrame, model: Model, confidence: float, far: float = FAR) -> DataFrame:
+    """``rows`` (p, scores, trigrams) with ``found``, a language or 'und', and ``probability``."""
+    rows = rows.withColumn("probability", F.array_max("p")).withColumn("best", F.array_position("p", F.col("probability")).cast("int"))
+    least = F.element_at(F.array(*[F.lit(float(m - far)) for m in model.mean]), F.col("best"))
+    known = (F.col("trigrams") < LEAST) | (F.element_at("scores", F.col("best")) >= F.col("trigrams") * least)
+    sure = (F.col("trigrams") > 0) & (F.col("probability") >= confidence) & known
+    return rows.withColumn("found", F.when(sure, F.element_at(F.array(*map(F.lit, model.languages)), F.col("best"))).otherwise("und")).drop("best")
 
 
 #: What is not shown of a page, and single tags and entities.
@@ -233,13 +239,9 @@ def identify_pages(pages: DataFrame, model: Model, page: str = "page_id", url: s
     suffix = F.regexp_extract("c1", r"([^.]*)$", 1)
     scored = scored.select("c0", F.col("c1").alias("host"), F.regexp_extract("c1", r"([^.]+\.[^.]+)$", 1).alias("domain"), F.col("c2").alias("declared"), suffix.alias("suffix"), "scores", "trigrams")
     scored = checkpointed(scored)
-    fused = Fusion(scored, model.languages).posterior(scored)
-    lang, p = decision(model, confidence)
-    shares = text_shares(len(model.languages))
-    alone = F.lit(model.languages[-1])
-    for i in reversed(range(len(shares) - 1)):
-        alone = F.when(F.col("scores")[i] == F.array_max("scores"), F.lit(model.languages[i])).otherwise(alone)
-    return fused.select(F.col("c0").alias(page), "host", "declared", lang.alias("lang"), F.round(p, 6).alias("probability"), F.when(F.col("trigrams") > 0, alone).otherwise("und").alias("text_lang"))
+    fused = with_decision(Fusion(scored, model.languages).posterior(scored), model, confidence)
+    alone = F.element_at(F.array(*map(F.lit, model.languages)), F.array_position("scores", F.array_max("scores")).cast("int"))
+    return fused.select(F.col("c0").alias(page), "host", "declared", F.col("found").alias("lang"), F.round("probability", 6).alias("probability"), F.when(F.col("trigrams") > 0, alone).otherwise("und").alias("text_lang"))
 
 
 def accepted_documents(docs: DataFrame, model: Model, text: str = "text", declared: str = "lang", source: str = "source", confidence: float = 0.5) -> DataFrame:
@@ -259,6 +261,5 @@ def accepted_documents(docs: DataFrame, model: Model, text: str = "text", declar
     narrow = checkpointed(named(with_scores(docs, model, F.col(text), seen), 0))
     fusion = Fusion(narrow, model.languages)
     whole = named(with_scores(docs, model, F.col(text), [*own, *seen]), len(names))
-    lang, _ = decision(model, confidence)
-    kept = fusion.posterior(whole).withColumn("verdict", lang).filter("verdict <> 'und'")
+    kept = with_decision(fusion.posterior(whole), model, confidence).filter("found <> 'und'")
     return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
