@@ -54,6 +54,14 @@ def is_infinite(c) -> Column:
     return _c(c).isin(float("inf"), float("-inf"))
 
 
+def nan_to_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
+    """NaN in float and double columns becomes null, so "missing" is one thing (as in pandas)."""
+    own = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType)) and (cols is None or f.name in cols)}
+    if not own:
+        return df
+    return df.select(*[F.when(~F.isnan(F.col(f"`{c}`")), F.col(f"`{c}`")).alias(c) if c in own else F.col(f"`{c}`") for c in df.columns])
+
+
 def columns_of(df: DataFrame, include: tuple = NUMERIC, exclude: Sequence[str] = ()) -> list[str]:
     """column names whose Spark type is one of ``include`` (a type family)."""
     ex = set(exclude)

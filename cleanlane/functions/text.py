@@ -29,11 +29,12 @@ def as_text(c, null_text: str | None = "nan") -> Column:
 
 
 def to_number(c) -> Column:
-    """pandas ``to_numeric(errors='coerce')`` as double: unparsable -> null.
+    """pandas ``to_numeric(errors='coerce')`` as double: unparsable and NaN -> null.
 
     Goes through double so ``'3.7'`` parses (``try_cast('3.7' as bigint)`` is null).
     """
-    return _c(c).try_cast("double")
+    x = _c(c).try_cast("double")
+    return F.when(~F.isnan(x), x)
 
 
 def to_timestamp_or_null(c) -> Column:

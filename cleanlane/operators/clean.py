@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import INTEGRAL, NUMERIC, indicator, not_in_null_true, numeric_columns
+from ..functions.columns import INTEGRAL, NUMERIC, indicator, nan_to_null, not_in_null_true, numeric_columns
 from ..functions.text import as_text, title_case, to_number, to_timestamp_or_null
 from . import stats
 from .profile import null_fractions
@@ -61,6 +61,7 @@ def fit_impute(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, ob
     (column, value); the winner per column is a ``min`` over (-count, value),
     so no per-column window holds a column's distinct values in one task).
     """
+    df = nan_to_null(df)
     cols = list(cols or df.columns)
     fr = null_fractions(df, cols)
     with_nulls = [c for c in cols if 0.0 < fr[c] < 1.0]
@@ -92,13 +93,14 @@ def modes(df: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def apply_impute(df: DataFrame, fill: Mapping[str, object]) -> DataFrame:
+    """Fill nulls and NaN.  A filled integer column becomes double, whatever its median: pandas has a float column as soon as a value is missing."""
+    df = nan_to_null(df, list(fill))
     exprs = {}
     for c, v in fill.items():
         if c not in df.columns:
             continue
         dt = df.schema[c].dataType
-        if isinstance(dt, INTEGRAL) and float(v) != int(float(v)):
-            # pandas keeps the float median in a float column
+        if isinstance(dt, INTEGRAL):
             exprs[c] = F.coalesce(F.col(c).cast("double"), F.lit(float(v)))
         elif isinstance(dt, NUMERIC):
             exprs[c] = F.coalesce(F.col(c), F.lit(v).cast(dt))
@@ -129,6 +131,7 @@ def drop_duplicates(df: DataFrame, subset: Sequence[str] | None = None) -> DataF
 # -------------------------------------------------------------- C2 / C3
 def fit_winsorize(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1.5, exclude: Sequence[str] = ()) -> dict[str, tuple[float, float]]:
     """{column: (lower, upper)} 1.5*IQR fences; columns with IQR <= 0 are skipped."""
+    df = nan_to_null(df)
     cols = list(cols or numeric_columns(df, exclude))
     qm = stats.quantile_map(df, cols, [0.25, 0.75])
     out = {}
@@ -158,6 +161,8 @@ def clip_expr(df: DataFrame, c: str, lo: float | None, hi: float | None) -> Colu
 
 
 def apply_winsorize(df: DataFrame, fences: Mapping[str, tuple[float, float]]) -> DataFrame:
+    """Clip to the fences; missing values (null or NaN) stay missing."""
+    df = nan_to_null(df, list(fences))
     return _replace(df, {c: clip_expr(df, c, lo, hi) for c, (lo, hi) in fences.items() if c in df.columns})
 
 
@@ -167,6 +172,7 @@ def winsorize_iqr(df: DataFrame, cols: Sequence[str] | None = None, k: float = 1
 
 
 # ---------------------------------------------------------------------- C4
+# The columns that the reference treats as guest counts and as counts.
 GUEST_COLUMNS = ("adults", "children", "babies")
 NON_NEGATIVE_COUNT_COLUMNS = (
     "previous_cancellations",
@@ -273,6 +279,7 @@ def fit_cap_quantile_if(df: DataFrame, triggers: Mapping[str, float], q: float =
     cols = [c for c in triggers if c in df.columns]
     if not cols:
         return {}
+    df = nan_to_null(df, cols)
     mx = df.agg(*[F.max(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(cols)]).first()
     hit = [c for i, c in enumerate(cols) if mx[f"m{i}"] is not None and mx[f"m{i}"] > triggers[c]]
     qm = stats.quantile_map(df, hit, [q]) if hit else {}
@@ -280,6 +287,8 @@ def fit_cap_quantile_if(df: DataFrame, triggers: Mapping[str, float], q: float =
 
 
 def apply_caps(df: DataFrame, caps: Mapping[str, float]) -> DataFrame:
+    """Cap values; missing ones stay missing.  A capped integer column becomes double if its cap has a fraction."""
+    df = nan_to_null(df, list(caps))
     return _replace(df, {c: _cap_expr(df, c, cap) for c, cap in caps.items() if c in df.columns})
 
 
@@ -329,7 +338,7 @@ def fit_cap_by_segment(df: DataFrame, seg_col: str, segments: Sequence[str], col
     """{segment: cap} — exact q-quantile of ``col`` inside each listed segment present."""
     if not _has(df, seg_col, col):
         return {}
-    sub = df.where(F.col(seg_col).isin(list(segments)))
+    sub = nan_to_null(df, [col]).where(F.col(seg_col).isin(list(segments)))
     rows = stats.quantiles(sub, [col], [q], by=[seg_col]).collect()
     return {r[seg_col]: r["quantile"] for r in rows}
 
@@ -337,6 +346,7 @@ def fit_cap_by_segment(df: DataFrame, seg_col: str, segments: Sequence[str], col
 def apply_cap_by_segment(df: DataFrame, seg_col: str, col: str, caps: Mapping[str, float]) -> DataFrame:
     if not caps or not _has(df, seg_col, col):
         return df
+    df = nan_to_null(df, [col])
     v = F.col(col)
     out: Column = v
     for seg, cap in caps.items():

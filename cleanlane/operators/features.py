@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.columns import indicator, map_lookup
+from ..functions.columns import indicator, map_lookup, nan_to_null
 from ..functions.text import as_text
 from . import stats
 
@@ -171,86 +171,122 @@ def topk_one_hot(df: DataFrame, col: str, k: int = 7, prefix: str | None = None)
 
 
 # ------------------------------------------------------------------ E7 / E8
-def fit_levels(df: DataFrame, cols: Sequence[str], max_levels: int = 1000) -> dict[str, list]:
+MAX_LEVELS = 1000
+
+
+def fit_levels(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS) -> dict[str, list | None]:
     """Sorted distinct non-null levels per column, one grouped job for all columns.
 
-    The levels become column names, so their number is checked: more than
-    ``max_levels`` in a column raises (use ``category_codes`` for such columns).
+    The levels become column names, so what reaches the driver is bounded:
+    a column of more than ``max_levels`` levels gets None (it is encoded into
+    one sparse vector instead).
     """
     cols = list(cols)
     if not cols:
         return {}
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in cols])
     pairs = df.select(F.inline(cells)).where(F.col("level").isNotNull()).distinct()
-    counts = {r["column"]: r["n"] for r in pairs.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-    too_many = {c: n for c, n in counts.items() if n > max_levels}
-    if too_many:
-        raise ValueError(f"too many levels for one-hot columns: {too_many}")
-    rows = pairs.collect()
+    # at most max_levels + 1 of the sorted levels of each column
+    first = pairs.withColumn("i", F.row_number().over(Window.partitionBy("column").orderBy("level"))).where(F.col("i") <= max_levels + 1)
     out: dict[str, list] = {c: [] for c in cols}
-    for r in rows:
+    for r in first.collect():
         out[r["column"]].append(r["level"])
-    return {c: sorted(v) for c, v in out.items()}
+    return {c: sorted(v) if len(v) <= max_levels else None for c, v in out.items()}
+
+
+def level_names(col: str, levels: Sequence[str]) -> list[str]:
+    """``{col}_{level}`` for each level; names that differ in case only (one name to Spark) are numbered from the second on."""
+    seen: dict[str, int] = {}
+    out = []
+    for level in levels:
+        name = f"{col}_{level}"
+        seen[name.lower()] = seen.get(name.lower(), 0) + 1
+        out.append(name if seen[name.lower()] == 1 else f"{name}__{seen[name.lower()]}")
+    return out
+
+
+def dummies(col: str, levels: Sequence[str], skip: int = 0) -> list[Column]:
+    names = level_names(col, levels)
+    return [indicator(F.col(col).cast("string") == level).alias(name) for name, level in list(zip(names, levels))[skip:]]
+
+
+def binary_code(col: str, levels: Sequence[str], has_null: bool) -> Column:
+    """Place of the value among the sorted classes; a null is the class ``nan`` of its own (text encoding before sorting)."""
+    classes = sorted([*levels, "nan"]) if has_null else list(levels)
+    text = as_text(F.col(col)) if has_null else F.col(col).cast("string")
+    out = F.lit(None).cast("long")
+    for i, level in reversed(list(enumerate(classes))):
+        out = F.when(text == level, F.lit(i).cast("long")).otherwise(out)
+    return out
 
 
-def encode_categoricals(df: DataFrame, cols: Sequence[str], max_levels: int = 1000) -> DataFrame:
-    """E7 + E8: two-level columns -> 0/1 in sorted order; others -> one-hot minus the first level.
+def wide_one_hot(df: DataFrame, col: str) -> DataFrame:
+    """E8 for a column with very many levels: one sparse vector ``{col}_onehot`` over the sorted levels, first one and null all zero."""
+    from pyspark.ml.feature import OneHotEncoder
 
-    Null rows get 0 in every dummy and null in a label-encoded column.
+    coded = category_codes(df, col, "_code")
+    top = coded.agg(F.max("_code")).first()[0]
+    # the encoder leaves out its last category: count levels downwards, null with the first level
+    coded = coded.withColumn("_place", F.when(F.col("_code") < 0, F.lit(top)).otherwise(F.lit(top) - F.col("_code")).cast("double"))
+    made = OneHotEncoder(inputCols=["_place"], outputCols=[f"{col}_onehot"]).fit(coded).transform(coded)
+    return made.drop(col, "_code", "_place")
+
+
+def encode_categoricals(df: DataFrame, cols: Sequence[str], max_levels: int = MAX_LEVELS) -> DataFrame:
+    """E7 + E8: two-level columns -> class codes in sorted order; others -> one-hot minus the first level.
+
+    Null rows get 0 in every dummy; in a label-encoded column a null is a class
+    of its own (``nan``), so codes go up to 2 there.  Columns with more than
+    ``max_levels`` levels become one sparse vector.
     """
     cols = [c for c in cols if c in df.columns]
     if not cols:
         return df
     levels = fit_levels(df, cols, max_levels)
-    new: list[Column] = []
-    replaced: dict[str, Column] = {}
-    for c in cols:
-        lv = levels[c]
-        if len(lv) == 2:
-            classes = lv
-            replaced[c] = F.when(F.col(c).cast("string") == classes[0], 0).when(F.col(c).cast("string") == classes[1], 1).cast("long")
-        else:
-            for level in lv[1:]:
-                new.append(indicator(F.col(c).cast("string") == level).alias(f"{c}_{level}"))
-    keep = [replaced[c].alias(c) if c in replaced else F.col(c) for c in df.columns if c in replaced or c not in set(cols)]
-    return df.select(*keep, *new)
-
-
-def label_encode_binary(df: DataFrame, col: str) -> DataFrame:
-    """E7 alone: a two-level column -> 0/1 in sorted order (error otherwise)."""
-    lv = fit_levels(df, [col])[col]
-    if len(lv) != 2:
-        raise ValueError(f"{col} has {len(lv)} levels, not 2")
-    return df.withColumn(col, F.when(F.col(col) == lv[0], 0).when(F.col(col) == lv[1], 1).cast("long"))
+    wide = [c for c in cols if levels[c] is None]
+    binary = [c for c in cols if levels[c] is not None and len(levels[c]) == 2]
+    nulls = df.agg(*[F.coalesce(F.max(F.col(c).isNull()), F.lit(False)).alias(f"n{i}") for i, c in enumerate(binary)]).first() if binary else ()
+    replaced = {c: binary_code(c, levels[c], nulls[i]) for i, c in enumerate(binary)}
+    new = [x for c in cols if c not in replaced and c not in wide for x in dummies(c, levels[c], 1)]
+    keep = [replaced[c].alias(c) if c in replaced else F.col(c) for c in df.columns if c in replaced or c in wide or c not in set(cols)]
+    out = df.select(*keep, *new)
+    for c in wide:
+        out = wide_one_hot(out, c)
+    return out
 
 
 def one_hot(df: DataFrame, col: str, drop_first: bool = True) -> DataFrame:
     """E8 alone: sorted levels -> ``{col}_{level}`` 0/1 columns (first dropped), source dropped."""
-    lv = fit_levels(df, [col])[col]
-    lv = lv[1:] if drop_first else lv
-    return _drop_then_add(df, [col], [indicator(F.col(col).cast("string") == x).alias(f"{col}_{x}") for x in lv])
+    levels = fit_levels(df, [col])[col]
+    if levels is None:
+        return wide_one_hot(df, col)
+    return _drop_then_add(df, [col], dummies(col, levels, int(drop_first)))
 
 
 # ---------------------------------------------------------------------- W6
-def category_codes(df: DataFrame, col: str, name: str | None = None, broadcast_limit: int = 1_000_000) -> DataFrame:
+#: Sampled values, and every so many of them a cut between ranges of a vocabulary.
+CODE_SAMPLE, CODE_STEP = 4096, 16
+
+
+def category_codes(df: DataFrame, col: str, name: str | None = None) -> DataFrame:
     """Dense code of the value in sorted order (0-based), null -> -1.
 
-    The vocabulary (distinct values) is ranked on its own and joined back.  Up
-    to ``broadcast_limit`` values (a counted size) it is ranked by one window
-    and broadcast; beyond that it is sorted by a range-partitioned sort and
-    numbered with ``zipWithIndex`` (per-partition offsets, no single task), and
-    joined with a shuffle join (AQE splits a hot key).
+    The vocabulary (distinct values) is cut into ranges at values of a bounded
+    sample (its smallest hashes), each range is ranked by itself behind the
+    counts of the ranges before, and the ranks are joined back; the planner
+    picks the join by size, and adaptive execution splits a hot value.
     """
     name = name or col
     vocab = df.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull()).distinct()
-    n = vocab.count()
-    if n <= broadcast_limit:
-        ranked = F.broadcast(vocab.select("_v", (F.dense_rank().over(Window.orderBy("_v")) - 1).alias("_code")))
-    else:
-        spark = df.sparkSession
-        vtype = df.schema[col].dataType
-        idx = vocab.orderBy("_v").rdd.zipWithIndex().map(lambda t: (t[0][0], t[1]))
-        ranked = spark.createDataFrame(idx, T.StructType([T.StructField("_v", vtype), T.StructField("_code", T.LongType())]))
+    sample = sorted(r["_v"] for r in vocab.orderBy(F.xxhash64("_v"), "_v").limit(CODE_SAMPLE).collect())
+    cuts = sample[CODE_STEP::CODE_STEP]
+    part = F.size(F.filter(F.array(*[F.lit(x) for x in cuts]), lambda x: x <= F.col("_v"))) if cuts else F.lit(0)
+    vocab = vocab.withColumn("_part", part)
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = vocab.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))  # a row for each range
+    ranked = vocab.withColumn("_rank", F.row_number().over(Window.partitionBy("_part").orderBy("_v"))).join(F.broadcast(offsets), "_part")
+    ranked = ranked.select("_v", (F.col("_before") + F.col("_rank") - 1).alias("_code"))
     out = df.join(ranked, df[col].eqNullSafe(ranked["_v"]), "left")
     code = F.coalesce(F.col("_code"), F.lit(-1)).cast("int")
     cols = [code.alias(name) if (c == col and name == col) else F.col(c) for c in df.columns]
@@ -271,6 +307,7 @@ def fit_scale(df: DataFrame, method: str = "standard", exclude: Sequence[str] =
     population std (G4), ``minmax`` the range, ``robust`` the IQR around the
     median; a zero scale becomes 1.  Unknown methods fall back to standard.
     """
+    df = nan_to_null(df)
     if method not in ("standard", "minmax", "robust"):
         method = "standard"
     if cols is None:
@@ -311,6 +348,7 @@ def fit_scale(df: DataFrame, method: str = "standard", exclude: Sequence[str] =
 
 def apply_scale(df: DataFrame, fitted: Mapping) -> DataFrame:
     p = fitted["params"]
+    df = nan_to_null(df, list(p))
     return df.select(
         *[((F.col(c).cast("double") - F.lit(p[c][0])) / F.lit(p[c][1])).alias(c) if c in p else F.col(c) for c in df.columns]
     )
@@ -322,13 +360,11 @@ def scale(df: DataFrame, method: str = "standard", exclude: Sequence[str] = ("is
 
 
 # ---------------------------------------------------------------------- J1
-def isin_frequent(df: DataFrame, col: str, frequent: DataFrame, flag: str = "in_frequent", max_broadcast_rows: int = 100_000) -> DataFrame:
+def isin_frequent(df: DataFrame, col: str, frequent: DataFrame, flag: str = "in_frequent") -> DataFrame:
     """Membership flag of ``col`` in a computed key set (null counts as not-in).
 
-    The key set is broadcast when its counted size is within ``max_broadcast_rows``.
+    The planner picks the join by the key set's size in bytes.
     """
     keys = frequent.select(F.col(frequent.columns[0]).alias("_k")).distinct().withColumn("_hit", F.lit(True))
-    if keys.count() <= max_broadcast_rows:
-        keys = F.broadcast(keys)
     out = df.join(keys, df[col] == keys["_k"], "left")
     return out.select(*[F.col(c) for c in df.columns], F.coalesce(F.col("_hit"), F.lit(False)).cast("int").alias(flag))

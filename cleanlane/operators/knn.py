@@ -108,15 +108,15 @@ def knn_within(points: DataFrame, vec_col: str, k: int = 5, seed: int = 42, rows
     w = _direction(dim, seed)
     proj = F.aggregate(F.zip_with(F.col("vec"), F.array(*[F.lit(float(x)) for x in w]), lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
     # the distinct points feed five jobs below: keep them (MEMORY_AND_DISK; lost blocks recompute from lineage)
-    pts = distinct.withColumn("pid", F.xxhash64(F.lit(seed), "vec")).withColumn("p", proj).persist(StorageLevel.MEMORY_AND_DISK)
-    # one job: the point count and a fine grid of projection cut points (the bucket cuts are a subset of it)
-    grid = 1024
-    r = pts.agg(F.count(F.lit(1)).alias("n"), F.approx_percentile("p", [i / grid for i in range(1, grid)], 20 * grid).alias("g")).first()
-    n = r["n"]
+    kept = pts = distinct.withColumn("pid", F.xxhash64(F.lit(seed), "vec")).withColumn("p", proj).persist(StorageLevel.MEMORY_AND_DISK)
+    # a grid of projection cut points, as fine as the number of buckets asks for (the bucket cuts are a subset of it)
+    n = pts.count()
+    grid = max(1024, math.ceil(n / rows_per_bucket))
+    r = pts.agg(F.approx_percentile("p", [i / grid for i in range(1, grid)], 20 * grid).alias("g")).first()
     if n == 0:
-        pts.unpersist()
+        kept.unpersist()
         return points.sparkSession.createDataFrame([], NEIGHBOURS_SCHEMA)
-    n_b = min(grid, max(1, math.ceil(n / rows_per_bucket)))
+    n_b = max(1, math.ceil(n / rows_per_bucket))
     if n_b > 1:
         cuts = [r["g"][round(i * grid / n_b) - 1] for i in range(1, n_b)]
         pts = pts.withColumn("bucket", _bucket_of(F.col("p"), sorted(set(cuts))))
@@ -146,7 +146,7 @@ def knn_within(points: DataFrame, vec_col: str, k: int = 5, seed: int = 42, rows
     # materialised once; the caller reads it several times and unpersists it
     out = out.persist(StorageLevel.MEMORY_AND_DISK)
     out.count()
-    pts.unpersist()
+    kept.unpersist()
     return out
 
 

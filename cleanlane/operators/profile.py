@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.columns import numeric_columns
+from ..functions.columns import nan_to_null, numeric_columns
 from . import stats
 
 
@@ -32,6 +32,7 @@ def _unpivot(row_df: DataFrame, names: Sequence[str], fields: dict[str, str]) ->
 # --------------------------------------------------------------------- A1 / P4
 def null_profile(df: DataFrame, cols: Sequence[str] | None = None, nonzero_only: bool = True) -> DataFrame:
     """A1: (column, null_count, null_pct) — percent of rows; non-zero rows only, sorted by count desc."""
+    df = nan_to_null(df)
     cols = list(cols or df.columns)
     if not cols:
         return _empty(df, "column string, null_count long, null_pct double")
@@ -57,6 +58,7 @@ def null_profile(df: DataFrame, cols: Sequence[str] | None = None, nonzero_only:
 
 def null_fractions(df: DataFrame, cols: Sequence[str] | None = None) -> dict[str, float]:
     """{column: null fraction} from one aggregate (fit step of F1)."""
+    df = nan_to_null(df)
     cols = list(cols or df.columns)
     if not cols:
         return {}
@@ -72,6 +74,7 @@ def quantile_table(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -
 
 def describe(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """A5: count, mean, sample std, min, exact quartiles, max per numeric column."""
+    df = nan_to_null(df)
     cols = list(cols or numeric_columns(df))
     if not cols:
         return _empty(df, "column string, count long, mean double, std double, min double, q25 double, q50 double, q75 double, max double")
@@ -247,6 +250,7 @@ def iqr_bounds(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, flo
 
 def outlier_counts(df: DataFrame, cols: Sequence[str] | None = None, k_mild: float = 1.5, k_extreme: float = 3.0) -> DataFrame:
     """Per column q1, q3, iqr, fences and counts of all (beyond 1.5 IQR), extreme (beyond 3 IQR) and mild outliers."""
+    df = nan_to_null(df)
     cols = list(cols or numeric_columns(df))
     q = (
         stats.quantiles(df, cols, [0.25, 0.75])
@@ -298,6 +302,7 @@ def outlier_counts(df: DataFrame, cols: Sequence[str] | None = None, k_mild: flo
 # ---------------------------------------------------------------------- A14
 def scalar_stats(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """(column, min, max, mean, sum, std, var) with sample std/var; one aggregate."""
+    df = nan_to_null(df)
     cols = list(cols or numeric_columns(df))
     if not cols:
         return _empty(df, "column string, min double, max double, mean double, sum double, std double, var double")
@@ -325,6 +330,7 @@ def histogram(df: DataFrame, col: str, bins: int = 20, lo: float | None = None,
     ``width_bucket`` puts the maximum in bucket bins+1, so it is folded into bin
     ``bins``.  Empty buckets are omitted.  Range defaults to [min, max] (one aggregate).
     """
+    df = nan_to_null(df, [col])
     v = F.col(col).cast("double")
     if lo is None or hi is None:
         r = df.agg(F.min(v).alias("lo"), F.max(v).alias("hi")).first()

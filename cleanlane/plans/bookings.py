@@ -104,12 +104,15 @@ LEFT JOIN li ON o_orderkey = l_orderkey
 
 
 def planted_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The bookings view with a learnable target: lead_time > 200, flipped on every tenth booking.
+    """The bookings view with a learnable target: lead_time > 90, flipped on every tenth booking.
+
+    The engineered features keep that bound as a flag, so a model can reach an
+    accuracy of 0.9.
 
     The supplied order status is close to independent of the other columns, so
     model checks use this planted label (``is_canceled`` is replaced).
     """
     b = bookings_view(spark, sf_dir)
-    planted = (F.col("lead_time") > 200).cast("int")
+    planted = (F.col("lead_time") > 90).cast("int")
     planted = F.when(F.col("booking_id") % 10 == 0, 1 - planted).otherwise(planted)
     return b.withColumn("is_canceled", planted)

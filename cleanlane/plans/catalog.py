@@ -1205,7 +1205,7 @@ def q_fit_logistic(spark, sf):
     """M3 + M4 + M9 + M14 (rows-only): progressive selection with SMOTE."""
     from .training import metrics_row, train_logistic
 
-    r = train_logistic(_ml_frame(spark, sf), "is_canceled", counts=(2, 5, 10, 200))
+    r = train_logistic(_ml_frame(spark, sf), "is_canceled")
     out = metrics_row(spark, r.name, r.metrics)
     r.release()
     _release_ml()
@@ -1230,7 +1230,7 @@ def q_feature_importance(spark, sf):
     from ..operators import model
     from .training import train_default_forest
 
-    r = train_default_forest(_ml_frame(spark, sf), "is_canceled", num_trees=30)
+    r = train_default_forest(_ml_frame(spark, sf), "is_canceled")
     r.release()
     _release_ml()
     return model.importance_frame(spark, r.importance)
@@ -1242,7 +1242,7 @@ def q_grid_search(spark, sf):
     from .training import tune_forest
 
     grid = {"numTrees": [20], "maxDepth": [5, 10]}
-    r = tune_forest(_ml_frame(spark, sf), "is_canceled", grid=grid, folds=3)
+    r = tune_forest(_ml_frame(spark, sf), "is_canceled", grid=grid)
     r.release()
     _release_ml()
     return r.extra["cv_results"]

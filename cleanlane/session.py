@@ -17,7 +17,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "16g")
+        .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -53,6 +53,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Used before operators that run several jobs over the same input, so a lost
     executor recomputes from the checkpoint, not from the raw scan.
     """
-    spark = df.sparkSession
-    checkpoint_dir(spark)
+    checkpoint_dir(df.sparkSession, fallback="/tmp/checkpoints")
     return df.checkpoint(eager=True)
