@@ -40,9 +40,9 @@ ship(__name__)
 
 #: Bytes that decide about a cut; bytes of a chunk on average; bytes of a chunk at most.
 WINDOW, MEAN, MOST = 32, 512, 1 << 16
-#: Bytes of chunk text in the broadcast dictionary, and in a worker's memo of chunks; entries in its memo of words.
-#: What an entry of the dictionary costs besides its text.
-DICTIONARY, MEMO, WORDS, ENTRY = 16 << 20, 16 << 20, 400_000, 100
+#: Bytes of chunk text in the broadcast dictionary, and in a worker's memo of chunks; entries in each of the two halves of
+#: its memo of words (the older half goes when the newer one is full).  What an entry of the dictionary costs besides its text.
+DICTIONARY, MEMO, WORDS, ENTRY = 8 << 20, 4 << 20, 150_000, 100
 SPACE = b" \t\n\r\x0b\x0c"
 
 
@@ -107,31 +107,57 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.spelled = {i: t.encode() for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
+        self.spelled = {i: t.encode() + b" " for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
+        #: Ids that end a word.
+        self.ends = np.zeros(max(self.spelled) + 1, bool)
+        self.ends[[i for i, t in self.spelled.items() if t.endswith(b"</w> ")]] = True
         #: Of words and chunks: (ids as little-endian unsigned 32-bit numbers, decoded tokens with a space behind each).
         self.words: dict[bytes, tuple[bytes, bytes]] = {}
+        self.older: dict[bytes, tuple[bytes, bytes]] = {}
         self.memo: dict[bytes, tuple] = {}
         self.memo_bytes = 0
         self.encoded = self.reused = 0
 
-    def _pack(self, ids: list[int]) -> tuple[bytes, bytes]:
-        return np.array(ids, "<u4").tobytes(), b"".join(self.spelled[i] + b" " for i in ids)
-
-    def spaceless(self, words: list[bytes]) -> None:
-        """Put the encodings of new words into the memo, in one call of the tokenizer."""
-        new = list({w for w in words if w not in self.words})
-        if new:
-            if len(self.words) + len(new) > WORDS:
-                self.words.clear()
-                new = list(set(words))
-            made = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in new], add_special_tokens=False)
-            for w, e in zip(new, made, strict=True):
-                self.words[w] = self._pack(e.ids)
+    def _one_by_one(self, words: list[str]) -> list[tuple[bytes, bytes]]:
+        made = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [(np.array(e.ids, "<u4").tobytes(), b"".join([self.spelled[i] for i in e.ids])) for e in made]
+
+    def _together(self, words: list[str]) -> list[tuple[bytes, bytes]]:
+        """Encodings of words of letters only, from one text: each ends at the next id that ends a word."""
+        ids = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids
+        own = np.array(ids, "<u4")
+        cuts = np.flatnonzero(self.ends[own]) + 1
+        if len(cuts) != len(words) or cuts[-1] != len(own):  # lower case or composition has made something else of a letter
+            return self._one_by_one(words)
+        said = [self.spelled[i] for i in ids]
+        at = np.concatenate([np.zeros(1, np.int64), np.cumsum([len(x) for x in said])])[np.concatenate([np.zeros(1, np.int64), cuts])].tolist()
+        raw, text, cuts = own.tobytes(), b"".join(said), [0, *(4 * cuts).tolist()]
+        return [(raw[cuts[i] : cuts[i + 1]], text[at[i] : at[i + 1]]) for i in range(len(words))]
+
+    def learn(self, words: set[bytes]) -> None:
+        """Put the encodings of words (between white space) into the memo, whose older half goes if the newer one is full."""
+        if len(self.words) > WORDS and len(words) > WORDS // 50 or len(self.words) > 2 * WORDS:  # not for single words, while a slice's words are in use
+            self.words, self.older = {}, self.words
+        letters, others = [], []
+        for w in words:
+            if w in self.words:
+                continue
+            got = self.older.get(w)
+            if got is not None:
+                self.words[w] = got
+            else:
+                (letters if (t := w.decode("utf-8", "replace")).isalpha() else others).append((w, t))
+        for group, encode in ((letters, self._together), (others, self._one_by_one)):
+            if group:
+                self.words.update(zip([w for w, _ in group], encode([t for _, t in group]), strict=True))
 
     def spans(self, words: list[bytes]) -> tuple[bytes, bytes]:
         """Encoding of words with white space between."""
-        self.spaceless(words)
-        got = [self.words[w] for w in words]
+        try:
+            got = [self.words[w] for w in words]
+        except KeyError:
+            self.learn(set(words))
+            got = [self.words[w] for w in words]
         return b"".join([g[0] for g in got]), b"".join([g[1] for g in got])
 
     def chunk(self, chunk: bytes) -> tuple:
@@ -277,7 +303,7 @@ def _coder(path: str, shared, text_at: int, kept: int):
         for batch in batches:
             for at, data, offsets in text_slices(batch.column(text_at)):
                 ids, said, chunks, reused = [], [], [], []
-                own.spaceless(data.tobytes().split())  # one call of the tokenizer for the slice's new words
+                own.learn(set(data.tobytes().split()))  # one call of the tokenizer for the slice's new words
                 for parts in chunks_of(data, offsets):
                     before = own.reused
                     i, s = own.text(parts, dictionary)
