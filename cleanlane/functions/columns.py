@@ -50,10 +50,6 @@ def round_half_even(c, scale: int = 0) -> Column:
     return F.bround(_c(c), scale)
 
 
-def is_infinite(c) -> Column:
-    return _c(c).isin(float("inf"), float("-inf"))
-
-
 def nan_to_null(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """NaN in float and double columns becomes null, so "missing" is one thing (as in pandas)."""
     own = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType)) and (cols is None or f.name in cols)}
