@@ -282,11 +282,10 @@ def category_codes(df: DataFrame, col: str, name: str | None = None) -> DataFram
     cuts = sample[CODE_STEP::CODE_STEP]
     part = F.size(F.filter(F.array(*[F.lit(x) for x in cuts]), lambda x: x <= F.col("_v"))) if cuts else F.lit(0)
     vocab = vocab.withColumn("_part", part)
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    sizes = vocab.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))  # a row for each range
-    ranked = vocab.withColumn("_rank", F.row_number().over(Window.partitionBy("_part").orderBy("_v"))).join(F.broadcast(offsets), "_part")
-    ranked = ranked.select("_v", (F.col("_before") + F.col("_rank") - 1).alias("_code"))
+    sizes = {r["_part"]: r["count"] for r in vocab.groupBy("_part").count().collect()}  # a row for each range
+    before = [sum(n for p, n in sizes.items() if p < i) for i in range(len(cuts) + 1)]
+    rank = F.row_number().over(Window.partitionBy("_part").orderBy("_v"))
+    ranked = vocab.withColumn("_rank", rank).select("_v", (F.element_at(F.array(*[F.lit(x).cast("long") for x in before]), F.col("_part") + 1) + F.col("_rank") - 1).alias("_code"))
     out = df.join(ranked, df[col].eqNullSafe(ranked["_v"]), "left")
     code = F.coalesce(F.col("_code"), F.lit(-1)).cast("int")
     cols = [code.alias(name) if (c == col and name == col) else F.col(c) for c in df.columns]
