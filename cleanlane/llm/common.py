@@ -37,12 +37,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
+#: Rows of a written table that one task writes, where their number is known before.
+TASK_ROWS = 50_000
+
+
+def checkpointed(df: DataFrame, rows: int | None = None) -> DataFrame:
     """``df`` written as a table to the shared folder and read again: its lineage is cut and its size is known.
 
     Unlike a checkpoint, which keeps the size that its plan was estimated to
     have; in loops over joins these estimates multiply without bound.
+    ``rows``: a bound on the rows, where known; the last stage then has no more
+    tasks than they need.
     """
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // TASK_ROWS)))
     path = f"{shared_folder(df.sparkSession)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
