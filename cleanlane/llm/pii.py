@@ -11,8 +11,14 @@ and the same key undoes nothing it did not do: the inverse is the same network
 backwards (``backwards=True``).
 
 - Payment card (13 to 19 digits, Luhn): the first digit stays, the check
-  digit is made anew, the digits between are permuted.
+  digit is made anew, the digits between are permuted.  In a run of digit
+  groups every stretch in a known grouping (one group, 4-4-4-4, 4-6-4, 4-6-5)
+  is tried, then the first 13 to 19 digits of what is left, so a number before
+  or behind a card does not hide it.
 - Telephone (+country code, or North American): code and punctuation stay.
+  +1 has ten digits more; with other codes a number that is complete (8 digits)
+  ends before a value of another kind, and at 15 digits.  A bare number behind
+  one of those, up to 15 digits in all, counts as part of it.
 - IPv4 address: permuted as a whole; no leading zeros.
 - Social security number (ddd-dd-dddd): permuted among the assigned ones.
 - Date (ISO, d.m.y, d/m/y; years 1800 to 2199): permuted by day number, so
@@ -22,6 +28,10 @@ backwards (``backwards=True``).
 
 All of it is column expressions: no Python touches the rows.
 
+The network backwards restores all values but cards in a run of groups that
+could be cut in several ways (as five groups of four): what is a card there is
+up to Luhn's sum, which a new card may also give to a stretch across its ends.
+
 Defined results.  A null text stays null, with no values; an empty one stays
 empty.  A value may be its own pseudonym, with a chance of one in its domain.
 Repeated rows are treated alike.  An empty table gives no rows.  Other columns
@@ -41,14 +51,24 @@ DAYS_A, DAYS_B, FIRST_DAY = 189, 773, "1800-01-01"
 #: Candidates. Fixed patterns, for Java's regular expressions.
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![A-Za-z0-9])"
 IPV4 = r"(?<![\p{L}\p{N}.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[\p{L}\p{N}])"
-PHONE = r"(?<![\p{L}\p{N}])\+[0-9]{1,3}(?:[ .-]?\([0-9]{1,4}\))?(?:[ .-]?[0-9]{2,5}){2,5}(?![\p{L}\p{N}])"
 PHONE_US = r"(?<![\p{L}\p{N}])(?:\([0-9]{3}\) ?|[0-9]{3}-)[0-9]{3}-[0-9]{4}(?![\p{L}\p{N}-])"
 SSN = r"(?<![\p{L}\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}-])"
 ISO = r"(?<![\p{L}\p{N}-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![\p{L}\p{N}-])"
-DMY = r"(?<![\p{L}\p{N}./])[0-9]{1,2}([./])[0-9]{1,2}\1[0-9]{4}(?![\p{L}\p{N}/])"
+DMY = r"(?<![\p{L}\p{N}./])[0-9]{1,2}(?:/[0-9]{1,2}/|\.[0-9]{1,2}\.)[0-9]{4}(?![\p{L}\p{N}/])"
 CARD = r"(?<![\p{L}\p{N}])[0-9](?:[ -]?[0-9]){12,18}(?![\p{L}\p{N}])"
-KINDS = {"email": EMAIL, "phone": f"{PHONE}|{PHONE_US}", "ipv4": IPV4, "ssn": SSN, "iso": ISO, "dmy": DMY, "card": CARD}
-ANY = "|".join([EMAIL, PHONE, PHONE_US, IPV4, SSN, ISO, DMY, CARD])
+#: Known groupings of a card's digits; all stretches of a run that have one, also overlapping.
+GROUPED = r"(?:[0-9]{13,19}|[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{4,5})(?![\p{L}\p{N}])"
+STRETCHES = rf"(?<![\p{{L}}\p{{N}}])(?=({GROUPED}))"
+#: Digit groups up to a value of another kind.
+OTHER = "|".join([EMAIL, PHONE_US, IPV4, SSN, ISO, DMY])
+RUN = rf"(?<![\p{{L}}\p{{N}}])(?=[0-9](?:[ -]?[0-9]){{12}})[0-9]++(?![\p{{L}}\p{{N}}])(?:[ -](?!{OTHER})[0-9]++(?![\p{{L}}\p{{N}}]))*+"
+#: A telephone number that has 8 digits ends before another value; +1 has 11 digits, if it can, and no number more than 15.
+_DIGIT = "[0-9][ .()-]{0,3}"
+_BODY = rf"[0-9]{{1,3}}(?:[ .-]?\([0-9]{{1,4}}\))?(?:[ .-]?(?!(?<={_DIGIT * 8})(?:{OTHER}|{GROUPED}))[0-9]{{2,5}}){{2,5}}(?![\p{{L}}\p{{N}}])"
+PHONE = rf"(?<![\p{{L}}\p{{N}}])\+(?:(?=1){_BODY}(?<={_DIGIT * 11})(?<!{_DIGIT * 12})|{_BODY}(?<!{_DIGIT * 16}))"
+#: What tells the kind of a candidate, in this order.
+KINDS = {"email": "@", "phone": rf"^(?:\+|{PHONE_US}$)", "ipv4": f"^{IPV4}$", "ssn": f"^{SSN}$", "iso": f"^{ISO}$", "dmy": f"^{DMY}$", "card": "^[0-9 -]+$"}
+ANY = "|".join([EMAIL, PHONE, PHONE_US, IPV4, SSN, ISO, DMY, RUN])
 
 
 def _long(c) -> Column:
@@ -125,6 +145,40 @@ def card(s: Column, key: str, backwards: bool) -> Column:
     return F.when(luhn_sum(digits_of(s)) % 10 == 0, _filled(s, _let(digits_of(s), made)))
 
 
+def _found(s: Column, pattern: str, made) -> Column:
+    """``s`` with what ``pattern`` finds replaced by ``made`` of it, struct(v, n): the text and the number of values in it."""
+    def placed(values):
+        pieces = F.zip_with(F.split(s, pattern, -1), F.transform(values, made), lambda a, b: F.struct(F.concat(a, F.coalesce(b["v"], F.lit(""))).alias("v"), F.coalesce(b["n"], F.lit(0)).alias("n")))
+        return _let(pieces, lambda p: F.struct(F.array_join(p["v"], "").alias("v"), F.aggregate(p["n"], F.lit(0), lambda x, y: x + y).alias("n")))
+
+    return _let(F.regexp_extract_all(s, F.lit(pattern), F.lit(0)), lambda values: F.when(F.size(values) > 0, placed(values)).otherwise(F.struct(s.alias("v"), F.lit(0).alias("n"))))
+
+
+def _counted(s: Column, made: Column) -> Column:
+    return _let(made, lambda x: F.struct(F.coalesce(x, s).alias("v"), x.isNotNull().cast("int").alias("n")))
+
+
+def cards(s: Column, key: str, backwards: bool) -> Column:
+    """The cards of a run of digit groups, as struct(v, n): those in a known grouping from the left, then others before, between and behind."""
+    def others(part):
+        return _let(part, lambda x: _found(x, CARD, lambda c: _counted(c, card(c, key, backwards))))
+
+    def step(state, w):
+        bare = lambda x: F.concat(F.lit(" "), F.translate(x, "-", " "), F.lit(" "))
+        rest = state["rest"]
+
+        def placed(at):
+            it = F.substring(rest, at, F.length(w))
+            moved = _let(others(F.substring(rest, F.lit(1), at - 1)), lambda o: F.struct(F.concat(state["done"], o["v"], F.coalesce(card(it, key, backwards), it)).alias("done"), F.substring(rest, at + F.length(w), F.length(rest)).alias("rest"), (state["n"] + o["n"] + 1).alias("n")))
+            return F.when(at > 0, moved).otherwise(state)
+
+        return _let(F.position(bare(w), bare(rest)), placed)
+
+    valid = F.filter(F.regexp_extract_all(s, F.lit(STRETCHES), F.lit(1)), lambda w: luhn_sum(digits_of(w)) % 10 == 0)
+    end = F.aggregate(valid, F.struct(F.lit("").alias("done"), s.alias("rest"), F.lit(0).alias("n")), step)
+    return _let(end, lambda e: _let(others(e["rest"]), lambda o: F.struct(F.concat(e["done"], o["v"]).alias("v"), (e["n"] + o["n"]).alias("n"))))
+
+
 def phone(s: Column, key: str, backwards: bool) -> Column:
     code = F.regexp_extract(s, r"^(\+(?:[0-9]{1,3}(?=[ .(-])|[0-9]))", 1)
     rest = F.substring(s, F.length(code) + 1, F.lit(64))
@@ -198,14 +252,14 @@ def email(s: Column, key: str, backwards: bool) -> Column:
     return F.concat(_let(got, lambda g: F.concat(g["l"], g["r"])), F.lit("@"), F.substring_index(s, "@", -1))
 
 
-MAKERS = {"email": email, "phone": phone, "ipv4": ipv4, "ssn": ssn, "iso": iso, "dmy": dmy, "card": card}
+MAKERS = {"email": email, "phone": phone, "ipv4": ipv4, "ssn": ssn, "iso": iso, "dmy": dmy}
 
 
 def pseudonym(s: Column, key: str, backwards: bool = False) -> Column:
-    """The pseudonym of one candidate, null if it is not valid."""
-    out = F.lit(None).cast("string")
+    """One candidate with its valid values replaced, and their number, as struct(v, n)."""
+    out = F.struct(s.alias("v"), F.lit(0).alias("n"))
     for kind, pattern in reversed(KINDS.items()):
-        out = F.when(s.rlike(f"^(?:{pattern})$"), MAKERS[kind](s, key, backwards)).otherwise(out)
+        out = F.when(s.rlike(pattern), cards(s, key, backwards) if kind == "card" else _counted(s, MAKERS[kind](s, key, backwards))).otherwise(out)
     return out
 
 
@@ -214,9 +268,9 @@ def pseudonymise(docs: DataFrame, key: str, text: str = "text", count: str | Non
     names = docs.columns
     own = F.col(f"`{text}`")
     rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(names)], F.coalesce(F.regexp_extract_all(own, F.lit(ANY), F.lit(0)), F.array().cast("array<string>")).alias("values"))
-    rows = rows.withColumn("made", F.when(F.size("values") > 0, F.transform("values", lambda s: pseudonym(s, key, backwards))).otherwise(F.array().cast("array<string>")))
+    rows = rows.withColumn("made", F.transform("values", lambda s: pseudonym(s, key, backwards)))
     at = names.index(text)
-    pieces = F.zip_with(F.split(f"c{at}", ANY, -1), F.zip_with("values", "made", lambda a, b: F.coalesce(b, a)), lambda a, b: F.concat(a, F.coalesce(b, F.lit(""))))
+    pieces = F.zip_with(F.split(f"c{at}", ANY, -1), "made", lambda a, b: F.concat(a, F.coalesce(b["v"], F.lit(""))))
     new = F.when(F.size("values") > 0, F.array_join(pieces, "")).otherwise(F.col(f"c{at}"))
     out = [(new if i == at else F.col(f"c{i}")).alias(c) for i, c in enumerate(names)]
-    return rows.select(*out, *([F.size(F.filter("made", lambda x: x.isNotNull())).cast("long").alias(count)] if count else []))
+    return rows.select(*out, *([F.aggregate("made", F.lit(0), lambda n, x: n + x["n"]).cast("long").alias(count)] if count else []))

@@ -75,3 +75,27 @@ def test_a_permutation_of_a_whole_domain(spark):
 def test_no_python_in_the_plan(frame):
     plan = pii.pseudonymise(frame([(1, "a")], "doc_id long, text string"), KEY)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_neighbours_do_not_hide_a_value(frame):
+    phone, address, day, ssn, card, spaced = "+1 (826) 555-4081", "190.137.223.204", "2024-03-05", "123-45-6789", "4539578763621486", "4539 5787 6362 1486"
+    alone = dict(zip((phone, address, day, ssn, card, spaced), run(frame, [phone, address, day, ssn, card, spaced])))
+    assert all(k != v for k, v in alone.items())
+    rows = [(phone, address), (phone, day), (phone, card), (phone, spaced), (phone, "2021"), (phone, ssn), ("+49 30 1234567", address), (card, "123"), (spaced, "123"), (spaced, "1226"), (card, "12/26"), (spaced, "12/26"), (card, day), (spaced, day), (card, address), (spaced, address), (spaced, ssn), ("12", card), ("12", spaced), ("1234", spaced), (day, spaced), (card, card), (spaced, spaced), (address, phone)]
+    alone["+49 30 1234567"] = run(frame, ["+49 30 1234567"])[0]
+    texts = [f"x {a} {b}." for a, b in rows]
+    docs = frame(list(enumerate(texts)), "doc_id long, text string")
+    got = pii.pseudonymise(docs, KEY, count="n").orderBy("doc_id").collect()
+    assert [r["text"] for r in got] == [f"x {alone.get(a, a)} {alone.get(b, b)}." for a, b in rows]
+    assert [r["n"] for r in got] == [(a in alone) + (b in alone) for a, b in rows]
+
+
+def test_other_groupings_of_a_card_alone(frame):
+    card = "4539578763621486"
+    (want, *got) = run(frame, [card, "45395787 63621486", "453957-8763621486", "45395787 63621486 123456789", "45395787 63621486 4539 5787 6362 1486"])
+    assert [re.sub(r"\D", "", g) for g in got] == [want, want, want + "123456789", want + want]
+
+
+def test_a_long_run_of_groups(frame):
+    (got,) = run(frame, ["12 " * 40000 + "4539-5787-6362-1486 " + "7" * 30000])
+    assert got.startswith("12 12 ") and "4539-5787-6362-1486" not in got
