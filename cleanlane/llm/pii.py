@@ -21,8 +21,10 @@ backwards (``backwards=True``).
   one of those, up to 15 digits in all, counts as part of it.
 - IPv4 address: permuted as a whole; no leading zeros.
 - Social security number (ddd-dd-dddd): permuted among the assigned ones.
-- Date (ISO, d.m.y, d/m/y; years 1800 to 2199): permuted by day number, so
-  a date keeps its pseudonym in every format.
+- Date (ISO, also before a time, d.m.y, d/m/y, and m/d/y where d/m/y is no
+  date; years 1800 to 2199): permuted by day number among the dates up to
+  the 12th or behind it, by walking the cycle until one is met, so a date keeps
+  its pseudonym in every format, and m/d/y can still be told from d/m/y.
 - E-mail address: letters and digits of the local part are permuted within
   their kind, case by case; the domain stays.
 
@@ -47,13 +49,15 @@ from pyspark.sql import functions as F
 ROUNDS = 10
 #: Days of a 400-year calendar cycle, as a product; the cycle's first day.
 DAYS_A, DAYS_B, FIRST_DAY = 189, 773, "1800-01-01"
+#: Steps within which a date meets one of its kind (two of five dates lie up to the 12th; beyond, the chance is 1e-28).
+WALK = 128
 
 #: Candidates. Fixed patterns, for Java's regular expressions.
 EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}(?![A-Za-z0-9])"
 IPV4 = r"(?<![\p{L}\p{N}.])(?:[0-9]{1,3}\.){3}[0-9]{1,3}(?!\.?[\p{L}\p{N}])"
 PHONE_US = r"(?<![\p{L}\p{N}])(?:\([0-9]{3}\) ?|[0-9]{3}-)[0-9]{3}-[0-9]{4}(?![\p{L}\p{N}-])"
 SSN = r"(?<![\p{L}\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{L}\p{N}-])"
-ISO = r"(?<![\p{L}\p{N}-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?![\p{L}\p{N}-])"
+ISO = r"(?<![\p{L}\p{N}-])[0-9]{4}-[0-9]{2}-[0-9]{2}(?!(?!T[0-9])[\p{L}\p{N}-])"
 DMY = r"(?<![\p{L}\p{N}./])[0-9]{1,2}(?:/[0-9]{1,2}/|\.[0-9]{1,2}\.)[0-9]{4}(?![\p{L}\p{N}/])"
 CARD = r"(?<![\p{L}\p{N}])[0-9](?:[ -]?[0-9]){12,18}(?![\p{L}\p{N}])"
 #: Known groupings of a card's digits; all stretches of a run that have one, also overlapping.
@@ -207,10 +211,19 @@ def ssn(s: Column, key: str, backwards: bool) -> Column:
 
 
 def _day(date: Column, key: str, backwards: bool) -> Column:
-    """The pseudonym of a date, null outside of the cycle."""
-    n = F.date_diff(date, F.lit(FIRST_DAY).cast("date")).cast("long")
-    got = permute(F.floor(n / DAYS_B), n % DAYS_B, DAYS_A, DAYS_B, key, F.lit("date"), backwards)
-    return F.when((n >= 0) & (n < DAYS_A * DAYS_B), _let(got, lambda g: F.date_add(F.lit(FIRST_DAY).cast("date"), (g["l"] * DAYS_B + g["r"]).cast("int"))))
+    """The pseudonym of a date, null outside of the cycle: the next date on the network's cycle that also lies up to the 12th, or behind it."""
+    first = F.lit(FIRST_DAY).cast("date")
+    late = lambda n: F.dayofmonth(F.date_add(first, n.cast("int"))) > 12
+
+    def step(s, i):
+        moved = _let(permute(F.floor(s["n"] / DAYS_B), s["n"] % DAYS_B, DAYS_A, DAYS_B, key, F.lit("date"), backwards), lambda g: g["l"] * DAYS_B + g["r"])
+        return F.when(s["met"], s).otherwise(_let(moved, lambda m: F.struct(m.alias("n"), s["late"].alias("late"), (late(m) == s["late"]).alias("met"))))
+
+    def walked(n):
+        got = F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), F.struct(n.alias("n"), late(n).alias("late"), F.lit(False).alias("met")), step)
+        return F.when((n >= 0) & (n < DAYS_A * DAYS_B), _let(got, lambda g: F.date_add(first, g["n"].cast("int"))))
+
+    return _let(F.date_diff(date, first).cast("long"), walked)
 
 
 def iso(s: Column, key: str, backwards: bool) -> Column:
@@ -220,8 +233,18 @@ def iso(s: Column, key: str, backwards: bool) -> Column:
 def dmy(s: Column, key: str, backwards: bool) -> Column:
     mark = F.regexp_extract(s, "([./])", 1)
     p = F.split(s, "[./]")
-    date = F.try_to_date(F.concat_ws("-", p[2], F.lpad(p[1], 2, "0"), F.lpad(p[0], 2, "0")), "yyyy-MM-dd")
-    return _let(_day(date, key, backwards), lambda d: F.concat(F.lpad(F.dayofmonth(d).cast("string"), 2, "0"), mark, F.lpad(F.month(d).cast("string"), 2, "0"), mark, F.year(d).cast("string")))
+    date = lambda m, d: F.try_to_date(F.concat_ws("-", p[2], F.lpad(p[m], 2, "0"), F.lpad(p[d], 2, "0")), "yyyy-MM-dd")
+
+    def spelt(day_first):
+        month_first = day_first.isNull() & (mark == "/")
+
+        def spell(d):
+            day, month = F.lpad(F.dayofmonth(d).cast("string"), 2, "0"), F.lpad(F.month(d).cast("string"), 2, "0")
+            return F.concat(F.when(month_first, month).otherwise(day), mark, F.when(month_first, day).otherwise(month), mark, F.year(d).cast("string"))
+
+        return _let(_day(F.when(month_first, date(0, 1)).otherwise(day_first), key, backwards), spell)
+
+    return _let(date(1, 0), spelt)
 
 
 def email(s: Column, key: str, backwards: bool) -> Column:

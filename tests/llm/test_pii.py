@@ -99,3 +99,23 @@ def test_other_groupings_of_a_card_alone(frame):
 def test_a_long_run_of_groups(frame):
     (got,) = run(frame, ["12 " * 40000 + "4539-5787-6362-1486 " + "7" * 30000])
     assert got.startswith("12 12 ") and "4539-5787-6362-1486" not in got
+
+
+def test_timestamps_and_month_first_dates(frame):
+    days = [dt.date(2024, 3, 5), dt.date(2024, 12, 31), dt.date(1999, 1, 13), dt.date(2024, 2, 29), dt.date(1850, 6, 30), dt.date(2024, 12, 12)]
+    texts = [f"{d} {d}T10:00:00Z {d:%d/%m/%Y} {d:%m/%d/%Y}" for d in days]
+    got = run(frame, texts)
+    for d, g in zip(days, got):
+        iso, stamp, day_first, month_first = g.split(" ")
+        new = dt.date.fromisoformat(iso)
+        assert new != d and (new.day > 12) == (d.day > 12) and stamp == f"{new}T10:00:00Z" and day_first == f"{new:%d/%m/%Y}"
+        assert d.day <= 12 or month_first == f"{new:%m/%d/%Y}"
+    assert run(frame, got, backwards=True) == texts
+    kept = ["2024-03-05Tx 2024-03-05a", "31/31/2024 02/30/2024 12.31.2024", "13/32/2024"]
+    assert run(frame, kept) == kept
+
+
+def test_dates_walk_to_different_dates(spark):
+    days = spark.range(600).select(F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    both = days.select("d", pii._day(F.col("d"), KEY, False).alias("p")).select("d", "p", pii._day(F.col("p"), KEY, True).alias("b")).collect()
+    assert all(r["b"] == r["d"] and (r["p"].day > 12) == (r["d"].day > 12) for r in both) and len({r["p"] for r in both}) == 600
