@@ -1238,11 +1238,21 @@ def q_feature_importance(spark, sf):
 
 @query("grid_search")
 def q_grid_search(spark, sf):
-    """M7 + M8 + M13 (rows-only): CV over a two-point slice of the translated reference grid."""
+    """M7 + M8 + M13 (rows-only): CV over the translated reference grid of the forest."""
     from .training import tune_forest
 
-    grid = {"numTrees": [20], "maxDepth": [5, 10]}
-    r = tune_forest(_ml_frame(spark, sf), "is_canceled", grid=grid)
+    r = tune_forest(_ml_frame(spark, sf), "is_canceled")
+    r.release()
+    _release_ml()
+    return r.extra["cv_results"]
+
+
+@query("tune_boosted")
+def q_tune_boosted(spark, sf):
+    """M7 + M8 (rows-only): CV over the translated reference grid of the boosted trees, on their selected features."""
+    from .training import tune_boosted
+
+    r = tune_boosted(_ml_frame(spark, sf), "is_canceled")
     r.release()
     _release_ml()
     return r.extra["cv_results"]
@@ -1420,20 +1430,17 @@ def q_map_lookup(spark, sf):
 
 @query("compare_importance")
 def q_compare_importance(spark, sf):
-    """J4 (rows-only): a deeper/larger forest vs the default one on the same split, tuned top 10."""
+    """J4 (rows-only): the tuned forest vs the default one on the same split, tuned top 10."""
     from ..operators import model
-    from .training import prepared_split
+    from .training import train_default_forest, tune_forest
 
-    train, test, cols, x = prepared_split(_ml_frame(spark, sf), "is_canceled", "full", 42)
-    w = model.with_weights(train, "label", model.class_weights(train, "label"))
-    small = model.fit_pipeline(w, cols, model.random_forest(weight_col="weight", num_trees=20))
-    large = model.fit_pipeline(w, cols, model.random_forest(weight_col="weight", num_trees=40, max_depth=12))
-    x.unpersist()
+    b = _ml_frame(spark, sf)
+    default = train_default_forest(b, "is_canceled")
+    default.release()
+    tuned = tune_forest(b, "is_canceled")
+    tuned.release()
     _release_ml()
-    return model.compare_importance(
-        model.importance_frame(spark, model.feature_importance(large, cols)),
-        model.importance_frame(spark, model.feature_importance(small, cols)),
-    )
+    return model.compare_importance(model.importance_frame(spark, tuned.importance), model.importance_frame(spark, default.importance))
 
 
 @query("dtype_report")
