@@ -8,7 +8,8 @@ feature categories) are schema metadata and stay on the driver.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,6 +38,23 @@ def shape(df: DataFrame) -> tuple[int, int]:
     return df.count(), len(df.columns)
 
 
+def long_form(parts: Mapping[str, DataFrame | None]) -> DataFrame:
+    """All parts of a report as (part, item, measure, value), a row per cell.
+
+    ``item``: the column(s), bucket, value or group that a row is about, or the
+    row's number in a part of plain rows; values are strings, null cells stay.
+    """
+
+    def melted(name: str, part: DataFrame) -> DataFrame:
+        plain = name in ("head", "pattern_sample")
+        keys = [] if plain else [c for c in part.columns if c in ("column", "col_a", "col_b", "bucket", "value") or name == f"rate_by_{c}"]
+        item = F.concat_ws(", ", *[F.col(k).cast("string") for k in keys]) if keys else F.monotonically_increasing_id().cast("string")
+        cells = [F.struct(F.lit(c).alias("measure"), F.col(f"`{c}`").cast("string").alias("value")) for c in part.columns if c not in keys]
+        return part.select(item.alias("item"), F.array(*cells).alias("cells")).select(F.lit(name).alias("part"), "item", F.inline("cells"))
+
+    return reduce(DataFrame.unionByName, [melted(n, p) for n, p in parts.items() if p is not None])
+
+
 # ---------------------------------------------------------------- P1 / P2
 def dataset_profile(df: DataFrame, head: int = 5) -> dict[str, DataFrame]:
     """Shape, dtypes, nulls per column (zeros included), describe, first rows."""

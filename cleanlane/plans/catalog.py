@@ -1277,6 +1277,14 @@ def q_dataset_profile(spark, sf):
     return p["nulls"].select("column", "null_count")
 
 
+@query("dataset_profile_parts")
+def q_dataset_profile_parts(spark, sf):
+    """P1 (rows-only): all parts of the profile: shape, types, nulls, statistics, first rows."""
+    from ..operators import report
+
+    return report.long_form(report.dataset_profile(_nully_orders(spark, sf)))
+
+
 @query(
     "preview",
     "SELECT o_orderkey, o_custkey, o_orderstatus, round(o_totalprice, 6) AS o_totalprice FROM orders ORDER BY o_orderkey LIMIT 50",
@@ -1343,10 +1351,10 @@ def q_feature_ranking(spark, sf):
 
 @query("missing_report")
 def q_missing_report(spark, sf):
-    """P4 (rows-only): seeded random sample of the null pattern (1000 rows)."""
+    """P4 (rows-only): null percentages of all rows and a seeded random sample of the null pattern (1000 rows)."""
     from ..operators import report
 
-    return report.missing_report(_nully_orders(spark, sf))["pattern_sample"]
+    return report.long_form(report.missing_report(_nully_orders(spark, sf)))
 
 
 @query("outlier_report")
@@ -1360,20 +1368,20 @@ def q_outlier_report(spark, sf):
 
 @query("target_association")
 def q_target_association(spark, sf):
-    """P7 (rows-only): Cramér's V of the text columns of the bookings view."""
+    """P7 (rows-only): Pearson r of the numeric and Cramér's V of the text columns of the bookings view, and the target rate."""
     from ..operators import report
 
-    return report.target_association(bookings_view(spark, sf).drop("booking_id"), "is_canceled")["categorical"]
+    return report.long_form(report.target_association(bookings_view(spark, sf).drop("booking_id"), "is_canceled"))
 
 
 @query("collinearity_report")
 def q_collinearity_report(spark, sf):
-    """P8 (rows-only): correlation matrix after C14 on lineitem + near copies."""
+    """P8 (rows-only): correlation matrices before and after C14 on lineitem + near copies."""
     from ..operators import report
 
     before = _pairs_frame(spark, sf)
     after, _ = screen.clean_multicollinearity(before, None)
-    return report.collinearity_report(before, after)["after"]
+    return report.long_form(report.collinearity_report(before, after))
 
 
 @query("pipeline_clean")
@@ -1465,12 +1473,12 @@ def q_dtype_report(spark, sf):
 
 @query("feature_step_report")
 def q_feature_step_report(spark, sf):
-    """P10 (rows-only): flag totals of the segment features built by E4 on the bookings view."""
+    """P10 (rows-only): histograms, flag totals and target rates of the features built on the bookings view."""
     from ..operators import report
 
     b = bookings_view(spark, sf)
     t = features.deposit_features(features.market_features(features.level_from_count(features.bucket_flags(b))))
-    return report.feature_step_report(b, t, "is_canceled")["segments_flags"]
+    return report.long_form(report.feature_step_report(b, t, "is_canceled"))
 
 
 @query("scaling_report")
