@@ -22,7 +22,7 @@ scores: the smaller id first, a null id last.  Rows that repeat are candidates
 each; repeated query rows (same id and vector) are one query, and rows of one
 id with other vectors are queries of their own, under the same id.  Empty
 tables give no rows.  Components are floor(scale * x) and must fit into 31
-bits.  Other columns are ignored, whatever their names.
+bits; a larger one is an error.  Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -44,6 +44,8 @@ BANDS = (0.3, 0.1, 0.04)
 #: A search may stop once it has at most so many possible members, in multiples of k and as a mean of its queries.
 FEW = 8
 NO_ID = np.iinfo(np.int64).max
+#: Largest component in size, as a whole number.
+MOST = np.iinfo(np.int32).max
 
 
 def whole_vectors(rows: DataFrame, vec: str, embedding: str, scale: int) -> DataFrame:
@@ -71,6 +73,8 @@ def _sharder(batches):
             ids = np.array([NO_ID if i is None else i for i in part.column(0).to_pylist()], np.int64)
             order = np.argsort(ids, kind="stable")
             x = _padded(part.column(1).to_pylist())[order]
+            if x.max(initial=0) > MOST or x.min(initial=0) < -MOST:
+                raise ValueError(f"a component's floor(scale * x) lies beyond {MOST}")
             yield pa.RecordBatch.from_arrays([pa.array([len(ids)]), pa.array([x.shape[1]]), pa.array([ids[order].tobytes()], pa.binary()), pa.array([x.astype(np.int32).tobytes()], pa.binary())], names=["n", "width", "ids", "x"])
 
 

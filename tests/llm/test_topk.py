@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from cleanlane.llm import topk
@@ -43,3 +44,16 @@ def test_empty_and_few(frame):
     assert topk.top_k(none, F.lit(True)).count() == 0
     few = frame([(0, [1.0]), (1, [2.0])], "vec_id long, embedding array<float>")
     assert sorted(map(tuple, topk.top_k(few, F.col("vec_id") == 0).collect())) == [(0, 1, 1, 64 * 128)]
+
+
+@pytest.mark.parametrize("large", [2.0**25, -(2.0**25) - 1, 1e300])
+def test_a_component_out_of_range_is_an_error(frame, large):
+    rows = frame([(0, [1.0, 1.0]), (1, [large, 1.0]), (2, [2.0, 1.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="lies beyond"):
+        topk.top_k(rows, F.col("vec_id") == 0).collect()
+
+
+def test_the_largest_component(frame):
+    top = (2**31 - 1) / 64
+    rows = frame([(0, [1.0]), (1, [top]), (2, [-top])], "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, topk.top_k(rows, F.col("vec_id") == 0).collect())) == [(0, 1, 1, 64 * (2**31 - 1)), (0, 2, 2, -64 * (2**31 - 1))]
