@@ -318,6 +318,28 @@ def _bucket_of(col: Column, cuts: Sequence[float]) -> Column:
     return build(0, len(cuts))
 
 
+def _with_buckets(base: DataFrame, n: int, rows_per_bucket: int, max_buckets: int) -> DataFrame:
+    """``base`` of ``n`` rows with ``_bucket``, about ``rows_per_bucket`` rows each, in the order of ``_ord``.
+
+    Beyond ``max_buckets`` each range is cut again at its own sketch's points
+    (one broadcast row per range).
+    """
+    wanted = max(1, math.ceil(n / rows_per_bucket))
+    n_buckets = min(max_buckets, wanted)
+    if n_buckets == 1 and wanted == 1:
+        return base.withColumn("_bucket", F.lit(0).cast("long"))
+    probs = [i / n_buckets for i in range(1, n_buckets)]
+    acc = max(DEFAULT_ACCURACY, 20 * n_buckets)
+    cuts = sorted(set(base.agg(F.approx_percentile("_ord", probs, acc)).first()[0])) if probs else []
+    base = base.withColumn("_bucket", _bucket_of(F.col("_ord"), cuts).cast("long"))
+    if wanted <= max_buckets:
+        return base
+    parts = math.ceil(wanted / max_buckets)
+    inner = base.groupBy("_bucket").agg(F.approx_percentile("_ord", [i / parts for i in range(1, parts)], max(DEFAULT_ACCURACY, 20 * parts)).alias("_cuts"))
+    behind = F.size(F.filter("_cuts", lambda c: c <= F.col("_ord")))
+    return base.join(F.broadcast(inner), "_bucket", "left").withColumn("_bucket", F.col("_bucket") * parts + F.when(F.col("_cuts").isNull(), 0).otherwise(behind)).drop("_cuts")
+
+
 def running_totals(
     df: DataFrame,
     order_col: str,
@@ -329,28 +351,21 @@ def running_totals(
     """Add ``<c>_cum`` (inclusive running sum of ``c`` in ``order_col`` order) for each ``c``.
 
     ``order_col`` must be unique per row (group by it first).  Runs one count,
-    one sketch for cut points (<= max_buckets values reach the driver), one
+    one sketch for cut points (<= max_buckets values reach the driver; beyond,
+    the ranges are cut again, see ``_with_buckets``), one
     bucket-total aggregate and one window partitioned by bucket.
     """
     sign = -1.0 if descending else 1.0
     key = (F.col(order_col).cast("double") * F.lit(sign)).alias("_ord")
     base = df.withColumn("_ord", key)
     n = base.count()
-    n_buckets = min(max_buckets, max(1, math.ceil(n / rows_per_bucket)))
-    if n_buckets > 1:
-        probs = [i / n_buckets for i in range(1, n_buckets)]
-        acc = max(DEFAULT_ACCURACY, 20 * n_buckets)
-        cuts = base.agg(F.approx_percentile("_ord", probs, acc)).first()[0]
-        cuts = sorted(set(cuts))
-        base = base.withColumn("_bucket", _bucket_of(F.col("_ord"), cuts))
-    else:
-        base = base.withColumn("_bucket", F.lit(0))
+    base = _with_buckets(base, n, rows_per_bucket, max_buckets)
     totals = base.groupBy("_bucket").agg(*[F.sum(c).alias(f"_{c}_bt") for c in sum_cols])
     wb = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         "_bucket", *[F.coalesce(F.sum(f"_{c}_bt").over(wb), F.lit(0)).alias(f"_{c}_off") for c in sum_cols]
     )
-    # one row per bucket (<= max_buckets): bounded broadcast
+    # one row per bucket, n / rows_per_bucket: a small broadcast
     joined = base.join(F.broadcast(offsets), "_bucket")
     w = Window.partitionBy("_bucket").orderBy("_ord").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     out = joined.select(
