@@ -173,3 +173,25 @@ def fold_table(separators) -> np.ndarray:
     out[0] = 255  # no UTF-8 byte; 0 stands for separators
     out[np.asarray(sorted(separators), int)] = 0
     return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``checkpointed`` that nothing will read again."""
+    for df in tables:
+        spark = df.sparkSession
+        own = f"{shared_folder(spark).rstrip('/')}/tables/"
+        jvm = spark.sparkContext._jvm
+        for folder in {f.rpartition("/")[0] for f in df.inputFiles()}:
+            path = jvm.org.apache.hadoop.fs.Path(folder)
+            root = jvm.org.apache.hadoop.fs.Path(own)
+            if path.getParent().toUri().getPath().rstrip("/") == root.toUri().getPath().rstrip("/"):
+                path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def arrow_table(rows, schema: str):
+    """An Arrow table of tuples; ``schema`` names each column and one of the types below."""
+    import pyarrow as pa
+
+    kinds = {"string": pa.string(), "int": pa.int32(), "long": pa.int64(), "binary": pa.binary(), "boolean": pa.bool_()}
+    fields = [f.split() for f in schema.split(",")]
+    return pa.Table.from_arrays([pa.array([r[i] for r in rows], kinds[kind]) for i, (_, kind) in enumerate(fields)], names=[name for name, _ in fields])

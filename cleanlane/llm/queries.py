@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, decontam, langid, neardup, pii, sharding, topk, urlfilter, warc
+from . import bpe, chat, collocate, decontam, langid, neardup, pii, sharding, topk, urlfilter, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -199,3 +199,34 @@ PII_KEY = "cleanlane"
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text with pseudonyms, and the number of values replaced."""
     return pii.pseudonymise(table(spark, sf_dir, "documents").select("doc_id", "text"), PII_KEY, count="n_replaced")
+
+
+@query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2000 best phrases of each language of all documents."""
+    return collocate.collocations(table(spark, sf_dir, "documents"), least=100, longest=5, top=2000)
+
+
+ORACLES["op11_collocations"] = r"""
+WITH p AS (
+  SELECT doc_id, coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (
+  SELECT lang, k, array_to_string(ws[a:a + k - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS a FROM w, (SELECT unnest(range(1, 6)) AS k) WHERE len(ws) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+t AS (SELECT lang, CAST(sum(f) AS HUGEINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE k >= 2 AND f >= 100),
+cuts AS (SELECT *, unnest(range(1, k)) AS j FROM c),
+s AS (
+  SELECT c.lang, c.k, c.phrase, c.a, j, h.f AS l, r.f AS r, t.n, (1000 * CAST(c.a AS HUGEINT) * t.n) // (CAST(h.f AS HUGEINT) * r.f) AS score
+  FROM cuts AS c JOIN t ON t.lang = c.lang
+  JOIN f AS h ON h.lang = c.lang AND h.phrase = array_to_string(c.ws[1:j], ' ')
+  JOIN f AS r ON r.lang = c.lang AND r.phrase = array_to_string(c.ws[j + 1:], ' ')
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, j) = 1),
+inside AS (
+  SELECT DISTINCT x.lang, x.phrase FROM c AS x JOIN c AS y ON x.lang = y.lang AND y.k > x.k AND y.a >= x.a AND contains(' ' || y.phrase || ' ', ' ' || x.phrase || ' ')),
+kept AS (SELECT * FROM s WHERE (lang, phrase) NOT IN (SELECT (lang, phrase) FROM inside))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM kept QUALIFY rank <= 2000
+"""
