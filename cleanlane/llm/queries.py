@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat, collocate, decontam, langid, neardup, pii, sharding, topk, urlfilter, warc
+from . import align, bpe, chat, collocate, decontam, langid, neardup, pii, sharding, topk, urlfilter, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -230,3 +230,9 @@ kept AS (SELECT * FROM s WHERE (lang, phrase) NOT IN (SELECT (lang, phrase) FROM
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
 FROM kept QUALIFY rank <= 2000
 """
+
+
+@query
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's tokens of two tokenizers, aligned by their bytes."""
+    return align.alignment_digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
