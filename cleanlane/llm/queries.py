@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import align, bpe, chat, collocate, decontam, langid, neardup, pii, sharding, topk, urlfilter, warc
+from . import align, bpe, chat, collocate, decontam, langid, neardup, pii, repeats, sharding, topk, urlfilter, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -236,3 +236,9 @@ FROM kept QUALIFY rank <= 2000
 def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens of two tokenizers, aligned by their bytes."""
     return align.alignment_digests(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json", f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
+@query
+def op13_repeated_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of repeated 400-byte strings."""
+    return repeats.removal_digests(table(spark, sf_dir, "documents"))
