@@ -46,7 +46,7 @@ from .common import arrow_table, checkpointed, discard, ship, text_slices
 ship(__name__)
 
 #: Bytes of text and distinct segments in a shard; bytes of segments encoded in one call; bytes of input for a block.
-SHARD_BYTES, SHARD_SEGMENTS, CALL, BLOCK = 24 << 20, 300_000, 1 << 18, 64 << 20
+SHARD_BYTES, SHARD_SEGMENTS, CALL, BLOCK = 12 << 20, 200_000, 1 << 18, 64 << 20
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _ODD = re.compile(r" \s|\s ")
 _ROWS = "shard string, block int, data binary"
@@ -91,7 +91,9 @@ def overlap_links(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 def groups_of(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """The group of each token of A, of each of B, and the number of groups."""
     ends_a, ends_b = np.cumsum(a), np.cumsum(b)
-    both = np.intersect1d(ends_a, ends_b)
+    if not len(a):
+        return ends_a, ends_b, 0
+    both = ends_a[ends_b[np.minimum(np.searchsorted(ends_b, ends_a), len(ends_b) - 1)] == ends_a]
     return np.searchsorted(both, ends_a), np.searchsorted(both, ends_b), len(both)
 
 
@@ -149,6 +151,8 @@ class Tokenizers:
         n = self.b.get_piece_size()
         self.bytes_b = [bytes([int(p[3:-1], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in ((i, self.b.id_to_piece(i)) for i in range(n))]
         check_pieces(self.bytes_b)
+        #: Each id with a comma, and with what ends its part of a group.
+        self.names = [b"%d%b" % (i, end) for n, last in ((len(self.bytes_a), b"|"), (len(self.bytes_b), b";")) for i in range(n) for end in (b",", last)]
         self.len_a, self.len_b = np.array([len(x) for x in self.bytes_a]), np.array([len(x) for x in self.bytes_b])
 
     def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
@@ -160,39 +164,50 @@ class Tokenizers:
             return None
         return np.array(a, np.int64), np.array(b, np.int64)
 
-    def encode_all(self, parts: list[str]) -> list[tuple[np.ndarray, np.ndarray] | None]:
-        """``encode`` of each segment; regular ones many in one call."""
-        out: list = [None] * len(parts)
-        regular = []
-        for i, p in enumerate(parts):
-            if len(p) > 1 and not p[1].isspace() and p[-1] != " ":
-                regular.append(i)
-            else:
-                out[i] = self.encode(p)
-        at = 0
-        while at < len(regular):
-            end, size = at, 0
-            while end < len(regular) and (end == at or size + len(parts[regular[end]]) <= CALL):
-                size += len(parts[regular[end]])
-                end += 1
-            self._together(parts, regular[at:end], out)
-            at = end
-        return out
+    def encode_all(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of A and of B of all segments one after another, each segment's numbers of ids, and where ``encode`` has none.
+
+        Regular segments are encoded many in one call.
+        """
+        ids_a, ids_b, n_a, n_b, bad = [], [], [], [], []
+
+        def put(a, b, own_a, own_b, failed) -> None:
+            for out, x in ((ids_a, a), (ids_b, b), (n_a, own_a), (n_b, own_b), (bad, failed)):
+                out.append(x)
 
-    def _together(self, parts: list[str], which: list[int], out: list) -> None:
-        got = self.encode("".join([parts[i] for i in which]))
-        if got is None and len(which) > 1:  # one of them is at fault
-            half = len(which) // 2
-            self._together(parts, which[:half], out)
-            self._together(parts, which[half:], out)
-        elif got is not None:
-            a, b = got
-            ends = np.cumsum([len(parts[i].encode()) for i in which])
-            cut_a, cut_b = (np.searchsorted(np.cumsum(size[ids]), ends) + 1 for ids, size in ((a, self.len_a), (b, self.len_b)))
-            if (np.cumsum(self.len_a[a])[cut_a - 1] != ends).any() or (np.cumsum(self.len_b[b])[cut_b - 1] != ends).any():
-                raise ValueError("a token crosses the space between two segments")
-            for i, x, y in zip(which, np.split(a, cut_a[:-1]), np.split(b, cut_b[:-1]), strict=True):
-                out[i] = (x, y)
+        def together(own: list[str]) -> None:
+            got = self.encode("".join(own))
+            if got is None and len(own) > 1:  # one of them is at fault
+                together(own[: len(own) // 2])
+                together(own[len(own) // 2 :])
+            elif got is None:
+                put(*[np.zeros(0, np.int64)] * 2, *[np.zeros(1, np.int64)] * 2, np.ones(1, bool))
+            else:
+                ends = np.cumsum([len(p.encode()) for p in own])
+                counts = []
+                for ids, size in zip(got, (self.len_a, self.len_b), strict=True):
+                    at = np.cumsum(size[ids])
+                    cut = np.searchsorted(at, ends)
+                    if (at[cut] != ends).any():
+                        raise ValueError("a token crosses the space between two segments")
+                    counts.append(np.diff(cut, prepend=-1))
+                put(*got, *counts, np.zeros(len(own), bool))
+
+        held, size = [], 0
+        for p in parts:
+            odd = len(p) < 2 or p[1].isspace() or p[-1] == " "
+            if held and (odd or size + len(p) > CALL):
+                together(held)
+                held, size = [], 0
+            if odd:
+                together([p])
+            else:
+                held.append(p)
+                size += len(p)
+        if held:
+            together(held)
+        empty = np.zeros(0, np.int64)
+        return *[np.concatenate([empty, *x]) for x in (ids_a, ids_b, n_a, n_b)], np.concatenate([np.zeros(0, bool), *bad])
 
 
 def tokenizers(path_a: str, path_b: str) -> Tokenizers:
@@ -216,11 +231,10 @@ def _aligner(path_a: str, path_b: str, kept: int):
                 out = []
                 raw, bounds = data.tobytes(), offsets.tolist()
                 for i in range(len(bounds) - 1):
-                    got = both.encode_all(segments(raw[bounds[i] : bounds[i + 1]].decode())) if bounds[i] < bounds[i + 1] else []
-                    if not got or any(g is None for g in got):
+                    a, b, _, _, bad = both.encode_all(segments(raw[bounds[i] : bounds[i + 1]].decode()) if bounds[i] < bounds[i + 1] else [])
+                    if bad.any() or not len(a):
                         out.append(([], [], [], [], [], [], []))
                         continue
-                    a, b = (np.concatenate([g[k] for g in got]) for k in (0, 1))
                     link_a, link_b, shared = overlap_links(both.len_a[a], both.len_b[b])
                     of_a, of_b, _ = groups_of(both.len_a[a], both.len_b[b])
                     out.append((a, b, link_a, link_b, shared, of_a, of_b))
@@ -257,15 +271,11 @@ class _Shard:
 
     def rows(self, both: Tokenizers, bits: int) -> list[tuple]:
         n = len(self.ids)
-        got = both.encode_all(list(self.ids))
+        a, b, n_a, n_b, bad = both.encode_all(list(self.ids))
         bounds = np.concatenate([np.zeros(1, np.int64), np.cumsum([len(c) for c in self.codes], dtype=np.int64)])
         codes = np.concatenate(self.codes) if self.codes else np.zeros(0, np.int32)
-        bad = np.array([g is None for g in got], bool)
         failing = np.array([bad[c].any() or not len(c) for c in self.codes], bool)
         # the segments' matrices are the blocks of one; segments that can't be encoded have no tokens
-        empty = np.zeros(0, np.int64)
-        a, b = (np.concatenate([empty, *[g[k] for g in got if g is not None]]) for k in (0, 1))
-        n_a, n_b = (np.array([len(g[k]) if g is not None else 0 for g in got], np.int64) for k in (0, 1))
         link_a, link_b, _ = overlap_links(both.len_a[a], both.len_b[b])
         of_a, of_b, _ = groups_of(both.len_a[a], both.len_b[b])
         shared_a, _ = group_links(of_a, of_b, len(of_a))
@@ -274,7 +284,7 @@ class _Shard:
         shared = np.bincount(segment[shared_a], minlength=n)
         new = np.concatenate([np.ones(min(1, len(of_a)), bool), of_a[1:] != of_a[:-1]])
         n_groups = np.bincount(segment[new], minlength=n)
-        said = _spelled(a, b, of_a, of_b, n_groups)
+        said = _spelled(both, a, b, of_a, of_b, n_a + n_b)
         # pairs, as often as their segments occur in documents with tokens
         times = np.bincount(np.concatenate([np.zeros(0, np.int32), *[c for c, f in zip(self.codes, failing, strict=True) if not f]]), minlength=n)
         permuted, place = np.unique(quotient.permute(a[link_a].astype(np.uint64) << np.uint64(32) | b[link_b].astype(np.uint64)), return_inverse=True)
@@ -284,7 +294,7 @@ class _Shard:
             if failing[i]:
                 per_doc.append((0, 0, 0, 0, 0, ""))
             else:
-                per_doc.append((*(int(x[c].sum()) for x in (n_a, n_b, n_groups, links, shared)), hashlib.sha256(b";".join([said[k] for k in c.tolist()])).hexdigest()))
+                per_doc.append((*(int(x[c].sum()) for x in (n_a, n_b, n_groups, links, shared)), hashlib.sha256(b"".join([said[k] for k in c.tolist()])[:-1]).hexdigest()))
         own = uuid.uuid4().hex
         state = {"docs": self.docs, "per_doc": per_doc, "codes": codes, "bounds": bounds, "failing": failing, "links": links, "place": place.astype(np.int32), "pairs": permuted}
         out = [(own, -1, pickle.dumps(state, protocol=5))]
@@ -294,15 +304,16 @@ class _Shard:
         return out
 
 
-def _spelled(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, n_groups: np.ndarray) -> list[bytes]:
-    """The groups of each segment as `a1,a2|b1;a3|b2,b3`."""
-    if not len(a):
-        return [b""] * len(n_groups)
-    cut_a, cut_b = (np.searchsorted(of, np.arange(of[-1] + 2)).tolist() for of in (of_a, of_b))
-    ids_a, ids_b = ([b"%d" % i for i in x.tolist()] for x in (a, b))
-    groups = [b",".join(ids_a[cut_a[g] : cut_a[g + 1]]) + b"|" + b",".join(ids_b[cut_b[g] : cut_b[g + 1]]) for g in range(len(cut_a) - 1)]
-    ends = np.cumsum(n_groups).tolist()
-    return [b";".join(groups[x:y]) for x, y in zip([0, *ends[:-1]], ends, strict=True)]
+def _spelled(both: Tokenizers, a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, tokens: np.ndarray) -> list[bytes]:
+    """The groups of each segment as `a1,a2|b1;a3|b2,b3;`, from its number of tokens of both kinds."""
+    # every token's text with what stands behind it: A's end in a comma or a bar, B's in a comma or a semicolon
+    last_a, last_b = (np.append(of[1:] != of[:-1], True) if len(of) else np.zeros(0, bool) for of in (of_a, of_b))
+    said = np.empty(len(a) + len(b), np.int64)
+    said[np.arange(len(a)) + np.searchsorted(of_b, of_a)] = 2 * a + last_a
+    said[np.arange(len(b)) + np.searchsorted(of_a, of_b, side="right")] = 2 * (len(both.bytes_a) + b) + last_b
+    said = [both.names[i] for i in said.tolist()]
+    ends = np.cumsum(tokens).tolist()
+    return [b"".join(said[x:y]) for x, y in zip([0, *ends[:-1]], ends, strict=True)]
 
 
 def _shards(path_a: str, path_b: str, bits: int):

@@ -51,6 +51,8 @@ LENGTH, SPAN, GRAM = 400, 256, 24
 ROUNDS, MOST = (SPAN, 16, 1), 2000
 #: Bytes of a symbol; bytes of strings that a task sorts; bytes of a text scanned at once.
 PACK, BLOCK, WINDOW = 32, 12 << 20, 2 << 20
+#: Values of the hash by which texts are left out before later rounds: a bound on the rows that are broadcast for it.
+BUCKETS = 1 << 20
 _RUNS = "text binary, m int, low int, high int, core long, whole long"
 
 
@@ -225,10 +227,12 @@ def _judge(table):
 def _repeats(texts: DataFrame, runs: DataFrame, last: bool) -> tuple[DataFrame, DataFrame]:
     """(text, m, spans) of the starts that are repeats, and the runs of cores with too many different strings."""
     cores = runs.groupBy("core").agg(F.count("*").alias("times"), F.min("whole").alias("least"), F.max("whole").alias("most")).filter("times > 1")
-    again = checkpointed(runs.join(cores.select("core", (F.col("least") == F.col("most")).alias("alike")), "core"))
+    # both sides of the joins on cores are written tables, so that Spark can split a hot core's rows
+    cores = checkpointed(cores.select("core", (F.col("least") == F.col("most")).alias("alike")))
+    again = checkpointed(runs.join(cores, "core"))
     alike = again.filter("alike").select("text", "m", F.struct("low", "high").alias("all"), F.lit(None).cast("binary").alias("spans"))
     counted = checkpointed(again.filter("NOT alike").groupBy("core", "whole").agg(F.count("*").alias("n"), F.min(F.struct("text", "m", "low", "high")).alias("at")))
-    wide = counted.groupBy("core").agg(F.count("*").alias("strings")).filter(F.col("strings") > (2**62 if last else MOST)).select("core")
+    wide = checkpointed(counted.groupBy("core").agg(F.count("*").alias("strings")).filter(F.col("strings") > (2**62 if last else MOST)).select("core"))
     listed = counted.join(wide, "core", "left_anti").groupBy("at.text").agg(F.collect_list(F.struct("core", "whole", "n", "at.m", "at.low", "at.high")).alias("runs"))
     strings = texts.join(listed, "text").select("bytes", "runs").mapInArrow(_strings, "core long, whole long, n long, low long, high long, string binary").dropDuplicates(["core", "whole"])
     blocks = max(32, -(-counted.count() * (LENGTH + SPAN) // BLOCK))
@@ -237,7 +241,7 @@ def _repeats(texts: DataFrame, runs: DataFrame, last: bool) -> tuple[DataFrame,
     parted = again.filter("NOT alike").join(judged, ["core", "whole"]).select("text", "m", F.lit(None).cast("struct<low:int,high:int>").alias("all"), "spans")
     found = checkpointed(alike.unionByName(parted).distinct())
     left = checkpointed(again.filter("NOT alike").join(wide, "core").select("text", "m", "low", "high"))
-    discard(runs, again, counted, judged)
+    discard(runs, cores, again, counted, wide, judged)
     return found, left
 
 
@@ -252,7 +256,10 @@ def repeats(docs: DataFrame, text: str = "text") -> DataFrame:
         if span == 1 or left.isEmpty():
             break
         listed = left.groupBy("text").agg(F.collect_set(F.struct("m", "low", "high")).alias("runs"))
-        runs = checkpointed(texts.join(listed, "text").select("text", "bytes", "runs").mapInArrow(_narrowed(ROUNDS[k + 1]), _RUNS))
+        # texts that can't be listed are left out before the shuffle, by a hash of BUCKETS values
+        bucket = F.pmod(F.xxhash64("text"), F.lit(BUCKETS)).alias("bucket")
+        near = texts.select("*", bucket).join(F.broadcast(listed.select(bucket).distinct()), "bucket", "left_semi")
+        runs = checkpointed(near.join(listed, "text").select("text", "bytes", "runs").mapInArrow(_narrowed(ROUNDS[k + 1]), _RUNS))
     return found.groupBy("text").agg(F.collect_set(F.struct("m", "all", "spans")).alias("marks"))
 
 
