@@ -47,6 +47,8 @@ ship(__name__)
 
 #: Bytes of text and distinct segments in a shard; bytes of segments encoded in one call; bytes of input for a block.
 SHARD_BYTES, SHARD_SEGMENTS, CALL, BLOCK = 12 << 20, 200_000, 1 << 18, 64 << 20
+#: Segments whose matrices are multiplied at once.
+SEGMENTS = 16_384
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _ODD = re.compile(r" \s|\s ")
 _ROWS = "shard string, block int, data binary"
@@ -270,25 +272,20 @@ class _Shard:
         return self.size > SHARD_BYTES or len(self.ids) > SHARD_SEGMENTS
 
     def rows(self, both: Tokenizers, bits: int) -> list[tuple]:
-        n = len(self.ids)
-        a, b, n_a, n_b, bad = both.encode_all(list(self.ids))
+        parts = list(self.ids)
+        n, kept = len(parts), [[] for _ in range(8)]
+        for at in range(0, n, SEGMENTS):  # the segments' matrices are the blocks of one; those of some segments at a time
+            for out, x in zip(kept, _described(both, parts[at : at + SEGMENTS]), strict=True):
+                out.append(x)
+        bad, n_a, n_b, n_groups, links, shared, keys = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in kept[:7])
+        said = [s for x in kept[7] for s in x]
         bounds = np.concatenate([np.zeros(1, np.int64), np.cumsum([len(c) for c in self.codes], dtype=np.int64)])
         codes = np.concatenate(self.codes) if self.codes else np.zeros(0, np.int32)
         failing = np.array([bad[c].any() or not len(c) for c in self.codes], bool)
-        # the segments' matrices are the blocks of one; segments that can't be encoded have no tokens
-        link_a, link_b, _ = overlap_links(both.len_a[a], both.len_b[b])
-        of_a, of_b, _ = groups_of(both.len_a[a], both.len_b[b])
-        shared_a, _ = group_links(of_a, of_b, len(of_a))
-        segment = np.repeat(np.arange(n), n_a)  # of each token of A
-        links = np.bincount(segment[link_a], minlength=n)
-        shared = np.bincount(segment[shared_a], minlength=n)
-        new = np.concatenate([np.ones(min(1, len(of_a)), bool), of_a[1:] != of_a[:-1]])
-        n_groups = np.bincount(segment[new], minlength=n)
-        said = _spelled(both, a, b, of_a, of_b, n_a + n_b)
         # pairs, as often as their segments occur in documents with tokens
         times = np.bincount(np.concatenate([np.zeros(0, np.int32), *[c for c, f in zip(self.codes, failing, strict=True) if not f]]), minlength=n)
-        permuted, place = np.unique(quotient.permute(a[link_a].astype(np.uint64) << np.uint64(32) | b[link_b].astype(np.uint64)), return_inverse=True)
-        counts = np.bincount(place, weights=times[segment[link_a]], minlength=len(permuted)).astype(np.uint64)
+        permuted, place = np.unique(quotient.permute(keys), return_inverse=True)
+        counts = np.bincount(place, weights=np.repeat(times, links), minlength=len(permuted)).astype(np.uint64)
         per_doc = []
         for i, c in enumerate(self.codes):
             if failing[i]:
@@ -304,6 +301,20 @@ class _Shard:
         return out
 
 
+def _described(both: Tokenizers, parts: list[str]) -> tuple:
+    """Of each segment: no encoding, tokens of A and of B, groups, links, links by groups; the id pairs of all links; the groups as text."""
+    n = len(parts)
+    a, b, n_a, n_b, bad = both.encode_all(parts)
+    link_a, link_b, _ = overlap_links(both.len_a[a], both.len_b[b])
+    of_a, of_b, _ = groups_of(both.len_a[a], both.len_b[b])
+    shared_a, _ = group_links(of_a, of_b, len(of_a))
+    segment = np.repeat(np.arange(n), n_a)  # of each token of A
+    new = np.concatenate([np.ones(min(1, len(of_a)), bool), of_a[1:] != of_a[:-1]])
+    keys = a[link_a].astype(np.uint64) << np.uint64(32) | b[link_b].astype(np.uint64)
+    links, shared, n_groups = (np.bincount(segment[x], minlength=n) for x in (link_a, shared_a, new))
+    return bad, n_a, n_b, n_groups, links, shared, keys, _spelled(both, a, b, of_a, of_b, n_a + n_b)
+
+
 def _spelled(both: Tokenizers, a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray, tokens: np.ndarray) -> list[bytes]:
     """The groups of each segment as `a1,a2|b1;a3|b2,b3;`, from its number of tokens of both kinds."""
     # every token's text with what stands behind it: A's end in a comma or a bar, B's in a comma or a semicolon
