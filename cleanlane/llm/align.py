@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import quotient
-from .common import arrow_table, checkpointed, discard, ship, text_slices
+from .common import arrow_table, checkpointed, discard, ship, text_slices, trim
 
 ship(__name__)
 
@@ -329,6 +329,7 @@ def _spelled(both: Tokenizers, a: np.ndarray, b: np.ndarray, of_a: np.ndarray, o
 
 def _shards(path_a: str, path_b: str, bits: int):
     def run(batches):
+        trim()
         both, shard = tokenizers(path_a, path_b), _Shard()
         for batch in batches:
             docs = batch.column(0).to_pylist()
@@ -339,6 +340,7 @@ def _shards(path_a: str, path_b: str, bits: int):
                 if shard.full():
                     yield from arrow_table(shard.rows(both, bits), _ROWS).to_batches()
                     shard = _Shard()
+                    trim()
         if shard.docs:
             yield from arrow_table(shard.rows(both, bits), _ROWS).to_batches()
 

@@ -34,7 +34,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, BASE_INV, checkpointed, powers, ship, text_slices
+from .common import BASE, BASE_INV, checkpointed, powers, ship, text_slices, trim
 
 ship(__name__)
 
@@ -230,6 +230,7 @@ def _counter():
     def run(batches):
         import pyarrow as pa
 
+        trim()
         for batch in batches:
             times: dict[bytes, int] = {}
             for _, data, offsets in text_slices(batch.column(0)):
@@ -247,6 +248,7 @@ def _finder(shared):
     def run(batches):
         import pyarrow as pa
 
+        trim()
         asked = set(shared.value)
         for batch in batches:
             got = set()
@@ -299,6 +301,7 @@ def _coder(path: str, shared, text_at: int, kept: int):
     def run(batches):
         import pyarrow as pa
 
+        trim()
         own, dictionary = encoder(path), shared.value
         for batch in batches:
             for at, data, offsets in text_slices(batch.column(text_at)):

@@ -8,6 +8,7 @@ task's memory does not follow the record-batch size.
 
 from __future__ import annotations
 
+import secrets
 import sys
 import uuid
 
@@ -56,9 +57,9 @@ def checkpointed(df: DataFrame, rows: int | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def shared_folder(spark: SparkSession, fallback: str = "/tmp/checkpoints") -> str:
+def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors share."""
-    return checkpoint_dir(spark, fallback=fallback)
+    return checkpoint_dir(spark)
 
 
 def lower_ascii(c):
@@ -66,12 +67,6 @@ def lower_ascii(c):
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def without(df: DataFrame, *names: str) -> DataFrame:
-    """``df`` less the columns that would clash with ``names`` in any case."""
-    taken = {n.lower() for n in names}
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in taken])
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64, on unsigned 64-bit numbers."""
     h = h ^ (h >> np.uint64(30))
@@ -81,21 +76,37 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-_POWERS: dict[int, np.ndarray] = {}
+_POWERS: dict = {}
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    """base**0 .. base**(n-1) modulo 2**64; the longest run so far is kept."""
-    if len(_POWERS.get(base, ())) < n:
-        out = np.empty(n, np.uint64)
-        out[0] = 1
+    """base**0 .. base**(n-1) modulo 2**64; runs of up to a slice are kept."""
+    got = _POWERS.get(base)
+    if got is None or len(got) < n:
+        got = np.empty(max(n, 1), np.uint64)
+        got[0] = 1
         done = 1
         while done < n:
             m = min(done, n - done)
-            out[done : done + m] = out[:m] * np.uint64(pow(base, done, 1 << 64))
+            got[done : done + m] = got[:m] * np.uint64(pow(base, done, 1 << 64))
             done += m
-        _POWERS[base] = out
-    return _POWERS[base][:n] if n else np.zeros(0, np.uint64)
+        if n <= SLICE_BYTES + 1:
+            _POWERS[base] = got
+    return got[:n]
+
+
+def trim() -> None:
+    """Give memory that earlier tasks of this worker have freed back to the system."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trimmer = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trimmer is not None:
+        trimmer(0)
 
 
 def text_slices(column, limit: int = SLICE_BYTES):
@@ -145,13 +156,43 @@ def words(data: np.ndarray, offsets: np.ndarray, table: np.ndarray):
     return start, end, first, span_hashes(folded, start, end)
 
 
+#: Primes of the hash of a word, and their bases, which the driver draws once and which travel with the functions.
+PRIMES = (2**31 - 1, 2**31 - 19)
+DRAWN = tuple(secrets.randbelow(p - 3000) + 2000 for p in PRIMES)
+
+
+def prime_powers(base: int, prime: int, n: int) -> np.ndarray:
+    """base**0 .. base**(n-1) modulo a prime below 2**31; runs of up to a slice are kept."""
+    got = _POWERS.get((base, prime))
+    if got is None or len(got) < n:
+        got = np.ones(max(n, 1), np.uint64)
+        done = 1
+        while done < n:
+            m = min(done, n - done)
+            got[done : done + m] = got[:m] * np.uint64(pow(base, done, prime)) % np.uint64(prime)
+            done += m
+        if n <= SLICE_BYTES + 1:
+            _POWERS[base, prime] = got
+    return got[:n]
+
+
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes, from one pass of prefix sums."""
+    """A 64-bit hash of each span of bytes, from prefix sums modulo two primes.
+
+    Modulo 2**64 such sums have known collisions whatever the base (words in
+    Thue-Morse order); modulo a prime two words of n bytes collide for at most n
+    of the bases.
+    """
     n = len(data)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers(BASE, n), out=sums[1:])
-    back = powers(BASE_INV, n + 1)
-    return mix((sums[end] - sums[start]) * back[start] + (end - start).astype(np.uint64))
+    out = (end - start).astype(np.uint64)
+    byte = data.astype(np.uint64) + np.uint64(1)
+    for base, prime in zip(DRAWN, PRIMES, strict=True):
+        p = np.uint64(prime)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum(byte * prime_powers(base, prime, n) % p, out=sums[1:])
+        back = prime_powers(pow(base, -1, prime), prime, n + 1)
+        out = mix(out) + (sums[end] - sums[start]) % p * back[start] % p
+    return mix(out)
 
 
 def shingle_hashes(hashes: np.ndarray, size: int) -> np.ndarray:

@@ -3,8 +3,8 @@
 For every document four kinds of evidence are combined as log probabilities:
 
 - the text: a naive Bayes model over hashed byte trigrams, fitted on a sample
-  of labelled rows of at most ``TRAIN_ROWS`` rows (on average; chosen by the
-  hash of the text, equal parts of all labels), tempered because neighbouring
+  of labelled rows of at most ``TRAIN_ROWS`` rows (on average; chosen by a
+  hash of the text and its row, equal parts of all labels), tempered because neighbouring
   trigrams are not independent;
 - the declared markup language and the address suffix: P(value | language),
   smoothed, from grouped sums of the text's probabilities over all rows;
@@ -120,7 +120,9 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text", languages: tupl
     share = F.lit(0.0)
     for name, n in sizes.items():
         share = F.when(F.col("lang") == name, F.lit(min(1.0, each / n))).otherwise(share)
-    sample = labelled.filter(F.pmod(F.xxhash64("text"), F.lit(1 << 20)) < share * (1 << 20))
+    # by text and row, so that a text that very many rows have enters with its share of them only
+    row = F.xxhash64("text", F.monotonically_increasing_id())
+    sample = labelled.filter(F.pmod(row, F.lit(1 << 20)) < share * (1 << 20))
     got = sample.mapInArrow(_trainer(languages), "lang int, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros((len(languages), BUCKETS))
     counts[got["lang"], got["bucket"]] = got["n"]
@@ -226,14 +228,14 @@ def with_decision(rows: DataFrame, model: Model, confidence: float, far: float =
     return rows.withColumn("found", F.when(sure, F.element_at(F.array(*map(F.lit, model.languages)), F.col("best"))).otherwise("und")).drop("best")
 
 
-#: What is not shown of a page, and single tags and entities.
-HIDDEN = r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^<>]*>|&[#0-9A-Za-z]+;"
+#: What is not shown of a page, and single tags and entities.  A script, style or comment without an end goes on to the end of the page, so no place is scanned twice.
+HIDDEN = r"(?is)<(script|style)\b.*?(?:</\1\s*>|\z)|<!--.*?(?:-->|\z)|<[^<>]*>|&[#0-9A-Za-z]+;"
 
 
 def identify_pages(pages: DataFrame, model: Model, page: str = "page_id", url: str = "url", html: str = "html", confidence: float = 0.5) -> DataFrame:
     """page, host, declared, lang, probability and text_lang of every page."""
     host = F.regexp_replace(host_of(F.col(url)), r":\d*$", "")
-    named = lower_ascii(F.regexp_extract(F.coalesce(F.col(html), F.lit("")), r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", 1))
+    named = lower_ascii(F.regexp_extract(F.coalesce(F.col(html), F.lit("")), r"(?is)<html\b[^<>]*?\blang\s*=\s*[\"']?([A-Za-z]+)", 1))
     text = F.regexp_replace(F.col(html), HIDDEN, " ")
     scored = with_scores(pages, model, text, [F.col(page), host, named])
     suffix = F.regexp_extract("c1", r"([^.]*)$", 1)

@@ -51,3 +51,21 @@ def test_held_out_accuracy(spark):
     scored = langid.with_scores(rest, fitted, F.col("text"), [F.col("lang")]).collect()
     right = sum(fitted.languages[max(range(4), key=lambda i: r["scores"][i])] == r["c0"] for r in scored)
     assert right >= 0.99 * len(scored)
+
+
+def test_hidden_parts_without_end_are_scanned_once(frame, model):
+    import time
+
+    rows = [("open", None, "<script>" * 60_000 + SAID["de"]), ("shown", None, SAID["de"] + "<!--" * 60_000), ("tags", None, "<html " * 60_000 + ">" + SAID["de"])]
+    began = time.time()
+    got = {r["page_id"]: r["lang"] for r in langid.identify_pages(frame(rows, "page_id string, url string, html string"), model).collect()}
+    assert (got["open"], got["shown"], len(got)) == ("und", "de", 3) and time.time() - began < 60
+
+
+def test_a_repeated_text_enters_the_sample_with_its_share(frame, monkeypatch):
+    monkeypatch.setattr(langid, "Model", lambda counts, languages: counts.sum(axis=1))
+    rows = [(SAID["en"], "en")] * 4000 + [(SAID["de"], "de")] * 4000
+    fitted = langid.fit(frame(rows, "text string, lang string"), rows=400)
+    one = langid.fit(frame(rows[:1] + rows[-1:], "text string, lang string"))
+    shares = fitted / one.clip(1)
+    assert all(20 < shares[langid.LANGUAGES.index(x)] < 400 for x in ("en", "de"))

@@ -119,3 +119,9 @@ def test_dates_walk_to_different_dates(spark):
     days = spark.range(600).select(F.date_add(F.lit("2000-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
     both = days.select("d", pii._day(F.col("d"), KEY, False).alias("p")).select("d", "p", pii._day(F.col("p"), KEY, True).alias("b")).collect()
     assert all(r["b"] == r["d"] and (r["p"].day > 12) == (r["d"].day > 12) for r in both) and len({r["p"] for r in both}) == 600
+
+
+def test_domains_of_very_many_labels_end(frame):
+    long = "x@" + "a." * 10**6 + "com"
+    got = run(frame, [long, "write to jane.doe@mail.example.org now", "y@" + "ab." * 100 + "org"])
+    assert got[0] == long and "jane.doe" not in got[1] and not got[2].startswith("y@")
