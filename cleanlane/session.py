@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -17,7 +15,7 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.driver.memory", "12g")
+        .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
@@ -27,24 +25,25 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+#: Folder for intermediate tables of local sessions (driver and executors are one process) that set none.
+LOCAL_FOLDER = "/tmp/checkpoints"
+
+
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``; the setting is only read.
 
-    On a cluster the setting must point at shared storage and is only read.
-    ``fallback`` is used (and installed) only when the setting is unset, as in
-    local tests.
+    A local session (master ``local`` or ``local[n]``) without the setting uses
+    ``LOCAL_FOLDER``; any other one must have it.
     """
-    current = spark.conf.get("spark.checkpoint.dir", None)
-    if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
-        return current
-    if fallback is None:
-        raise RuntimeError("spark.checkpoint.dir is not set; pass a shared folder as fallback")
-    os.makedirs(fallback, exist_ok=True) if "://" not in fallback else None
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    spark.sparkContext.setCheckpointDir(fallback)
-    return fallback
+    sc = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        folder = LOCAL_FOLDER
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(folder)
+    return folder
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
@@ -53,5 +52,5 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Used before operators that run several jobs over the same input, so a lost
     executor recomputes from the checkpoint, not from the raw scan.
     """
-    checkpoint_dir(df.sparkSession, fallback="/tmp/checkpoints")
+    checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)

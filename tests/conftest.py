@@ -8,9 +8,8 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 @pytest.fixture(scope="session")
 def spark():
-    from cleanlane.session import checkpoint_dir, local_session
+    from cleanlane.session import local_session
 
     s = local_session("*", shuffle_partitions=8, app="cleanlane-tests")
-    checkpoint_dir(s, fallback="/tmp/cleanlane-test-checkpoints")
     yield s
     s.stop()
