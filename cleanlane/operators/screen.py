@@ -8,10 +8,11 @@
   r = (N*s - n*T1) / sqrt(n*(N-n) * (N*T2 - T1^2)) with N rows, T1 = sum t,
   T2 = sum t^2.
 * ``moment_matrix``: centred cross-products of k numeric columns in two
-  aggregate passes (means, then sums of centred products); only the k x k
-  matrix reaches the driver.  It feeds the correlated-pair rule (C12) and the
+  passes (means, then a distributed Gram matrix of the deviations); only the
+  k x k matrix reaches the driver.  It feeds the correlated-pair rule (C12) and the
   variance inflation factors (C13): with the uncentred Gram G = X'X,
-  VIF_i = 1 / (1 - R^2_i) of x_i regressed on the rest without intercept.
+  VIF_i = 1 / (1 - R^2_i) = G_ii (G^-1)_ii of x_i regressed on the rest without
+  intercept.
 """
 
 from __future__ import annotations
@@ -20,6 +21,9 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
+from pyspark.ml.functions import array_to_vector
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -178,22 +182,34 @@ class Moments:
         return self.cross + self.n * np.outer(self.mean, self.mean)
 
 
+def gram(df: DataFrame, columns: Sequence) -> np.ndarray:
+    """Sums of all products of two columns (none may be null), as a matrix.
+
+    A distributed row matrix adds up each row's products in tasks, in one packed
+    array a task, and adds these up as a tree; the plan has one vector column
+    whatever the number of columns.
+    """
+    k = len(columns)
+    rows = df.select(array_to_vector(F.array(*columns)).alias("v"))
+    return RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "v"), 0, k).computeGramianMatrix().toArray()
+
+
 def moment_matrix(df: DataFrame, cols: Sequence[str], fill: float | None = 0.0) -> Moments:
-    """Two aggregate passes: means, then sums of centred products (numerically stable)."""
+    """Two passes: means, then sums of centred products (numerically stable).
+
+    Without ``fill``, a null stands for the column's mean.
+    """
     cols = list(cols)
     x = {c: (F.coalesce(F.col(c).cast("double"), F.lit(float(fill))) if fill is not None else F.col(c).cast("double")) for c in cols}
-    r1 = df.agg(F.count(F.lit(1)).alias("n"), *[F.avg(x[c]).alias(f"m{i}") for i, c in enumerate(cols)]).first()
-    n = int(r1["n"])
-    mean = np.array([r1[f"m{i}"] or 0.0 for i in range(len(cols))], dtype=float)
-    dev = {c: x[c] - F.lit(float(mean[i])) for i, c in enumerate(cols)}
-    k = len(cols)
-    r2 = df.agg(*[F.sum(dev[cols[i]] * dev[cols[j]]).alias(f"c{i}_{j}") for i in range(k) for j in range(i, k)]).first()
-    cross = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            v = r2[f"c{i}_{j}"] or 0.0
-            cross[i, j] = cross[j, i] = v
-    return Moments(cols, n, mean, cross)
+    r = df.agg(F.count(F.lit(1)).alias("n"), *[f(x[c]).alias(f"{name}{i}") for i, c in enumerate(cols) for name, f in (("m", F.avg), ("lo", F.min), ("hi", F.max))]).first()
+    n, k = int(r["n"]), len(cols)
+    mean = np.array([r[f"m{i}"] or 0.0 for i in range(k)], dtype=float)
+    # a constant column has deviations of exactly 0
+    fixed = [r[f"lo{i}"] == r[f"hi{i}"] for i in range(k)]
+    mean = np.array([r[f"lo{i}"] if fixed[i] and r[f"lo{i}"] is not None else mean[i] for i in range(k)], dtype=float)
+    if not n or not k:
+        return Moments(cols, n, mean, np.zeros((k, k)))
+    return Moments(cols, n, mean, gram(df, [F.coalesce(x[c] - F.lit(float(mean[i])), F.lit(0.0)) for i, c in enumerate(cols)]))
 
 
 # ---------------------------------------------------------------------- C12
@@ -216,53 +232,82 @@ def correlated_pairs(m: Moments, threshold: float = 0.8) -> tuple[list[tuple[str
 
 
 # ---------------------------------------------------------------------- C13
-def vif_scores(m: Moments, cols: Sequence[str]) -> dict[str, float]:
-    """VIF of each column against the others, no intercept (uncentred R^2).
+@dataclass
+class Factors:
+    """The inverse of the Gram matrix of the columns still there, from which all their VIFs follow at once.
 
-    Mirrors OLS conventions: if another regressor is a non-zero constant the
-    model has an implicit intercept and R^2 is centred.  Pseudo-inverse keeps
-    singular designs finite; a zero residual gives inf.
+    With G = X'X, the residual of column j on the others is 1 / (G^-1)_jj.  G is
+    scaled to a unit diagonal and inverted by its eigenvectors; ``null`` marks
+    columns in its null space, which others explain without any residual.
+    Taking a column out is a rank-one downdate of the inverse.
     """
-    idx = [m.cols.index(c) for c in cols]
-    G = m.gram[np.ix_(idx, idx)]
-    C = m.cross[np.ix_(idx, idx)]
-    var = np.diag(C)
-    mean = m.mean[idx]
-    out = {}
-    for a, c in enumerate(cols):
-        rest = [b for b in range(len(cols)) if b != a]
-        if not rest:
-            continue
-        Grr = G[np.ix_(rest, rest)]
-        g = G[rest, a]
-        beta = np.linalg.pinv(Grr) @ g
-        ssr = G[a, a] - 2 * beta @ g + beta @ Grr @ beta
-        has_const = any(var[b] <= 1e-12 * max(1.0, G[b, b]) and abs(mean[b]) > 0 for b in rest)
-        tss = C[a, a] if has_const else G[a, a]
-        if tss <= 0:
-            out[c] = float("nan")
-            continue
-        r2 = 1.0 - max(ssr, 0.0) / tss
-        out[c] = float("inf") if r2 >= 1.0 else 1.0 / (1.0 - r2)
-    return out
+
+    m: Moments
+    idx: list[int]
+    inverse: np.ndarray
+    null: np.ndarray
+
+    @classmethod
+    def of(cls, m: Moments, cols: Sequence[str]) -> Factors:
+        idx = [m.cols.index(c) for c in cols]
+        g = m.gram[np.ix_(idx, idx)]
+        size = np.sqrt(np.where(np.diag(g) > 0, np.diag(g), 1.0))
+        values, vectors = np.linalg.eigh(g / np.outer(size, size))
+        gone = values <= len(idx) * 1e-14 * max(1.0, values.max(initial=0))
+        kept = vectors[:, ~gone]
+        null = (vectors[:, gone] ** 2).sum(axis=1) > 1e-9 if gone.any() else np.zeros(len(idx), bool)
+        inverse = (kept / values[~gone]) @ kept.T / np.outer(size, size)
+        return cls(m, idx, inverse, null)
+
+    def scores(self) -> dict[str, float]:
+        """VIF of each column against the others, no intercept (uncentred R^2); nan for a column of zeros.
+
+        Mirrors OLS conventions: if another column is a non-zero constant the
+        model has an implicit intercept and R^2 is centred.
+        """
+        if len(self.idx) < 2:
+            return {}
+        cross, mean = np.diag(self.m.cross)[self.idx], self.m.mean[self.idx]
+        raw = cross + self.m.n * mean**2
+        constant = (cross <= 1e-12 * np.maximum(1.0, raw)) & (np.abs(mean) > 0)
+        others = constant.sum() - constant
+        total = np.where(others > 0, cross, raw)
+        out = {}
+        for j, i in enumerate(self.idx):
+            if total[j] <= 0:
+                out[self.m.cols[i]] = float("nan")
+            elif self.null[j]:
+                out[self.m.cols[i]] = float("inf")
+            else:
+                out[self.m.cols[i]] = max(1.0, float(total[j] * self.inverse[j, j]))
+        return out
+
+    def drop(self, col: str) -> None:
+        j = self.idx.index(self.m.cols.index(col))
+        rest = [a for a in range(len(self.idx)) if a != j]
+        b = self.inverse[rest, j]
+        self.inverse = self.inverse[np.ix_(rest, rest)] - np.outer(b, b) / self.inverse[j, j]
+        self.null = self.null[rest]
+        self.idx.pop(j)
+
+
+def vif_scores(m: Moments, cols: Sequence[str]) -> dict[str, float]:
+    """VIF of each column against the others (``Factors.scores``); inf where the others explain it wholly."""
+    return Factors.of(m, cols).scores()
 
 
 def drop_high_vif(m: Moments, cols: Sequence[str], threshold: float = 10.0, max_iter: int = 10) -> list[tuple[int, str, float]]:
     """Repeatedly drop the largest finite VIF above ``threshold`` (at most ``max_iter`` drops)."""
-    current = list(cols)
-    dropped = []
+    factors, dropped = Factors.of(m, cols), []
     for it in range(max_iter):
-        if len(current) < 2:
-            break
-        scores = {c: v for c, v in vif_scores(m, current).items() if np.isfinite(v)}
+        scores = {c: v for c, v in factors.scores().items() if np.isfinite(v)}
         if not scores:
             break
         worst = max(scores, key=lambda c: scores[c])
-        if scores[worst] > threshold:
-            dropped.append((it + 1, worst, scores[worst]))
-            current.remove(worst)
-        else:
+        if scores[worst] <= threshold:
             break
+        dropped.append((it + 1, worst, scores[worst]))
+        factors.drop(worst)
     return dropped
 
 

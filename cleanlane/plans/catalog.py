@@ -928,6 +928,36 @@ def q_vif(spark, sf):
     return spark.createDataFrame(rows, "feature string, vif_first_round double, dropped_at_iteration int")
 
 
+_VIF_COLS = ("l_quantity", "l_extendedprice", "l_discount", "l_tax", "quantity_discount")
+_VIF_K = len(_VIF_COLS)
+_VIF_SQL = "SELECT l_quantity, l_extendedprice, l_discount, l_tax, l_quantity * l_discount AS quantity_discount FROM lineitem"
+
+
+# the Gram matrix, scaled to a unit diagonal and inverted by sweeping each column in turn
+@query(
+    "vif_scores",
+    f"""
+WITH RECURSIVE t AS ({_VIF_SQL}),
+g AS (SELECT [{", ".join(f"sum({a} * {b}) / sqrt(sum({a} * {a}) * sum({b} * {b}))" for a in _VIF_COLS for b in _VIF_COLS)}] AS m FROM t),
+s AS (
+  SELECT 0 AS k, m FROM g
+  UNION ALL
+  SELECT k + 1, list_transform(range(0, {_VIF_K * _VIF_K}), lambda c: CASE
+    WHEN c // {_VIF_K} = k AND c % {_VIF_K} = k THEN 1 / m[k * {_VIF_K + 1} + 1]
+    WHEN c // {_VIF_K} = k THEN m[k * {_VIF_K} + c % {_VIF_K} + 1] / m[k * {_VIF_K + 1} + 1]
+    WHEN c % {_VIF_K} = k THEN -m[(c // {_VIF_K}) * {_VIF_K} + k + 1] / m[k * {_VIF_K + 1} + 1]
+    ELSE m[c + 1] - m[(c // {_VIF_K}) * {_VIF_K} + k + 1] * m[k * {_VIF_K} + c % {_VIF_K} + 1] / m[k * {_VIF_K + 1} + 1] END)
+  FROM s WHERE k < {_VIF_K})
+{" UNION ALL ".join(f"SELECT '{c}' AS feature, round(m[{i * (_VIF_K + 1) + 1}], 6) AS vif FROM s WHERE k = {_VIF_K}" for i, c in enumerate(_VIF_COLS))}
+""",
+)
+def q_vif_scores(spark, sf):
+    """All factors of lineitem's measures and one product of two."""
+    df = table(spark, sf, "lineitem").select(*_VIF_COLS[:-1], (F.col("l_quantity") * F.col("l_discount")).alias(_VIF_COLS[-1]))
+    scores = screen.vif_scores(screen.moment_matrix(df, list(_VIF_COLS)), list(_VIF_COLS))
+    return spark.createDataFrame(list(scores.items()), "feature string, vif double").select("feature", R("vif").alias("vif"))
+
+
 # =========================================================== step 6 evaluation
 _SCORED_SQL = """
 SELECT doc_id, toxic AS label,
