@@ -46,12 +46,14 @@ from .common import arrow_table, checkpointed, discard, ship, text_slices, trim
 ship(__name__)
 
 #: Bytes of text and distinct segments in a shard; bytes of segments encoded in one call; bytes of input for a block.
-SHARD_BYTES, SHARD_SEGMENTS, CALL, BLOCK = 12 << 20, 200_000, 1 << 18, 64 << 20
+SHARD_BYTES, SHARD_SEGMENTS, CALL, BLOCK = 6 << 20, 100_000, 1 << 17, 64 << 20
 #: Segments whose matrices are multiplied at once.
 SEGMENTS = 16_384
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _ODD = re.compile(r" \s|\s ")
 _ROWS = "shard string, block int, data binary"
+_SHARDS = _ROWS + ", state binary"
+_HELD = "_cleanlane_aligned"
 
 
 # ---- sparse matrices in CSR form: (row pointer, columns); all stored values are 1 ----
@@ -214,7 +216,7 @@ class Tokenizers:
 
 def tokenizers(path_a: str, path_b: str) -> Tokenizers:
     """The worker's tokenizers: one pair for all tasks that the worker runs."""
-    held = sys.modules.setdefault("_cleanlane_aligned", types.ModuleType("_cleanlane_aligned")).__dict__
+    held = sys.modules.setdefault(_HELD, types.ModuleType(_HELD)).__dict__
     if (path_a, path_b) not in held:
         held[path_a, path_b] = Tokenizers(path_a, path_b)
     return held[path_a, path_b]
@@ -294,10 +296,10 @@ class _Shard:
                 per_doc.append((*(int(x[c].sum()) for x in (n_a, n_b, n_groups, links, shared)), hashlib.sha256(b"".join([said[k] for k in c.tolist()])[:-1]).hexdigest()))
         own = uuid.uuid4().hex
         state = {"docs": self.docs, "per_doc": per_doc, "codes": codes, "bounds": bounds, "failing": failing, "links": links, "place": place.astype(np.int32), "pairs": permuted}
-        out = [(own, -1, pickle.dumps(state, protocol=5))]
+        out = [(own, -1, None, pickle.dumps(state, protocol=5))]
         blocks, ends = quotient.block_bounds(permuted, bits)
         for k, x, y in zip(blocks.tolist(), ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-            out.append((own, k, quotient.to_bytes(permuted[x:y], counts[x:y], bits)))
+            out.append((own, k, quotient.to_bytes(permuted[x:y], counts[x:y], bits), None))
         return out
 
 
@@ -329,7 +331,7 @@ def _spelled(both: Tokenizers, a: np.ndarray, b: np.ndarray, of_a: np.ndarray, o
 
 def _shards(path_a: str, path_b: str, bits: int):
     def run(batches):
-        trim()
+        trim(_HELD)
         both, shard = tokenizers(path_a, path_b), _Shard()
         for batch in batches:
             docs = batch.column(0).to_pylist()
@@ -338,11 +340,11 @@ def _shards(path_a: str, path_b: str, bits: int):
                 for i in range(len(bounds) - 1):
                     shard.add(docs[at + i], raw[bounds[i] : bounds[i + 1]])
                 if shard.full():
-                    yield from arrow_table(shard.rows(both, bits), _ROWS).to_batches()
+                    yield from arrow_table(shard.rows(both, bits), _SHARDS).to_batches()
                     shard = _Shard()
-                    trim()
+                    trim(_HELD)
         if shard.docs:
-            yield from arrow_table(shard.rows(both, bits), _ROWS).to_batches()
+            yield from arrow_table(shard.rows(both, bits), _SHARDS).to_batches()
 
     return run
 
@@ -402,14 +404,14 @@ def alignment_digests(docs: DataFrame, path_a: str, path_b: str, doc: str = "doc
     rows = docs.select(F.col(f"`{doc}`").cast("long").alias("doc"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     bits = quotient.block_bits(size, BLOCK)
-    shards = checkpointed(rows.mapInArrow(_shards(path_a, path_b, bits), _ROWS))
-    merged = checkpointed(shards.filter("block >= 0").groupBy("block").applyInArrow(_merge(bits), _ROWS))
+    shards = checkpointed(rows.mapInArrow(_shards(path_a, path_b, bits), _SHARDS))
+    merged = checkpointed(shards.filter("block >= 0").select("shard", "block", "data").groupBy("block").applyInArrow(_merge(bits), _ROWS))
     highest = merged.filter("shard IS NULL").select("data").mapInArrow(_best, "id long, best long").groupBy("id").agg(F.max("best").alias("best")).collect()
     top = np.zeros(1 + max([r["id"] for r in highest], default=0), np.uint64)  # a row for each entry of B's vocabulary at most
     for r in highest:
         top[r["id"]] = r["best"]
     shared = docs.sparkSession.sparkContext.broadcast(top)
-    both = shards.filter("block < 0").unionByName(merged.filter("shard IS NOT NULL"))
+    both = shards.filter("block < 0").select("shard", "block", F.col("state").alias("data")).unionByName(merged.filter("shard IS NOT NULL"))
     out = checkpointed(both.groupBy("shard").applyInArrow(_finish(shared), "doc long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string, n_shared long"))
     discard(shards, merged)
     return out.withColumnRenamed("doc", doc)

@@ -42,8 +42,9 @@ ship(__name__)
 WINDOW, MEAN, MOST = 32, 512, 1 << 16
 #: Bytes of chunk text in the broadcast dictionary, and in a worker's memo of chunks; entries in each of the two halves of
 #: its memo of words (the older half goes when the newer one is full).  What an entry of the dictionary costs besides its text.
-DICTIONARY, MEMO, WORDS, ENTRY = 8 << 20, 4 << 20, 150_000, 100
+DICTIONARY, MEMO, WORDS, ENTRY = 8 << 20, 2 << 20, 150_000, 100
 SPACE = b" \t\n\r\x0b\x0c"
+_HELD = "_cleanlane_encoders"
 
 
 def check_tokenizer(path: str) -> None:
@@ -212,7 +213,7 @@ class Encoder:
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a tokenizer file: one for all tasks that the worker runs."""
-    held = sys.modules.setdefault("_cleanlane_encoders", types.ModuleType("_cleanlane_encoders")).__dict__
+    held = sys.modules.setdefault(_HELD, types.ModuleType(_HELD)).__dict__
     if path not in held:
         held[path] = Encoder(path)
     return held[path]
@@ -301,7 +302,7 @@ def _coder(path: str, shared, text_at: int, kept: int):
     def run(batches):
         import pyarrow as pa
 
-        trim()
+        trim(_HELD)
         own, dictionary = encoder(path), shared.value
         for batch in batches:
             for at, data, offsets in text_slices(batch.column(text_at)):

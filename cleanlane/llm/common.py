@@ -95,13 +95,19 @@ def powers(base: int, n: int) -> np.ndarray:
     return got[:n]
 
 
-def trim() -> None:
-    """Give memory that earlier tasks of this worker have freed back to the system."""
+#: Modules under which workers keep tokenizers and memos from task to task begin so.
+HELD = "_cleanlane_"
+
+
+def trim(keep: str = "") -> None:
+    """Drop what other operators' tasks have left in this worker (all but module ``keep``), and give freed memory back to the system."""
     import ctypes
     import gc
 
     import pyarrow as pa
 
+    for name in [n for n in sys.modules if n.startswith(HELD) and n != keep]:
+        sys.modules.pop(name).__dict__.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     trimmer = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it

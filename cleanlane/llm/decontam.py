@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, fold_table, ship, shingle_hashes, text_slices, words
+from .common import checkpointed, fold_table, ship, shingle_hashes, text_slices, trim, words
 
 ship(__name__)
 
@@ -124,6 +124,7 @@ def _counter(shared):
     def run(batches):
         import pyarrow as pa
 
+        trim()
         distinct = shared.value
         sieves = {size: _sieve(h) for size, h in distinct.items()}
         totals = {size: np.zeros(len(h), np.int64) for size, h in distinct.items()}
@@ -180,6 +181,7 @@ def _marker(shared, threshold: float, text_at: int, kept: int):
     def run(batches):
         import pyarrow as pa
 
+        trim()
         texts, named_items, prefix = shared.value
         block = Block(texts, named_items)
         sieves = {size: _sieve(h) for size, (h, _, _) in prefix.items()}

@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, lower_ascii, ship, text_slices
+from .common import checkpointed, lower_ascii, ship, text_slices, trim
 from .urlfilter import host_of
 
 ship(__name__)
@@ -135,6 +135,7 @@ def _scorer(shared, text_at: int, kept: int):
     def run(batches):
         import pyarrow as pa
 
+        trim()
         weights = shared.value
         for batch in batches:
             scores, sizes = [], []
