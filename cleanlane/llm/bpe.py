@@ -45,6 +45,8 @@ WINDOW, MEAN, MOST = 32, 512, 1 << 16
 DICTIONARY, MEMO, WORDS, ENTRY = 8 << 20, 2 << 20, 150_000, 100
 SPACE = b" \t\n\r\x0b\x0c"
 _HELD = "_cleanlane_encoders"
+#: Bytes of the texts that are handled together: new words of all of them go to the tokenizer in one call.
+SLICE = 2 << 20
 
 
 def check_tokenizer(path: str) -> None:
@@ -234,7 +236,7 @@ def _counter():
         trim()
         for batch in batches:
             times: dict[bytes, int] = {}
-            for _, data, offsets in text_slices(batch.column(0)):
+            for _, data, offsets in text_slices(batch.column(0), SLICE):
                 for own in chunks_of(data, offsets):
                     for c in own:
                         times[c] = times.get(c, 0) + 1
@@ -253,7 +255,7 @@ def _finder(shared):
         asked = set(shared.value)
         for batch in batches:
             got = set()
-            for _, data, offsets in text_slices(batch.column(0)):
+            for _, data, offsets in text_slices(batch.column(0), SLICE):
                 for own in chunks_of(data, offsets):
                     for c in own:
                         if c not in got and (h := _hash(c)) in asked:
@@ -305,7 +307,7 @@ def _coder(path: str, shared, text_at: int, kept: int):
         trim(_HELD)
         own, dictionary = encoder(path), shared.value
         for batch in batches:
-            for at, data, offsets in text_slices(batch.column(text_at)):
+            for at, data, offsets in text_slices(batch.column(text_at), SLICE):
                 ids, said, chunks, reused = [], [], [], []
                 own.learn(set(data.tobytes().split()))  # one call of the tokenizer for the slice's new words
                 for parts in chunks_of(data, offsets):

@@ -23,7 +23,7 @@ from cleanlane.session import checkpoint_dir
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INV = pow(BASE, -1, 1 << 64)
 #: Texts of a record batch are handled in slices of about so many bytes.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def ship(name: str) -> None:
@@ -90,7 +90,7 @@ def powers(base: int, n: int) -> np.ndarray:
             m = min(done, n - done)
             got[done : done + m] = got[:m] * np.uint64(pow(base, done, 1 << 64))
             done += m
-        if n <= SLICE_BYTES + 1:
+        if n <= 2 * SLICE_BYTES + 1:
             _POWERS[base] = got
     return got[:n]
 
@@ -177,7 +177,7 @@ def prime_powers(base: int, prime: int, n: int) -> np.ndarray:
             m = min(done, n - done)
             got[done : done + m] = got[:m] * np.uint64(pow(base, done, prime)) % np.uint64(prime)
             done += m
-        if n <= SLICE_BYTES + 1:
+        if n <= 2 * SLICE_BYTES + 1:
             _POWERS[base, prime] = got
     return got[:n]
 
