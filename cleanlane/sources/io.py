@@ -86,3 +86,12 @@ def save_model_bundle(spark: SparkSession, out_dir: str, model=None, tables: Map
     if info is not None:
         spark.createDataFrame([(json.dumps(info, default=str),)], "info string").coalesce(1).write.mode("overwrite").json(f"{base}/info")
     return base
+
+
+def load_model_bundle(spark: SparkSession, out_dir: str) -> tuple:
+    """(fitted ``PipelineModel``, the info record); the tables are read with ``read_stage``."""
+    from pyspark.ml import PipelineModel
+
+    base = out_dir.rstrip("/")
+    info = json.loads(spark.read.json(f"{base}/info").first()["info"]) if _exists(spark, f"{base}/info") else {}
+    return PipelineModel.load(f"{base}/model"), info
