@@ -46,7 +46,7 @@ DICTIONARY, MEMO, WORDS, ENTRY = 8 << 20, 2 << 20, 150_000, 100
 SPACE = b" \t\n\r\x0b\x0c"
 _HELD = "_cleanlane_encoders"
 #: Bytes of the texts that are handled together: new words of all of them go to the tokenizer in one call.
-SLICE = 2 << 20
+SLICE = 1 << 20
 
 
 def check_tokenizer(path: str) -> None:
@@ -235,12 +235,16 @@ def _counter():
 
         trim()
         for batch in batches:
-            times: dict[bytes, int] = {}
+            times: dict[int, list[int]] = {}
             for _, data, offsets in text_slices(batch.column(0), SLICE):
                 for own in chunks_of(data, offsets):
                     for c in own:
-                        times[c] = times.get(c, 0) + 1
-            yield pa.RecordBatch.from_arrays([pa.array([_hash(c) for c in times], pa.int64()), pa.array([len(c) for c in times], pa.int64()), pa.array(list(times.values()), pa.int64())], names=["hash", "bytes", "times"])
+                        seen = times.get(h := _hash(c))
+                        if seen is None:
+                            times[h] = [len(c), 1]
+                        else:
+                            seen[1] += 1
+            yield pa.RecordBatch.from_arrays([pa.array(list(times), pa.int64()), pa.array([n for n, _ in times.values()], pa.int64()), pa.array([n for _, n in times.values()], pa.int64())], names=["hash", "bytes", "times"])
 
     return run
 
