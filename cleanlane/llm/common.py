@@ -57,6 +57,16 @@ def checkpointed(df: DataFrame, rows: int | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(*frames: DataFrame) -> None:
+    """Delete the tables of ``checkpointed`` that the frames read, once all that depends on them is written itself."""
+    for df in frames:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if folder.rsplit("/", 2)[-2] == "tables":
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors share."""
     return checkpoint_dir(spark)
