@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -156,6 +157,10 @@ def crosstab(df: DataFrame, a: str, b: str, wide: bool = False) -> DataFrame:
     return cells.groupBy(a).pivot(b).agg(F.first("count")).fillna(0).orderBy(a)
 
 
+#: Parts in which the cells of one column and class meet that class's total.
+CLASS_SALTS = 64
+
+
 def cramers_v(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
     """A10: (column, n, n_levels, chi2, cramers_v) of each column against ``target``.
 
@@ -177,13 +182,15 @@ def cramers_v(df: DataFrame, cols: Sequence[str], target: str) -> DataFrame:
         .groupBy("column", "level", "y")
         .agg(F.count(F.lit(1)).cast("double").alias("o"))
     )
-    # marginals as grouped tables: level totals stay distributed (one row per level);
-    # class totals and per-column summaries are bounded by columns x classes
+    # marginals as grouped tables: level totals stay distributed (one row per level); class totals
+    # are a row per column and class, which very many levels share: they are joined in salted parts
+    cells = cells.withColumn("salt", F.pmod(F.xxhash64("level"), F.lit(CLASS_SALTS)).cast("int"))
     r_tab = cells.groupBy("column", "level").agg(F.sum("o").alias("r"))
     c_tab = cells.groupBy("column", "y").agg(F.sum("o").alias("c"))
     n_tab = c_tab.groupBy("column").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("n_classes"), F.sum(1.0 / F.col("c")).alias("inv_c"))
     lev_tab = r_tab.groupBy("column").agg(F.count(F.lit(1)).alias("n_levels"), F.sum(1.0 / F.col("r")).alias("inv_r"))
-    joined = cells.join(r_tab, ["column", "level"]).join(c_tab, ["column", "y"]).join(F.broadcast(n_tab.select("column", "n")), "column")
+    salted = c_tab.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(CLASS_SALTS - 1))))
+    joined = cells.join(r_tab, ["column", "level"]).join(salted, ["column", "y", "salt"]).join(F.broadcast(n_tab.select("column", "n")), "column")
     part = joined.groupBy("column").agg(
         F.sum(F.col("o") * F.col("o") / (F.col("r") * F.col("c"))).alias("s"),
         F.max(F.abs(F.col("o") - F.col("r") * F.col("c") / F.col("n"))).alias("d"),
@@ -220,25 +227,43 @@ def corr_with_target(df: DataFrame, cols: Sequence[str] | None, target: str) ->
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None, fill_null: float | None = None) -> DataFrame:
-    """Long (col_a, col_b, correlation) for every pair a<b (lower triangle), one aggregate."""
+    """Long (col_a, col_b, correlation) for every pair a<b (lower triangle), over the rows that have both.
+
+    Two passes at any number of columns: means, then one distributed Gram
+    matrix.  Where values are missing its columns are the deviations d from the
+    mean, d squared and a flag of presence, whose products hold the count, sums
+    and products of every pair's common rows.  Null and NaN are missing; r is
+    null where a side does not vary over the common rows.
+    """
     cols = list(cols or numeric_columns(df))
-    src = df
-    if fill_null is not None:
-        src = df.select(*[F.coalesce(F.col(c).cast("double"), F.lit(float(fill_null))).alias(c) for c in cols])
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i + 1, len(cols))]
-    if not pairs:
-        return df.sparkSession.createDataFrame([], "col_a string, col_b string, correlation double")
-    row = src.agg(*[safe_corr(F.col(cols[i]), F.col(cols[j])).alias(f"r_{i}_{j}") for i, j in pairs])
-    return row.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(cols[i]).alias("col_a"), F.lit(cols[j]).alias("col_b"), F.col(f"r_{i}_{j}").alias("correlation"))
-                    for i, j in pairs
-                ]
-            )
-        )
-    )
+    schema = "col_a string, col_b string, correlation double"
+    k = len(cols)
+    if k < 2:
+        return df.sparkSession.createDataFrame([], schema)
+    src = nan_to_null(df.select(*[F.col(c).cast("double").alias(f"x{i}") for i, c in enumerate(cols)]))
+    x = [F.col(f"x{i}") if fill_null is None else F.coalesce(f"x{i}", F.lit(float(fill_null))) for i in range(k)]
+    r = src.agg(F.count(F.lit(1)).alias("n"), *[f(v).alias(f"{name}{i}") for i, v in enumerate(x) for name, f in (("n", F.count), ("m", F.avg), ("lo", F.min), ("hi", F.max))]).first()
+    if not r["n"]:
+        return df.sparkSession.createDataFrame([(cols[i], cols[j], None) for i in range(k) for j in range(i + 1, k)], schema)
+    fixed = np.array([r[f"lo{i}"] == r[f"hi{i}"] for i in range(k)])
+    mean = [r[f"lo{i}"] if fixed[i] else r[f"m{i}"] for i in range(k)]
+    dev = [F.coalesce(v - F.lit(float(m or 0.0)), F.lit(0.0)) for v, m in zip(x, mean)]
+    if all(r[f"n{i}"] == r["n"] for i in range(k)):
+        g = stats.gram(src, dev)
+        cov, var_a = g, np.repeat(np.diag(g)[:, None], k, axis=1)
+        least = np.zeros_like(cov)
+    else:
+        g = stats.gram(src, [*dev, *[d * d for d in dev], *[v.isNotNull().cast("double") for v in x]])
+        n, total, squares = g[2 * k :, 2 * k :], g[:k, 2 * k :], g[k : 2 * k, 2 * k :]  # of column i over the rows that have j
+        with np.errstate(divide="ignore", invalid="ignore"):
+            cov = g[:k, :k] - total * total.T / n
+            var_a = squares - total * total / n
+        least = 1e-13 * squares  # what rounding leaves of a side that does not vary
+    varies = (var_a > least) & (var_a.T > least.T) & ~fixed[:, None] & ~fixed[None, :]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        corr = cov / np.sqrt(var_a * var_a.T)
+    rows = [(cols[i], cols[j], float(corr[i, j]) if varies[i, j] else None) for i in range(k) for j in range(i + 1, k)]
+    return df.sparkSession.createDataFrame(rows, schema)
 
 
 # ------------------------------------------------------------------ A13 / C3

@@ -21,9 +21,6 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.ml.functions import array_to_vector
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -182,18 +179,6 @@ class Moments:
         return self.cross + self.n * np.outer(self.mean, self.mean)
 
 
-def gram(df: DataFrame, columns: Sequence) -> np.ndarray:
-    """Sums of all products of two columns (none may be null), as a matrix.
-
-    A distributed row matrix adds up each row's products in tasks, in one packed
-    array a task, and adds these up as a tree; the plan has one vector column
-    whatever the number of columns.
-    """
-    k = len(columns)
-    rows = df.select(array_to_vector(F.array(*columns)).alias("v"))
-    return RowMatrix(MLUtils.convertVectorColumnsFromML(rows, "v"), 0, k).computeGramianMatrix().toArray()
-
-
 def moment_matrix(df: DataFrame, cols: Sequence[str], fill: float | None = 0.0) -> Moments:
     """Two passes: means, then sums of centred products (numerically stable).
 
@@ -209,7 +194,7 @@ def moment_matrix(df: DataFrame, cols: Sequence[str], fill: float | None = 0.0)
     mean = np.array([r[f"lo{i}"] if fixed[i] and r[f"lo{i}"] is not None else mean[i] for i in range(k)], dtype=float)
     if not n or not k:
         return Moments(cols, n, mean, np.zeros((k, k)))
-    return Moments(cols, n, mean, gram(df, [F.coalesce(x[c] - F.lit(float(mean[i])), F.lit(0.0)) for i, c in enumerate(cols)]))
+    return Moments(cols, n, mean, stats.gram(df, [F.coalesce(x[c] - F.lit(float(mean[i])), F.lit(0.0)) for i, c in enumerate(cols)]))
 
 
 # ---------------------------------------------------------------------- C12
