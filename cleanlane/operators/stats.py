@@ -4,18 +4,20 @@ Spark's exact ``percentile`` aggregate buffers a value->count map per group and
 merges it in a single task, which does not hold for continuous columns with
 billions of distinct values.  ``quantiles`` reaches the same exact,
 linearly-interpolated answer (pandas / NumPy ``linear`` / DuckDB
-``quantile_cont``) in two bounded passes:
+``quantile_cont``) in bounded passes:
 
 1. a mergeable Greenwald-Khanna sketch (``approx_percentile``, map-side partial
-   aggregation) per group brackets every wanted rank within +-2n/accuracy rows
-   (groups of at most 4*accuracy rows use their [min, max] instead);
-2. one grouped count of the values inside the bracket, plus a single "below"
+   aggregation) per group brackets every wanted rank within +-2n/accuracy rows,
+   or wider where that would be less than the four rows that rounding needs;
+2. without groups, a second scan narrows the brackets of all columns by sketches
+   of what lies inside (``_quantiles_wide``);
+3. one grouped count of the values inside the bracket, plus a single "below"
    counter per target, pins the exact order statistics.  The counting is
    pre-aggregated before the shuffle, so a hot group costs no more than a
    cold one; the per-target window only sees the bracket's distinct values.
 
-A missed bracket (which the sketch's error bound rules out) raises instead of
-returning a wrong value.
+A bracket that missed its rank (which the sketch's error bound rules out) is moved
+and counted again; in a grouped call it raises instead of returning a wrong value.
 
 ``running_totals`` gives cumulative sums in a global order without a
 single-partition window: rows are range-bucketed by sketch cut points, bucket
@@ -27,6 +29,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterable, Mapping, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark import StorageLevel
@@ -41,6 +44,70 @@ from pyspark.sql import types as T
 DEFAULT_ACCURACY = 10_000
 
 
+# Points of the sketch inside a bracket: each further scan narrows a bracket about GRID times.
+GRID = 128
+# Rows strictly between the ends of a bracket that are counted by value without narrowing it again.
+MAX_CANDIDATES = 1_000_000
+
+
+def _margins(accuracy: int) -> list[float]:
+    """Half widths of brackets, as shares of the rows, from twice the sketch's error up to everything."""
+    out = [2.0 / accuracy]
+    while out[-1] < 1:
+        out.append(out[-1] * 10)
+    return out
+
+
+def _constant(numbers: Sequence[float]) -> Column:
+    """The numbers as one small constant expression: plans of many columns repeat it for each of them."""
+    return F.split(F.lit(",".join(map(repr, numbers))), ",").cast("array<double>")
+
+
+def _bracket_probs(probs: Sequence[float], accuracy: int) -> list[float]:
+    """For each position and each margin, the positions of the bracket's two ends."""
+    return [min(1.0, max(0.0, p + s * m)) for p in probs for m in _margins(accuracy) for s in (-1, 1)]
+
+
+def _margin_ends(n: int, j: int, accuracy: int) -> tuple[int, int]:
+    """Places, in the answer to ``_bracket_probs``, of the ends of position ``j`` among ``n`` rows.
+
+    The least margin that covers the sketch's error and four rows: the sketch
+    ranks by ceil(p * n), interpolation by (n - 1) * p, and sizes round.
+    """
+    ms = _margins(accuracy)
+    level = next((i for i, m in enumerate(ms) if m >= 1.0 / accuracy + 4.0 / n), len(ms) - 1)
+    return 2 * (j * len(ms) + level), 2 * (j * len(ms) + level) + 1
+
+
+@dataclass
+class _Target:
+    """One wanted quantile: ranks ``k`` and ``k2`` (0-based) of a column's ``n`` values, and its bracket."""
+
+    column: str
+    prob: float
+    n: int
+    k: int
+    k2: int
+    frac: float
+    lo: float
+    hi: float
+    state: str = "wide"
+    outer: tuple[float, float] = (-math.inf, math.inf)
+    v1: float = math.nan
+    v2: float = math.nan
+
+    def missed(self, below: int, upto_hi: int) -> bool:
+        """Move the bracket to the side its ranks lie on, if it does not hold them."""
+        if below <= self.k and self.k2 < upto_hi:
+            return False
+        self.lo, self.hi = self.lo if self.k >= below else self.outer[0], self.hi if self.k2 < upto_hi else self.outer[1]
+        self.outer, self.state = (-math.inf, math.inf), "wide"
+        return True
+
+    def solve(self, v1: float, v2: float) -> None:
+        self.v1, self.v2, self.state = v1, v2, "solved"
+
+
 def gram(df: DataFrame, columns: Sequence) -> np.ndarray:
     """Sums of all products of two columns (none may be null), as a matrix.
 
@@ -68,24 +135,19 @@ def long_values(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> D
 def _brackets(values: DataFrame, keys: list[str], probs: Sequence[float], accuracy: int) -> DataFrame:
     """(keys..., n, lo array, hi array): value brackets around rank ~p*n for each position p.
 
-    The sketch ranks by ceil(p*n) while interpolation uses (n-1)*p; the gap is
-    below one row, which the margin covers only once n > 4*accuracy.  Smaller
-    groups take [min, max] as bracket: at most 4*accuracy candidate rows.
+    The margin is the least that covers the sketch's error and four rows of the group
+    (see ``_margin_ends``; the same law at every size).
     """
-    margin = 2.0 / accuracy
-    bracket_probs: list[float] = []
-    for p in probs:
-        bracket_probs += [max(0.0, p - margin), min(1.0, p + margin)]
     sketch = values.groupBy(*keys).agg(
         F.count("value").alias("n"),
-        F.min("value").alias("vmin"),
-        F.max("value").alias("vmax"),
-        F.approx_percentile("value", bracket_probs, accuracy).alias("br"),
+        F.approx_percentile("value", _constant(_bracket_probs(probs, accuracy)), accuracy).alias("br"),
     )
-    small = F.col("n") <= F.lit(4 * accuracy)
-    lo = F.array(*[F.when(small, F.col("vmin")).otherwise(F.col("br")[2 * i]) for i in range(len(probs))])
-    hi = F.array(*[F.when(small, F.col("vmax")).otherwise(F.col("br")[2 * i + 1]) for i in range(len(probs))])
-    return sketch.select(*keys, "n", lo.alias("lo"), hi.alias("hi"))
+    ms = _margins(accuracy)
+    level = F.lit(len(ms) - 1)
+    for i in range(len(ms) - 2, -1, -1):
+        level = F.when(F.lit(ms[i]) >= F.lit(1.0 / accuracy) + F.lit(4.0) / F.col("n"), i).otherwise(level)
+    ends = [[F.get("br", 2 * (F.lit(j * len(ms)) + F.col("level")) + side) for j in range(len(probs))] for side in (0, 1)]
+    return sketch.withColumn("level", level).select(*keys, "n", F.array(*ends[0]).alias("lo"), F.array(*ends[1]).alias("hi"))
 
 
 def _resolve(values: DataFrame, targets: DataFrame, keys: list[str], n_pos: int, broadcast_targets: bool) -> DataFrame:
@@ -159,16 +221,18 @@ def quantiles(
     probs: Iterable[float],
     by: Sequence[str] = (),
     accuracy: int = DEFAULT_ACCURACY,
+    max_candidates: int = MAX_CANDIDATES,
 ) -> DataFrame:
     """Exact linear-interpolated quantiles, long format.
 
     Returns ``(by..., column, prob, n, quantile)``; groups/columns without a
-    non-null value produce no row.
+    non-null value produce no row.  Without ``by``, three scans answer any number
+    of columns (see ``_quantiles_wide``, also for ``max_candidates``).
     """
     by = list(by)
     probs = sorted({float(p) for p in probs})
     if not by:
-        return _quantiles_wide(df, list(cols), probs, accuracy)
+        return _quantiles_wide(df, list(cols), probs, accuracy, max_candidates)
     keys = by + ["column"]
     values = long_values(df, cols, by)
     pos = [(F.col("n") - 1) * F.lit(p) for p in probs]
@@ -191,94 +255,128 @@ def quantiles(
     return res.select(*keys, prob.alias("prob"), "n", _checked(q, F.col("bad")).alias("quantile"))
 
 
-def _quantiles_wide(df: DataFrame, cols: list[str], probs: list[float], accuracy: int) -> DataFrame:
-    """Ungrouped fast path: the same two passes without reshaping every cell to long format.
+def _quantiles_wide(df: DataFrame, cols: list[str], probs: list[float], accuracy: int, max_candidates: int) -> DataFrame:
+    """Ungrouped path: selection by repeated bracketing, every scan serving all columns.
 
-    Pass 1 is one wide aggregate (count, min, max and a sketch per column).
-    Pass 2 is one wide aggregate of "below the bracket" counts plus a grouped
-    count of the cells that fall inside a bracket (only those are reshaped);
-    the exact order statistics are resolved per (column, position) with a
-    window over the in-bracket values.  Returns a small local frame.
+    Scan 1 brackets each wanted rank by a sketch of its column.  Scan 2 counts the
+    rows below, on and between the ends of each bracket and sketches what lies
+    strictly between, which narrows the bracket again.  Scan 3 counts the distinct
+    values of the narrowed brackets.  Scan 2 is repeated only for brackets that
+    could hold more than ``max_candidates`` rows between their ends (at the defaults
+    from some 10**10 rows on) or that missed their rank.  Copies of a value don't
+    count: a hot value ends up as an end of its bracket.  Returns a small local frame.
     """
     spark = df.sparkSession
     schema = "column string, prob double, n long, quantile double"
-    if not cols:
-        return spark.createDataFrame([], schema)
-    margin = 2.0 / accuracy
-    bp: list[float] = []
-    for p in probs:
-        bp += [max(0.0, p - margin), min(1.0, p + margin)]
     val = {c: F.col(c).cast("double") for c in cols}
-    ok = {c: val[c].isNotNull() & ~F.isnan(val[c]) for c in cols}
-    clean_v = {c: F.when(ok[c], val[c]) for c in cols}
-    r = df.agg(
-        *[
-            x
-            for i, c in enumerate(cols)
-            for x in (
-                F.count(clean_v[c]).alias(f"n{i}"),
-                F.min(clean_v[c]).alias(f"mn{i}"),
-                F.max(clean_v[c]).alias(f"mx{i}"),
-                F.approx_percentile(clean_v[c], bp, accuracy).alias(f"br{i}"),
-            )
-        ]
-    ).first()
-    tg = {}
+    clean = {c: F.when(~F.isnan(val[c]), val[c]) for c in cols}
+    asked = _constant(_bracket_probs(probs, accuracy))
+    firsts = [
+        x
+        for i, c in enumerate(cols)
+        for x in (F.count(clean[c]).alias(f"n{i}"), F.approx_percentile(clean[c], asked, accuracy).alias(f"br{i}"))
+    ]
+    r = df.agg(*firsts).first() if cols else {}
+    targets = []
     for i, c in enumerate(cols):
         n = r[f"n{i}"]
-        if not n:
+        for j, p in enumerate(probs if n else []):
+            lo, hi = _margin_ends(n, j, accuracy)
+            k = int(math.floor((n - 1) * p))
+            targets.append(_Target(c, p, n, k, min(k + 1, n - 1), (n - 1) * p - k, r[f"br{i}"][lo], r[f"br{i}"][hi]))
+    todo = targets
+    while todo:
+        wide = todo
+        while wide:
+            _measure(df, clean, wide, accuracy, max_candidates)
+            wide = [t for t in wide if t.state == "wide"]
+        todo = [t for t in todo if t.state == "ready"]
+        _select(df, clean, todo)
+        todo = [t for t in todo if t.state == "wide"]
+    return spark.createDataFrame([(t.column, t.prob, t.n, t.v1 + t.frac * (t.v2 - t.v1)) for t in targets], schema)
+
+
+def _measure(df: DataFrame, clean: Mapping[str, Column], targets: list[_Target], accuracy: int, max_candidates: int) -> None:
+    """One scan: where each target's bracket lies; solves, narrows or moves it."""
+    grid = _constant([i / GRID for i in range(1, GRID)])
+    aggs = []
+    for i, t in enumerate(targets):
+        v = clean[t.column]
+        between = (v > F.lit(t.lo)) & (v < F.lit(t.hi))
+        aggs += [
+            F.count_if(v < F.lit(t.lo)).alias(f"b{i}"),
+            F.count_if(v == F.lit(t.lo)).alias(f"l{i}"),
+            F.count_if(between).alias(f"i{i}"),
+            F.count_if(v == F.lit(t.hi)).alias(f"h{i}"),
+            F.approx_percentile(F.when(between, v), grid, accuracy).alias(f"g{i}"),
+        ]
+    r = df.agg(*aggs).first()
+    for i, t in enumerate(targets):
+        upto_lo = r[f"b{i}"] + r[f"l{i}"]
+        below_hi = upto_lo + r[f"i{i}"]
+        upto_hi = below_hi + (r[f"h{i}"] if t.hi > t.lo else 0)
+        if t.missed(r[f"b{i}"], upto_hi):
+            continue
+        if t.k2 < upto_lo or t.k >= below_hi or upto_lo == below_hi:
+            t.solve(t.lo if t.k < upto_lo else t.hi, t.lo if t.k2 < upto_lo else t.hi)
             continue
-        small = n <= 4 * accuracy
-        for j, p in enumerate(probs):
-            lo = r[f"mn{i}"] if small else r[f"br{i}"][2 * j]
-            hi = r[f"mx{i}"] if small else r[f"br{i}"][2 * j + 1]
-            x = (n - 1) * p
-            k = int(math.floor(x))
-            tg[(c, j)] = dict(n=n, lo=lo, hi=hi, k=k, k2=min(k + 1, n - 1), frac=x - k)
-    if not tg:
-        return spark.createDataFrame([], schema)
-    below_row = df.agg(*[F.count_if(ok[c] & (val[c] < F.lit(t["lo"]))).alias(f"b_{cols.index(c)}_{j}") for (c, j), t in tg.items()]).first()
-    # in-bracket cells: one filtered single-column scan per column (range filters reach the parquet reader)
-    scans = []
-    for c in cols:
-        mine = [(j, t) for (cc, j), t in tg.items() if cc == c]
-        if not mine:
+        inside = below_hi - upto_lo
+        t.state = "ready"
+        if inside <= max_candidates:
             continue
-        cond = None
-        for _, t in mine:
-            x = (val[c] >= F.lit(t["lo"])) & (val[c] <= F.lit(t["hi"]))
-            cond = x if cond is None else cond | x
-        scans.append(df.where(ok[c] & cond).select(F.lit(c).alias("column"), val[c].alias("cv")))
-    hits = scans[0]
-    for sdf in scans[1:]:
-        hits = hits.unionByName(sdf)
-    counts = hits.groupBy("column", "cv").agg(F.count(F.lit(1)).alias("cnt"))
-    meta = spark.createDataFrame(
-        [(c, j, float(t["lo"]), float(t["hi"]), int(below_row[f"b_{cols.index(c)}_{j}"]), t["k"], t["k2"]) for (c, j), t in tg.items()],
-        "column string, pos int, lo double, hi double, below long, k long, k2 long",
+        # ends whose places inside are certain: a grid point is off by one rank and the sketch's error
+        slack = inside / accuracy + 2
+        first, last = t.k - upto_lo, t.k2 - upto_lo
+        a = math.floor((first - slack) / inside * GRID)
+        b = math.ceil((last + slack) / inside * GRID)
+        t.outer = (t.lo, t.hi)
+        t.lo, t.hi = (r[f"g{i}"][a - 1] if a >= 1 else t.lo), (r[f"g{i}"][b - 1] if b < GRID else t.hi)
+        if (t.lo, t.hi) != t.outer and (b - a) / GRID * inside + 2 * slack > max_candidates:
+            t.state = "wide"
+
+
+def _select(df: DataFrame, clean: Mapping[str, Column], targets: list[_Target]) -> None:
+    """One scan: the exact order statistics from the distinct values of the brackets.
+
+    Rows are grouped by what they put into brackets (nothing, for nearly all of
+    them), so rows below brackets are counted, and copies merged, before the shuffle.
+    """
+    if not targets:
+        return
+    hits = F.array(
+        *[
+            F.when(clean[t.column].between(t.lo, t.hi), F.struct(F.lit(i).alias("pos"), clean[t.column].alias("cv")))
+            for i, t in enumerate(targets)
+        ]
     )
-    # one row per (column, position): bounded by the call
-    w = Window.partitionBy("column", "pos").orderBy("cv").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    res = (
-        counts.join(F.broadcast(meta), "column")
-        .where((F.col("cv") >= F.col("lo")) & (F.col("cv") <= F.col("hi")))
-        .withColumn("cum", F.col("below") + F.sum("cnt").over(w))
-        .groupBy("column", "pos", "below", "k", "k2")
+    grouped = df.groupBy(F.filter(hits, lambda x: x.isNotNull()).alias("hits")).agg(
+        F.count(F.lit(1)).alias("cnt"),
+        F.array(*[F.count_if(clean[t.column] < F.lit(t.lo)) for t in targets]).alias("below"),
+    )
+    cells = F.concat(
+        F.transform("hits", lambda x: F.struct(x["pos"].alias("pos"), x["cv"].alias("cv"), F.col("cnt").alias("cnt"))),
+        F.transform("below", lambda b, i: F.struct(i.alias("pos"), F.lit(None).cast("double").alias("cv"), b.alias("cnt"))),
+    )
+    counts = grouped.select(F.inline(cells)).groupBy("pos", "cv").agg(F.sum("cnt").alias("cnt"))
+    # the row without a value (rows below the bracket) sorts first; a bracket holds a bounded number of values
+    w = Window.partitionBy("pos").orderBy(F.col("cv").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranks = df.sparkSession.createDataFrame([(i, t.k, t.k2) for i, t in enumerate(targets)], "pos int, k long, k2 long")
+    found = (
+        counts.withColumn("cum", F.sum("cnt").over(w))
+        .join(F.broadcast(ranks), "pos")
+        .groupBy("pos")
         .agg(
-            F.max("cum").alias("upto_hi"),
+            F.sum(F.when(F.col("cv").isNull(), F.col("cnt"))).alias("below"),
+            F.sum("cnt").alias("upto_hi"),
             F.min(F.when(F.col("cum") > F.col("k"), F.col("cv"))).alias("v1"),
             F.min(F.when(F.col("cum") > F.col("k2"), F.col("cv"))).alias("v2"),
         )
         .collect()
     )
-    got = {(x["column"], x["pos"]): x for x in res}
-    rows = []
-    for (c, j), t in tg.items():
-        x = got.get((c, j))
-        if x is None or x["below"] > t["k"] or x["upto_hi"] <= t["k2"]:
-            raise RuntimeError(f"order-statistic sketch bracket missed for {c} at {probs[j]}")
-        rows.append((c, probs[j], t["n"], x["v1"] + t["frac"] * (x["v2"] - x["v1"])))
-    return spark.createDataFrame(rows, schema)
+    for x in found:
+        t = targets[x["pos"]]
+        if not t.missed(x["below"], x["upto_hi"]):
+            t.solve(x["v1"], x["v2"])
 
 
 def kth_smallest(df: DataFrame, col: str, by: str, ranks: Mapping, prob: float | Sequence[float], accuracy: int = DEFAULT_ACCURACY) -> DataFrame:
