@@ -103,6 +103,44 @@ LEFT JOIN li ON o_orderkey = l_orderkey
 """
 
 
+def guest_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The bookings view with an index column, a duplicate column, guests, arrival parts and a status.
+
+    Some guests are missing or negative, some arrival parts lie outside their ranges.
+    """
+    k, day = F.col("booking_id"), F.col("reservation_status_date")
+    return bookings_view(spark, sf_dir).select(
+        "*",
+        (k - 1).alias("Unnamed: 0"),
+        (k % 6).alias("stays_in_week_nights"),
+        (k % 6).alias("stays_in_weeks_nights"),
+        F.when(k % 53 == 0, F.lit(None)).when(k % 101 == 0, -1).otherwise(k % 4).alias("adults"),
+        (k % 3).alias("children"),
+        F.when(k % 89 == 0, -1).when(k % 7 == 0, 1).otherwise(0).alias("babies"),
+        (F.year(day) + 24 + F.when(k % 71 == 0, 20).otherwise(0)).cast("long").alias("arrival_date_year"),
+        F.date_format(day, "MMMM").alias("arrival_date_month"),
+        (k % 60).alias("arrival_date_week_number"),
+        (F.dayofmonth(day) + F.when(k % 61 == 0, 31).otherwise(0)).cast("long").alias("arrival_date_day_of_month"),
+        F.when(F.col(TARGET) == 1, "Canceled").when(k % 9 == 0, "No-Show").otherwise("Check-Out").alias("reservation_status"),
+    )
+
+
+# The same columns over a relation ``bv`` with the bookings view, as DuckDB SQL.
+GUEST_BOOKINGS_SQL = """
+SELECT *, booking_id - 1 AS "Unnamed: 0",
+       booking_id % 6 AS stays_in_week_nights, booking_id % 6 AS stays_in_weeks_nights,
+       CASE WHEN booking_id % 53 = 0 THEN NULL WHEN booking_id % 101 = 0 THEN -1 ELSE booking_id % 4 END AS adults,
+       booking_id % 3 AS children,
+       CASE WHEN booking_id % 89 = 0 THEN -1 WHEN booking_id % 7 = 0 THEN 1 ELSE 0 END AS babies,
+       CAST(year(reservation_status_date) + 24 + CASE WHEN booking_id % 71 = 0 THEN 20 ELSE 0 END AS BIGINT) AS arrival_date_year,
+       monthname(reservation_status_date) AS arrival_date_month,
+       booking_id % 60 AS arrival_date_week_number,
+       CAST(day(reservation_status_date) + CASE WHEN booking_id % 61 = 0 THEN 31 ELSE 0 END AS BIGINT) AS arrival_date_day_of_month,
+       CASE WHEN is_canceled = 1 THEN 'Canceled' WHEN booking_id % 9 = 0 THEN 'No-Show' ELSE 'Check-Out' END AS reservation_status
+FROM bv
+"""
+
+
 def planted_bookings(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The bookings view with a learnable target: lead_time > 90, flipped on every tenth booking.
 

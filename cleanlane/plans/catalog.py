@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, evaluate, features, profile, screen, stats
 from ..sources.io import table
-from .bookings import BOOKINGS_VIEW_SQL, bookings_view
+from .bookings import BOOKINGS_VIEW_SQL, GUEST_BOOKINGS_SQL, bookings_view, guest_bookings
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -428,6 +428,76 @@ def q_conditional_repair(spark, sf):
     return b.select("booking_id", "deposit_type", "is_repeated_guest")
 
 
+def gview(body: str) -> str:
+    """Oracle SQL with the bookings view as CTE ``bv`` and its wide form as ``g``."""
+    return f"WITH bv AS ({BOOKINGS_VIEW_SQL}), g AS ({GUEST_BOOKINGS_SQL})\n{body}"
+
+
+@query(
+    "repair_guests_and_dates",
+    gview(
+        """
+SELECT * EXCLUDE ("Unnamed: 0", stays_in_weeks_nights)
+       REPLACE (CASE WHEN lead_time < 0 THEN 0 ELSE lead_time END AS lead_time,
+                CASE WHEN coalesce(is_repeated_guest IN (0, 1), false) THEN is_repeated_guest ELSE 0 END AS is_repeated_guest,
+                CASE WHEN agent < 0 THEN NULL ELSE agent END AS agent,
+                round(adr, 6) AS adr)
+FROM g
+WHERE adults + children + babies > 0 AND adults >= 0 AND children >= 0 AND babies >= 0
+  AND arrival_date_year BETWEEN 2015 AND 2025 AND arrival_date_day_of_month BETWEEN 1 AND 31
+  AND arrival_date_week_number BETWEEN 1 AND 53 AND adr <= 2000
+"""
+    ),
+)
+def q_repair_guests_and_dates(spark, sf):
+    """C4 with F2, F3, F4, F7 and F9: the wide bookings lose their duplicate and index columns and impossible rows."""
+    return clean.repair_errors(guest_bookings(spark, sf)).withColumn("adr", R("adr"))
+
+
+@query(
+    "context_repairs",
+    gview(
+        """
+, a AS (SELECT count(*) FILTER (WHERE lead_time = 0 AND deposit_type IS DISTINCT FROM 'No Deposit') AS na,
+               count(*) FILTER (WHERE previous_cancellations > 0 AND is_repeated_guest = 0) AS nb,
+               count(*) AS n FROM g),
+q AS (SELECT market_segment AS seg, quantile_cont(adr, 0.99) AS cap FROM g
+      WHERE market_segment IN ('Online TA', 'Groups') GROUP BY market_segment)
+SELECT booking_id, round(CASE WHEN cap IS NOT NULL AND adr > cap THEN cap ELSE adr END, 9) AS adr,
+       CASE WHEN na > 0 AND na < 0.1 * n AND lead_time = 0 AND deposit_type IS DISTINCT FROM 'No Deposit'
+            THEN 'No Deposit' ELSE deposit_type END AS deposit_type,
+       CASE WHEN nb > 0 AND nb < 0.1 * n AND previous_cancellations > 0 AND is_repeated_guest = 0
+            THEN 1 ELSE is_repeated_guest END AS is_repeated_guest
+FROM g CROSS JOIN a LEFT JOIN q ON market_segment = seg
+"""
+    ).replace(")\n\n, a AS", "), a AS", 1),
+)
+def q_context_repairs(spark, sf):
+    """Caps by segment, then the two conditional rules."""
+    return clean.context_repairs(guest_bookings(spark, sf)).select("booking_id", R("adr", 9).alias("adr"), "deposit_type", "is_repeated_guest")
+
+
+@query(
+    "stage_shapes",
+    gview(
+        """
+SELECT 'raw' AS stage, count(*) AS rows, 24 AS columns FROM g
+UNION ALL
+SELECT 'repaired', count(*), 22 FROM g
+WHERE adults + children + babies > 0 AND adults >= 0 AND children >= 0 AND babies >= 0
+  AND arrival_date_year BETWEEN 2015 AND 2025 AND arrival_date_day_of_month BETWEEN 1 AND 31
+  AND arrival_date_week_number BETWEEN 1 AND 53 AND adr <= 2000
+"""
+    ),
+)
+def q_stage_shapes(spark, sf):
+    """Shapes of the wide bookings before and after the repairs."""
+    from ..operators import report
+
+    raw = guest_bookings(spark, sf)
+    return report.stage_shapes([("raw", raw), ("repaired", clean.repair_errors(raw))])
+
+
 @query(
     "cap_q99_if",
     """
@@ -879,6 +949,32 @@ def q_screen_by_target_corr(spark, sf):
     return d.select("column", "type", R("correlation").alias("correlation"), R("abs_correlation").alias("abs_correlation"), "best_category", "reason", "drop")
 
 
+@query(
+    "status_leak",
+    gview(
+        """
+, long AS (SELECT 'reservation_status' AS col, reservation_status AS level, CAST(is_canceled AS DOUBLE) AS y FROM g
+           UNION ALL SELECT 'arrival_date_month', arrival_date_month, is_canceled FROM g),
+tot AS (SELECT CAST(count(*) AS DOUBLE) AS nn, sum(CAST(is_canceled AS DOUBLE)) AS t1 FROM g),
+lv AS (SELECT col, level, CAST(count(*) AS DOUBLE) AS n, sum(y) AS s FROM long GROUP BY col, level),
+lr AS (SELECT col, level, (nn * s - n * t1) / sqrt(n * (nn - n) * (nn * t1 - t1 * t1)) AS r FROM lv CROSS JOIN tot WHERE n < nn),
+best AS (SELECT *, row_number() OVER (PARTITION BY col ORDER BY abs(r) DESC, level) AS rk FROM lr)
+SELECT col AS "column", 'categorical' AS type, round(r, 6) AS correlation, round(abs(r), 6) AS abs_correlation,
+       col || '_' || level AS best_category,
+       CASE WHEN abs(r) >= 0.5 THEN 'leakage' WHEN abs(r) < 0.2 THEN 'not_relevant' ELSE 'useful' END AS reason,
+       abs(r) >= 0.5 OR abs(r) < 0.2 AS "drop"
+FROM best WHERE rk = 1
+"""
+    ).replace(")\n\n, long AS", "), long AS", 1),
+)
+def q_status_leak(spark, sf):
+    """C11: a status column that tells the target is found and dropped (beside a column without relevance)."""
+    b = guest_bookings(spark, sf).select("is_canceled", "reservation_status", "arrival_date_month")
+    kept, rows = screen.screen_by_target_corr(b, "is_canceled")
+    d = screen.decisions_frame(spark, [r for r in rows if r["drop"] == (r["column"] not in kept.columns)])
+    return d.select("column", "type", R("correlation").alias("correlation"), R("abs_correlation").alias("abs_correlation"), "best_category", "reason", "drop")
+
+
 _PAIR_COLS = ("l_quantity", "l_extendedprice", "price_copy", "l_discount", "l_tax", "disc_copy")
 _PAIR_SQL = """
 SELECT l_quantity, l_extendedprice, l_extendedprice * 1.05 + l_tax * 1000 AS price_copy, l_discount, l_tax,
@@ -1387,9 +1483,35 @@ def q_missing_report(spark, sf):
     return report.long_form(report.missing_report(_nully_orders(spark, sf)))
 
 
-@query("outlier_report")
+_OUTLIER_INT = ("is_canceled", "lead_time", "total_of_special_requests", "is_repeated_guest", "previous_cancellations", "agent")
+
+
+def _outlier_report_oracle() -> str:
+    cells = "\nUNION ALL ".join(f"SELECT '{c}' AS col, CAST({c} AS DOUBLE) AS v, {c != 'adr'} AS whole FROM bv" for c in (*_OUTLIER_INT, "adr"))
+    return bview(
+        f"""
+, cells AS ({cells}),
+q AS (SELECT col, quantile_cont(v, 0.25) AS q1, quantile_cont(v, 0.75) AS q3 FROM cells GROUP BY col),
+f AS (SELECT col, q3 - q1 AS iqr, q1 - 1.5 * (q3 - q1) AS lo, q3 + 1.5 * (q3 - q1) AS hi FROM q),
+w AS (SELECT col, v, lo, hi,
+             CASE WHEN v IS NULL OR iqr <= 0 THEN v
+                  WHEN whole THEN round_even(least(greatest(v, lo), hi), 0) ELSE least(greatest(v, lo), hi) END AS x
+      FROM cells JOIN f USING (col)),
+q2 AS (SELECT col, quantile_cont(x, 0.25) AS q1, quantile_cont(x, 0.75) AS q3 FROM w GROUP BY col),
+c AS (SELECT col, count(*) FILTER (WHERE v < lo OR v > hi) AS outliers_before,
+             count(*) FILTER (WHERE x < q1 - 1.5 * (q3 - q1) OR x > q3 + 1.5 * (q3 - q1)) AS outliers_after,
+             count(v) AS non_null_before, count(x) AS non_null_after
+      FROM w JOIN q2 USING (col) GROUP BY col)
+SELECT col AS "column", outliers_before, outliers_after, non_null_before, non_null_after FROM c
+WHERE outliers_before <> outliers_after OR non_null_before <> non_null_after
+ORDER BY outliers_before - outliers_after DESC, col LIMIT 6
+"""
+    ).replace(")\n\n, cells AS", "), cells AS", 1)
+
+
+@query("outlier_report", _outlier_report_oracle())
 def q_outlier_report(spark, sf):
-    """P5 (rows-only): outlier counts before/after winsorising the bookings view."""
+    """Outlier counts before/after winsorising the bookings view."""
     from ..operators import report
 
     b = bookings_view(spark, sf).drop("booking_id")
@@ -1511,10 +1633,27 @@ def q_feature_step_report(spark, sf):
     return report.long_form(report.feature_step_report(b, t, "is_canceled"))
 
 
-@query("scaling_report")
+_SCALED_SQL = "SELECT " + ", ".join(
+    f"CASE WHEN max({c}) OVER () - min({c}) OVER () > 10 OR max({c}) OVER () > 100 "
+    f"THEN ({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER () ELSE {c} END AS {c}"
+    for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+) + " FROM lineitem"
+
+
+@query(
+    "scaling_report",
+    f"WITH s AS ({_SCALED_SQL})\n"
+    + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", "
+        + ", ".join(f"round({f}({c}), 9) + 0.0 AS {n}_before, (SELECT round({f}({c}), 9) + 0.0 FROM s) AS {n}_after" for n, f in (("mean", "avg"), ("std", "stddev_samp")))
+        + " FROM lineitem"
+        for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")
+    ),
+)
 def q_scaling_report(spark, sf):
-    """P11 (rows-only): mean and std of lineitem columns before/after standard scaling."""
+    """Mean and std of lineitem columns before/after standard scaling."""
     from ..operators import report
 
     li = table(spark, sf, "lineitem").select("l_quantity", "l_extendedprice", "l_discount", "l_tax")
-    return report.scaling_report(li, features.scale(li, "standard", exclude=()), None)
+    r = report.scaling_report(li, features.scale(li, "standard", exclude=()), None)
+    return r.select("column", *[(R(c, 9) + F.lit(0.0)).alias(c) for c in r.columns if c != "column"])
