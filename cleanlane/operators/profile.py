@@ -400,12 +400,14 @@ def boxplot_stats(df: DataFrame, cols: Sequence[str] | None = None, whis: float
         "hi_f", F.col("q3") + whis * (F.col("q3") - F.col("q1"))
     )
     vals = stats.long_values(df, cols, by)
-    # one row per (group, column); bounded by the call when ungrouped
-    jq = F.broadcast(qw) if not by else qw
-    inner = vals.join(jq, by + ["column"]).groupBy(*by, "column").agg(
+    if by:
+        met = stats.met_in_parts(vals, qw, by + ["column"])
+    else:  # one row per column, bounded by the call
+        met = vals.withColumn("copies", F.lit(1)).join(F.broadcast(qw), "column")
+    inner = met.groupBy(*by, "column").agg(
         F.min(F.when(F.col("value") >= F.col("lo_f"), F.col("value"))).alias("whisker_low"),
         F.max(F.when(F.col("value") <= F.col("hi_f"), F.col("value"))).alias("whisker_high"),
-        F.count_if((F.col("value") < F.col("lo_f")) | (F.col("value") > F.col("hi_f"))).alias("n_fliers"),
+        F.sum(F.when((F.col("value") < F.col("lo_f")) | (F.col("value") > F.col("hi_f")), F.col("copies")).otherwise(0)).cast("long").alias("n_fliers"),
     )
     return qw.join(inner, by + ["column"]).select(*by, "column", "q1", "median", "q3", "whisker_low", "whisker_high", "n_fliers")
 

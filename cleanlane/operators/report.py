@@ -7,6 +7,7 @@ feature categories) are schema metadata and stay on the driver.
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from collections.abc import Mapping, Sequence
 from functools import reduce
@@ -55,6 +56,60 @@ def long_form(parts: Mapping[str, DataFrame | None]) -> DataFrame:
     return reduce(DataFrame.unionByName, [melted(n, p) for n, p in parts.items() if p is not None])
 
 
+# ---------------------------------------------------------------- S6 / S9
+def run_parts(reports: Mapping[str, Mapping[str, DataFrame | None] | DataFrame]) -> DataFrame:
+    """The reports of one run as one table (report, part, item, measure, value).
+
+    A report is a mapping of parts or one table, which becomes the part ``table``.
+    """
+    long = [long_form(r if isinstance(r, Mapping) else {"table": r}).select(F.lit(name).alias("report"), "*") for name, r in reports.items()]
+    return reduce(DataFrame.unionByName, long)
+
+
+def write_run(reports: Mapping, out_dir: str, run: str) -> str:
+    """Write all reports of ``run`` to ``out_dir``; readers see all of them or none.
+
+    The rows go to one table partitioned by run, attempt and report, each attempt
+    into folders of its own.  Only when all are there, one file is added to the
+    manifest that names the attempt and its rows per report, so an attempt that
+    failed, or is under way, is never read.  Writing a run again replaces it for
+    readers.  Returns the attempt.
+    """
+    attempt = uuid.uuid4().hex
+    rows = run_parts(reports)
+    spark = _spark(rows)
+    tagged = rows.select(F.lit(run).alias("run"), F.lit(attempt).alias("attempt"), "*")
+    tagged.write.mode("append").partitionBy("run", "attempt", "report").parquet(f"{out_dir}/parts")
+    counts = {r["report"]: r["count"] for r in _attempt(spark, out_dir, attempt).groupBy("report").count().collect()}
+    entry = spark.createDataFrame([(run, attempt, name, counts.get(name, 0)) for name in reports], "run string, attempt string, report string, rows long")
+    entry.withColumn("written_at", F.current_timestamp()).coalesce(1).write.mode("append").parquet(f"{out_dir}/manifest")
+    return attempt
+
+
+_RUN_SCHEMA = "part string, item string, measure string, value string, run string, attempt string, report string"
+
+
+def _attempt(spark: SparkSession, out_dir: str, attempt: str) -> DataFrame:
+    return spark.read.schema(_RUN_SCHEMA).parquet(f"{out_dir}/parts").where(F.col("attempt") == attempt)
+
+
+def read_run(spark: SparkSession, out_dir: str, run: str) -> DataFrame:
+    """The rows (report, part, item, measure, value) of the last complete attempt of ``run``.
+
+    An error if no attempt is complete or rows of it are missing.
+    """
+    entries = spark.read.parquet(f"{out_dir}/manifest").where(F.col("run") == run)
+    last = entries.orderBy(F.col("written_at").desc(), "attempt").select("attempt").first()
+    if last is None:
+        raise FileNotFoundError(f"no complete run {run} in {out_dir}")
+    rows = _attempt(spark, out_dir, last["attempt"])
+    wanted = entries.where(F.col("attempt") == last["attempt"]).agg(F.sum("rows")).first()[0]
+    found = rows.count()
+    if found != wanted:
+        raise RuntimeError(f"run {run} has {found} of {wanted} rows")
+    return rows.select("report", "part", "item", "measure", "value")
+
+
 # ---------------------------------------------------------------- P1 / P2
 def dataset_profile(df: DataFrame, head: int = 5) -> dict[str, DataFrame]:
     """Shape, dtypes, nulls per column (zeros included), describe, first rows."""

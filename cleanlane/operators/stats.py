@@ -150,6 +150,23 @@ def _brackets(values: DataFrame, keys: list[str], probs: Sequence[float], accura
     return sketch.withColumn("level", level).select(*keys, "n", F.array(*ends[0]).alias("lo"), F.array(*ends[1]).alias("hi"))
 
 
+#: Parts in which the values of one group meet that group's row.
+GROUP_SALTS = 64
+
+
+def met_in_parts(values: DataFrame, per_group: DataFrame, keys: list[str]) -> DataFrame:
+    """Each distinct ``value`` of a group, with its number of ``copies``, beside the group's row.
+
+    Copies are merged first (map-side, then spread by value) and the values of a
+    group meet its row in ``GROUP_SALTS`` parts, so neither a hot value nor a hot
+    group is one task's.
+    """
+    counted = values.groupBy(*keys, "value").agg(F.count(F.lit(1)).alias("copies"))
+    counted = counted.withColumn("salt", F.pmod(F.xxhash64("value"), F.lit(GROUP_SALTS)).cast("int"))
+    rows = per_group.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(GROUP_SALTS - 1))))
+    return counted.join(rows, [*keys, "salt"]).drop("salt")
+
+
 def _resolve(values: DataFrame, targets: DataFrame, keys: list[str], n_pos: int, broadcast_targets: bool) -> DataFrame:
     """Exact order statistics inside the brackets.
 
@@ -161,16 +178,19 @@ def _resolve(values: DataFrame, targets: DataFrame, keys: list[str], n_pos: int,
     values; everything after it handles candidates only.
     Returns (keys..., pos, v1, v2, bad): the values at ranks k and k2.
     """
-    t = F.broadcast(targets) if broadcast_targets else targets
+    ends = targets.select(*keys, "lo", "hi")
+    if broadcast_targets:
+        met = values.withColumn("copies", F.lit(1)).join(F.broadcast(ends), keys)
+    else:
+        met = met_in_parts(values, ends, keys)
     v = F.col("value")
     inside = [(v >= F.col("lo")[i]) & (v <= F.col("hi")[i]) for i in range(n_pos)]
     any_inside = inside[0]
     for c in inside[1:]:
         any_inside = any_inside | c
     agg = (
-        values.join(t.select(*keys, "lo", "hi"), keys)
-        .groupBy(*keys, F.when(any_inside, v).alias("cv"))
-        .agg(F.count(F.lit(1)).alias("cnt"), *[F.sum((v < F.col("lo")[i]).cast("long")).alias(f"b{i}") for i in range(n_pos)])
+        met.groupBy(*keys, F.when(any_inside, v).alias("cv"))
+        .agg(F.sum("copies").alias("cnt"), *[F.sum(F.when(v < F.col("lo")[i], F.col("copies")).otherwise(0)).alias(f"b{i}") for i in range(n_pos)])
     )
     below = agg.groupBy(*keys).agg(F.array(*[F.sum(f"b{i}") for i in range(n_pos)]).alias("below"))
     cands = agg.where(F.col("cv").isNotNull()).select(*keys, "cv", "cnt")
