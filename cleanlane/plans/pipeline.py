@@ -16,7 +16,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from ..functions.columns import string_columns
-from ..operators import clean, features, screen
+from ..operators import clean, features, report, screen
 from ..sources.io import read_stage, write_stage
 
 # The reference's stage names and thresholds.
@@ -147,12 +147,34 @@ def engineer_all(df: DataFrame, target: str | None = "is_canceled", scaling: str
     return Engineered(out, info)
 
 
-def fit_transform(df: DataFrame, target: str = "is_canceled", out_dir: str | None = None, scaling: str = "standard") -> tuple[DataFrame, StageLog, dict]:
-    """C15 then E11 with scaling.  Errors propagate (the reference swallowed them)."""
+def run_reports(raw: DataFrame, cleaned: DataFrame, engineered: DataFrame, log: StageLog, target: str) -> dict:
+    """The report tables of one run, as ``report.write_run`` takes them."""
+    reports = {
+        "shapes": log.frame(raw.sparkSession),
+        "profile": report.dataset_profile(raw),
+        "missing": report.missing_report(raw),
+        "outliers": report.outlier_report(raw, cleaned),
+        "impact": report.cleaning_impact(raw, cleaned),
+        "summary": report.pipeline_summary(raw, engineered, target),
+    }
+    if target in raw.columns:
+        reports["association"] = report.target_association(raw, target)
+        reports["ranking"] = report.feature_ranking(engineered, target)
+    return reports
+
+
+def fit_transform(df: DataFrame, target: str = "is_canceled", out_dir: str | None = None, scaling: str = "standard", run: str | None = None) -> tuple[DataFrame, StageLog, dict]:
+    """C15 then E11 with scaling.  Errors propagate (the reference swallowed them).
+
+    With ``out_dir``, stages are written there; with ``run`` as well, the run's
+    reports go to ``out_dir/reports`` (read them with ``report.read_run``).
+    """
     cleaned, log = clean_all(df, target, out_dir)
     eng = engineer_all(cleaned, target, scaling)
     out = eng.frame
     if out_dir:
         write_stage(out, out_dir, "engineered")
         out = read_stage(out.sparkSession, out_dir, "engineered")
+    if out_dir and run:
+        report.write_run(run_reports(df, cleaned, out, log, target), f"{out_dir.rstrip('/')}/reports", run)
     return out, log, eng.info
