@@ -124,3 +124,13 @@ def test_nothing_stays_cached(spark, planted):
     knn_out.unpersist()
     model.fit_pipeline(planted, ["big", "small"], model.logistic, scale=True, resample=True)
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
+
+
+def test_fit_frames_have_partitions_by_cores_not_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(model, "FIT_TASK_ROWS", 10)
+    cores = spark.sparkContext.defaultParallelism
+    many = model.fit_frame(spark.range(2000).repartition(200))
+    few = model.fit_frame(spark.range(25).repartition(8))
+    assert many.rdd.getNumPartitions() == min(200, 4 * cores) and many.count() == 2000 and few.rdd.getNumPartitions() == 3
+    many.unpersist()
+    few.unpersist()
