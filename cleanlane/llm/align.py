@@ -46,9 +46,9 @@ from .common import arrow_table, checkpointed, discard, ship, text_slices, trim
 ship(__name__)
 
 #: Bytes of text and distinct segments in a shard; bytes of segments encoded in one call; bytes of input for a block.
-SHARD_BYTES, SHARD_SEGMENTS, CALL, BLOCK = 6 << 20, 100_000, 1 << 17, 64 << 20
+SHARD_BYTES, SHARD_SEGMENTS, CALL, BLOCK = 4 << 20, 60_000, 1 << 17, 64 << 20
 #: Segments whose matrices are multiplied at once.
-SEGMENTS = 16_384
+SEGMENTS = 8_192
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 _ODD = re.compile(r" \s|\s ")
 _ROWS = "shard string, block int, data binary"
@@ -353,6 +353,7 @@ def _merge(bits: int):
     """Answers of one block to all shards, and its highest count of each id of B (as one row without a shard)."""
 
     def run(table):
+        trim()
         rows = table.to_pylist()
         block = rows[0]["block"]
         own = [quotient.from_bytes(r["data"], block, bits) for r in rows]
@@ -380,6 +381,7 @@ def _finish(shared):
     """The rows of a shard's documents from its state and the answers to it."""
 
     def run(table):
+        trim()
         rows = sorted(table.to_pylist(), key=lambda r: r["block"])
         state = pickle.loads(rows[0]["data"])
         counts = np.concatenate([np.zeros(0, "<u8"), *[np.frombuffer(r["data"], "<u8") for r in rows[1:]]])
@@ -404,14 +406,14 @@ def alignment_digests(docs: DataFrame, path_a: str, path_b: str, doc: str = "doc
     rows = docs.select(F.col(f"`{doc}`").cast("long").alias("doc"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     bits = quotient.block_bits(size, BLOCK)
-    shards = checkpointed(rows.mapInArrow(_shards(path_a, path_b, bits), _SHARDS))
-    merged = checkpointed(shards.filter("block >= 0").select("shard", "block", "data").groupBy("block").applyInArrow(_merge(bits), _ROWS))
+    shards = checkpointed(rows.mapInArrow(_shards(path_a, path_b, bits), _SHARDS), small=True)
+    merged = checkpointed(shards.filter("block >= 0").select("shard", "block", "data").groupBy("block").applyInArrow(_merge(bits), _ROWS), small=True)
     highest = merged.filter("shard IS NULL").select("data").mapInArrow(_best, "id long, best long").groupBy("id").agg(F.max("best").alias("best")).collect()
     top = np.zeros(1 + max([r["id"] for r in highest], default=0), np.uint64)  # a row for each entry of B's vocabulary at most
     for r in highest:
         top[r["id"]] = r["best"]
     shared = docs.sparkSession.sparkContext.broadcast(top)
     both = shards.filter("block < 0").select("shard", "block", F.col("state").alias("data")).unionByName(merged.filter("shard IS NOT NULL"))
-    out = checkpointed(both.groupBy("shard").applyInArrow(_finish(shared), "doc long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string, n_shared long"))
+    out = checkpointed(both.groupBy("shard").applyInArrow(_finish(shared), "doc long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string, n_shared long"), small=True)
     discard(shards, merged)
     return out.withColumnRenamed("doc", doc)

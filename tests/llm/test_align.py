@@ -108,3 +108,21 @@ def test_given_table(spark, sf_dir):
 def test_pieces_across_spaces_are_refused():
     with pytest.raises(ValueError):
         align.check_pieces([b" a", b"a b"])
+
+
+def test_tasks_get_record_batches_of_bounded_size(spark):
+    import pyarrow as pa
+
+    from cleanlane.llm.common import checkpointed
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    docs = spark.range(0, 3000, numPartitions=1).selectExpr("repeat('word ', 1000) AS text")
+    got = [r["n"] for r in checkpointed(docs.mapInArrow(sizes, "n long"), small=True).collect()]
+    assert sum(got) >= 15_000_000 and max(got) < 4_000_000
+    assert spark.conf.get(key) == before
