@@ -34,12 +34,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import quotient
-from .common import arrow_table, checkpointed, discard, ship, text_slices
+from .common import arrow_table, checkpointed, discard, ship, text_slices, trim
 
 ship(__name__)
 
 #: Words of a shard and entries of its dictionary, about; bytes of a text handled at once; bytes of input for a block.
-SHARD_WORDS, SHARD_ENTRIES, WINDOW, BLOCK = 2_000_000, 400_000, 1 << 20, 64 << 20
+SHARD_WORDS, SHARD_ENTRIES, WINDOW, BLOCK = 1_000_000, 200_000, 1 << 20, 64 << 20
 #: Ends a piece; stands for all separators (no byte of UTF-8).
 BREAK = b"\xff"
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\t.,;:!?\n\x0b\x0c\r", b"abcdefghijklmnopqrstuvwxyz " + 10 * BREAK)
@@ -105,6 +105,7 @@ class _Shard:
 
 def _shards(bits: int):
     def run(batches):
+        trim()
         held: dict[str, _Shard] = {}
         for batch in batches:
             langs = batch.column(0).to_pylist()
@@ -136,6 +137,7 @@ def _merge_words(least: int, bits: int):
     """Answers and frequent words of one block."""
 
     def run(table):
+        trim()
         rows = table.to_pylist()
         lang, block = rows[0]["lang"], rows[0]["block"]
         total: dict[bytes, int] = {}
@@ -158,6 +160,7 @@ def _merge_filters(least: int, bits: int):
     """Answers and frequent pairs of one block."""
 
     def run(table):
+        trim()
         rows = table.to_pylist()
         lang, block = rows[0]["lang"], rows[0]["block"]
         own = [quotient.from_bytes(r["data"], block, bits) for r in rows]
@@ -184,6 +187,7 @@ def _grow(bits: int):
     """A shard's next level from its codes and the answers to it."""
 
     def run(table):
+        trim()
         rows = sorted(table.to_pylist(), key=lambda r: r["block"])
         lang, own = rows[0]["lang"], rows[0]["shard"]
         codes = np.frombuffer(rows[0]["data"], "<i4")
@@ -215,17 +219,17 @@ def frequent_phrases(docs: DataFrame, least: int = 100, longest: int = 5, lang:
     rows = docs.select(F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
     bits = quotient.block_bits(size, BLOCK)
-    shards = checkpointed(rows.mapInArrow(_shards(bits), _SHARDS))
+    shards = checkpointed(rows.mapInArrow(_shards(bits), _SHARDS), small=True)
     totals = checkpointed(shards.filter("block < 0").groupBy("lang").agg(F.sum("words").alias("n")))
     levels = []
     for k in range(1, longest + 1):
         merge = _merge_words(least, bits) if k == 1 else _merge_filters(least, bits)
-        merged = checkpointed(shards.filter("block >= 0").select("lang", "shard", "block", "data", "counts").groupBy("lang", "block").applyInArrow(merge, _MERGED))
+        merged = checkpointed(shards.filter("block >= 0").select("lang", "shard", "block", "data", "counts").groupBy("lang", "block").applyInArrow(merge, _MERGED), small=True)
         phrases = merged.filter("shard IS NULL")
         levels.append(checkpointed(phrases.select("lang", "id", "word", "f") if k == 1 else phrases.select("lang", "id", "head", "tail", "f")))
         if k < longest:
             both = shards.filter("block < 0").select("lang", "shard", "block", "data").unionByName(merged.filter("shard IS NOT NULL").select("lang", "shard", "block", "data"))
-            longer = checkpointed(both.groupBy("shard").applyInArrow(_grow(bits), _SHARDS))
+            longer = checkpointed(both.groupBy("shard").applyInArrow(_grow(bits), _SHARDS), small=True)
         discard(shards, merged)
         if k < longest:
             shards = longer
