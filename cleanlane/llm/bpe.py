@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import sys
 import types
+from array import array
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -42,7 +43,7 @@ ship(__name__)
 WINDOW, MEAN, MOST = 32, 512, 1 << 16
 #: Bytes of chunk text in the broadcast dictionary, and in a worker's memo of chunks; entries in each of the two halves of
 #: its memo of words (the older half goes when the newer one is full).  What an entry of the dictionary costs besides its text.
-DICTIONARY, MEMO, WORDS, ENTRY = 8 << 20, 2 << 20, 150_000, 100
+DICTIONARY, MEMO, WORDS, ENTRY = 8 << 20, 2 << 20, 250_000, 100
 SPACE = b" \t\n\r\x0b\x0c"
 _HELD = "_cleanlane_encoders"
 #: Bytes of the texts that are handled together: new words of all of them go to the tokenizer in one call.
@@ -97,6 +98,14 @@ def chunks_of(data: np.ndarray, offsets: np.ndarray):
         yield [raw[bounds[j] : bounds[j + 1]] for j in range(at[i], at[i + 1])]
 
 
+def ids_bytes(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned 32-bit numbers."""
+    own = array("I", ids)
+    if own.itemsize != 4 or sys.byteorder != "little":
+        return np.array(ids, "<u4").tobytes()
+    return own.tobytes()
+
+
 class Encoder:
     """Encodes texts chunk by chunk, with memos of bounded size that outlive a task."""
 
@@ -111,7 +120,9 @@ class Encoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.spelled = {i: t.encode() + b" " for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
-        #: Ids that end a word.
+        #: Bytes of each id's decoded token; ids that end a word.
+        self.sizes = np.zeros(max(self.spelled) + 1, np.int64)
+        self.sizes[list(self.spelled)] = [len(t) for t in self.spelled.values()]
         self.ends = np.zeros(max(self.spelled) + 1, bool)
         self.ends[[i for i, t in self.spelled.items() if t.endswith(b"</w> ")]] = True
         #: Of words and chunks: (ids as little-endian unsigned 32-bit numbers, decoded tokens with a space behind each).
@@ -122,8 +133,9 @@ class Encoder:
         self.encoded = self.reused = 0
 
     def _one_by_one(self, words: list[str]) -> list[tuple[bytes, bytes]]:
-        made = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [(np.array(e.ids, "<u4").tobytes(), b"".join([self.spelled[i] for i in e.ids])) for e in made]
+        said = self.spelled.__getitem__
+        made = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        return [(ids_bytes(ids), b"".join(map(said, ids))) for ids in made]
 
     def _together(self, words: list[str]) -> list[tuple[bytes, bytes]]:
         """Encodings of words of letters only, from one text: each ends at the next id that ends a word."""
@@ -132,22 +144,18 @@ class Encoder:
         cuts = np.flatnonzero(self.ends[own]) + 1
         if len(cuts) != len(words) or cuts[-1] != len(own):  # lower case or composition has made something else of a letter
             return self._one_by_one(words)
-        said = [self.spelled[i] for i in ids]
-        at = np.concatenate([np.zeros(1, np.int64), np.cumsum([len(x) for x in said])])[np.concatenate([np.zeros(1, np.int64), cuts])].tolist()
-        raw, text, cuts = own.tobytes(), b"".join(said), [0, *(4 * cuts).tolist()]
+        at = [0, *np.cumsum(self.sizes[own])[cuts - 1].tolist()]
+        raw, text, cuts = own.tobytes(), b"".join(map(self.spelled.__getitem__, ids)), [0, *(4 * cuts).tolist()]
         return [(raw[cuts[i] : cuts[i + 1]], text[at[i] : at[i + 1]]) for i in range(len(words))]
 
     def learn(self, words: set[bytes]) -> None:
         """Put the encodings of words (between white space) into the memo, whose older half goes if the newer one is full."""
         if len(self.words) > WORDS and len(words) > WORDS // 50 or len(self.words) > 2 * WORDS:  # not for single words, while a slice's words are in use
             self.words, self.older = {}, self.words
-        letters, others = [], []
-        for w in words:
-            if w in self.words:
-                continue
-            got = self.older.get(w)
-            if got is not None:
-                self.words[w] = got
+        older, letters, others = self.older, [], []
+        for w in words.difference(self.words):
+            if w in older:
+                self.words[w] = older[w]
             else:
                 (letters if (t := w.decode("utf-8", "replace")).isalpha() else others).append((w, t))
         for group, encode in ((letters, self._together), (others, self._one_by_one)):
@@ -157,11 +165,12 @@ class Encoder:
     def spans(self, words: list[bytes]) -> tuple[bytes, bytes]:
         """Encoding of words with white space between."""
         try:
-            got = [self.words[w] for w in words]
+            got = list(map(self.words.__getitem__, words))
         except KeyError:
             self.learn(set(words))
-            got = [self.words[w] for w in words]
-        return b"".join([g[0] for g in got]), b"".join([g[1] for g in got])
+            got = list(map(self.words.__getitem__, words))
+        ids, said = zip(*got, strict=True) if got else ((), ())
+        return b"".join(ids), b"".join(said)
 
     def chunk(self, chunk: bytes) -> tuple:
         """(text before the first white space, encoding of what is between, text behind the last one); a chunk without: (itself, None, b'')."""
