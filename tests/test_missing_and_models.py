@@ -137,7 +137,7 @@ def test_fit_frames_have_partitions_by_cores_not_by_rows(spark, monkeypatch):
 
 
 def test_rows_of_one_partition_are_spread_for_a_fit(spark, monkeypatch):
-    monkeypatch.setattr(model, "FIT_TASK_ROWS", 100)
-    one = model.fit_frame(spark.range(300).coalesce(1))
+    monkeypatch.setattr(model, "SPREAD_TASK_ROWS", 100)
+    one = model.fit_frame(spark.range(300).coalesce(1), spread=True)
     assert one.rdd.getNumPartitions() == min(3, 4 * spark.sparkContext.defaultParallelism) and sorted(r["id"] for r in one.collect()) == list(range(300))
     one.unpersist()
