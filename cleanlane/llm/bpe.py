@@ -35,7 +35,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BASE, BASE_INV, checkpointed, powers, ship, text_slices, trim
+from .common import BASE, BASE_INV, checkpointed, powers, ship, small_batches, text_slices, trim
 
 ship(__name__)
 
@@ -297,7 +297,7 @@ def shared_chunks(docs: DataFrame, path: str, text: str = "text", limit: int = D
     """The dictionary: the recurring chunks that save most, at most ``limit`` bytes of them, each encoded once."""
     texts = docs.select(text)
     counts = texts.mapInArrow(_counter(), "hash long, bytes long, times long").groupBy("hash").agg(F.max("bytes").alias("bytes"), F.sum("times").alias("times"))
-    recurring = checkpointed(counts.filter("times > 1").withColumn("saved", F.col("bytes") * (F.col("times") - 1)))
+    recurring = checkpointed(counts.filter("times > 1").withColumn("saved", F.col("bytes") * (F.col("times") - 1)), small=True)
     # the least saving that still fits, from sums over powers of two
     steps = recurring.groupBy(F.floor(F.log2("saved")).cast("int").alias("step")).agg(F.sum(F.col("bytes") + ENTRY).alias("bytes")).orderBy(F.desc("step")).collect()
     room, least = limit, None
@@ -310,7 +310,9 @@ def shared_chunks(docs: DataFrame, path: str, text: str = "text", limit: int = D
     asked = [r[0] for r in recurring.filter(F.floor(F.log2("saved")) >= least).select("hash").collect()]
     shared = docs.sparkSession.sparkContext.broadcast(asked)
     found = texts.mapInArrow(_finder(shared), "chunk binary").distinct()
-    return {bytes(c): (bytes(h), None if i is None else (bytes(i), bytes(s)), bytes(t)) for c, h, i, s, t in found.mapInArrow(_entries(path), "chunk binary, head binary, ids binary, said binary, tail binary").collect()}
+    with small_batches(docs.sparkSession):
+        got = found.mapInArrow(_entries(path), "chunk binary, head binary, ids binary, said binary, tail binary").collect()
+    return {bytes(c): (bytes(h), None if i is None else (bytes(i), bytes(s)), bytes(t)) for c, h, i, s, t in got}
 
 
 def _coder(path: str, shared, text_at: int, kept: int):
@@ -348,4 +350,5 @@ def encode(docs: DataFrame, path: str, text: str = "text", limit: int = DICTIONA
 def digests(docs: DataFrame, path: str, doc: str = "doc_id", text: str = "text") -> DataFrame:
     """doc, n_tokens, ids_sha256, decoded_sha256, n_chunks of every document."""
     made = encode(docs.select(doc, text), path, text)
-    return made.select(F.col("c0").alias(doc), F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "n_chunks")
+    made = made.select(F.col("c0").alias(doc), F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"), "n_chunks")
+    return checkpointed(made, small=True)

@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, fold_table, ship, shingle_hashes, text_slices, trim, words
+from .common import checkpointed, fold_table, ship, shingle_hashes, small_batches, text_slices, trim, words
 
 ship(__name__)
 
@@ -223,7 +223,7 @@ def annotate(docs: DataFrame, items: DataFrame, text: str = "text", item: str =
     """
     spark = docs.sparkSession
     wins = items.select(F.coalesce(F.col(item).cast("string"), F.lit("")).alias("item"), F.col(item_text).cast("string").alias("text")).mapInArrow(_windows(window), "win binary, item string").distinct()
-    wins = checkpointed(wins)
+    wins = checkpointed(wins, small=True)
     blocks = max(1, math.ceil(wins.count() / block_pairs))
     kept = len(docs.columns)
     rows = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(docs.columns)], F.lit(None).cast("binary").alias("covers"), F.lit(None).cast("array<string>").alias("items"))
@@ -237,12 +237,14 @@ def annotate(docs: DataFrame, items: DataFrame, text: str = "text", item: str =
         if own:
             known = spark.sparkContext.broadcast(distinct)
             seen = docs.select(text).mapInArrow(_counter(known), "size int, at long, n long").groupBy("size", "at").agg(F.sum("n"))
-            for size, at, n in seen.collect():
+            with small_batches(spark):
+                got = seen.collect()
+            for size, at, n in got:
                 counts[size][at] = n
         shared = spark.sparkContext.broadcast((block.texts, block.items, block.prefixes(counts, threshold)))
         rows = rows.select(*[f"c{i}" for i in range(kept)], "covers", "items").mapInArrow(_marker(shared, threshold, text_at, kept), f"{types}, covers binary, items array<string>, n_words long, n_hit long")
         if k + 1 < blocks:
-            rows = checkpointed(rows)
+            rows = checkpointed(rows, small=True)
     return rows.drop("covers")
 
 
@@ -257,4 +259,4 @@ def contamination(docs: DataFrame, items: DataFrame, doc: str = "doc_id", **how)
 def clean_documents(docs: DataFrame, items: DataFrame, **how) -> DataFrame:
     """The documents without any hit, with their own columns."""
     found = annotate(docs, items, **how).filter("n_hit = 0")
-    return found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)])
+    return checkpointed(found.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(docs.columns)]), small=True)

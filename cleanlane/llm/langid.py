@@ -33,7 +33,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpointed, lower_ascii, ship, text_slices, trim
+from .common import checkpointed, lower_ascii, ship, small_batches, text_slices, trim
 from .urlfilter import host_of
 
 ship(__name__)
@@ -123,7 +123,8 @@ def fit(docs: DataFrame, lang: str = "lang", text: str = "text", languages: tupl
     # by text and row, so that a text that very many rows have enters with its share of them only
     row = F.xxhash64("text", F.monotonically_increasing_id())
     sample = labelled.filter(F.pmod(row, F.lit(1 << 20)) < share * (1 << 20))
-    got = sample.mapInArrow(_trainer(languages), "lang int, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    with small_batches(docs.sparkSession):
+        got = sample.mapInArrow(_trainer(languages), "lang int, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros((len(languages), BUCKETS))
     counts[got["lang"], got["bucket"]] = got["n"]
     return Model(counts, languages)
@@ -261,8 +262,8 @@ def accepted_documents(docs: DataFrame, model: Model, text: str = "text", declar
     def named(scored, first):
         return scored.select(*[f"c{i}" for i in range(first)], *[F.col(f"c{first + i}").alias(p) for i, p in enumerate(parts)], "scores", "trigrams")
 
-    narrow = checkpointed(named(with_scores(docs, model, F.col(text), seen), 0))
+    narrow = checkpointed(named(with_scores(docs, model, F.col(text), seen), 0), small=True)
     fusion = Fusion(narrow, model.languages)
     whole = named(with_scores(docs, model, F.col(text), [*own, *seen]), len(names))
     kept = with_decision(fusion.posterior(whole), model, confidence).filter("found <> 'und'")
-    return kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+    return checkpointed(kept.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)]), small=True)
