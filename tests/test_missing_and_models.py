@@ -141,3 +141,22 @@ def test_rows_of_one_partition_are_spread_for_a_fit(spark, monkeypatch):
     one = model.fit_frame(spark.range(300).coalesce(1), spread=True)
     assert one.rdd.getNumPartitions() == min(3, 4 * spark.sparkContext.defaultParallelism) and sorted(r["id"] for r in one.collect()) == list(range(300))
     one.unpersist()
+
+
+def test_fit_frames_of_many_rows_have_partitions_of_bounded_rows(spark, monkeypatch):
+    monkeypatch.setattr(model, "FIT_TASKS_PER_CORE", 1)
+    monkeypatch.setattr(model, "MAX_TASK_ROWS", 10, raising=False)
+    cores = spark.sparkContext.defaultParallelism
+    for source in (spark.range(1000).repartition(cores + 150), spark.range(1000).coalesce(2)):
+        frame = model.fit_frame(source)
+        assert frame.rdd.getNumPartitions() >= 100 and frame.count() == 1000
+        frame.unpersist()
+
+
+def test_rows_are_kept_as_plain_columns_for_a_fit(planted, monkeypatch):
+    kept, keep = [], model.fit_frame
+    monkeypatch.setattr(model, "fit_frame", lambda df, *a: kept.append(df.dtypes) or keep(df, *a))
+    model.fit_pipeline(planted.withColumn("weight", F.lit(2.0)), ["big", "small"], model.random_forest("weight", num_trees=2, max_depth=2))
+    model.grid_search(planted, ["big", "small"], model.random_forest(num_trees=2), {"maxDepth": [1, 2]}, folds=2)
+    assert dict(kept[0]) == {"big": "double", "small": "double", "label": "double", "weight": "double"}
+    assert all(t != "vector" for dtypes in kept for _, t in dtypes)
