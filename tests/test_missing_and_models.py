@@ -155,8 +155,23 @@ def test_fit_frames_of_many_rows_have_partitions_of_bounded_rows(spark, monkeypa
 
 def test_rows_are_kept_as_plain_columns_for_a_fit(planted, monkeypatch):
     kept, keep = [], model.fit_frame
-    monkeypatch.setattr(model, "fit_frame", lambda df, *a: kept.append(df.dtypes) or keep(df, *a))
+    monkeypatch.setattr(model, "fit_frame", lambda df, *a, **k: kept.append(df.dtypes) or keep(df, *a, **k))
     model.fit_pipeline(planted.withColumn("weight", F.lit(2.0)), ["big", "small"], model.random_forest("weight", num_trees=2, max_depth=2))
     model.grid_search(planted, ["big", "small"], model.random_forest(num_trees=2), {"maxDepth": [1, 2]}, folds=2)
     assert dict(kept[0]) == {"big": "double", "small": "double", "label": "double", "weight": "double"}
     assert all(t != "vector" for dtypes in kept for _, t in dtypes)
+
+
+def test_fits_beside_each_other_share_the_partitions(spark, monkeypatch):
+    monkeypatch.setattr(model, "SPREAD_TASK_ROWS", 10)
+    monkeypatch.setattr(model, "FIT_TASKS_PER_CORE", 4)
+    cores = spark.sparkContext.defaultParallelism
+    frame = model.fit_frame(spark.range(4000).coalesce(1), True, 4)
+    assert frame.rdd.getNumPartitions() == cores and frame.count() == 4000
+    frame.unpersist()
+
+
+def test_boosted_trees_without_cached_node_ids_are_the_same_model(planted):
+    assert not model.boosted_trees().getCacheNodeIds()
+    plain, cached = (model.fit_pipeline(planted, ["big", "small"], model.boosted_trees(max_iter=3, max_depth=4, **kw)).stages[-1] for kw in ({}, {"cacheNodeIds": True}))
+    assert plain.toDebugString.split("\n")[1:] == cached.toDebugString.split("\n")[1:]
